@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlake.functions import columns as C
-from loanlake.operators.windows import DEFAULT_MAX_ROWS_PER_KEY, Rows, RunningSum, Spec, windowed
+from loanlake.operators.windows import DEFAULT_CHUNK_ROWS, DEFAULT_MAX_ROWS_PER_KEY, Rows, RunningSum, Spec, windowed
 
 DEFAULT_RUN_TS = dt.datetime(2024, 1, 31, 0, 0, 0)
 # Deterministic order inside a loan (event_date alone leaves ties).
@@ -59,10 +59,12 @@ def payment_spec(keys=("loan_id", "_is_payment"), order=None, paid="payment_amou
 
 
 def loan_portfolio(stg: DataFrame, run_ts: dt.datetime = DEFAULT_RUN_TS,
-                   max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY) -> DataFrame:
+                   max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY,
+                   chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Event-grain portfolio fact (the default mode)."""
     src = stg.withColumn("_is_payment", F.col("event_type") == "PAYMENT")
-    w = windowed(src, [delinquency_spec(), payment_spec()], max_rows_per_key=max_rows_per_key)
+    w = windowed(src, [delinquency_spec(), payment_spec()], max_rows_per_key=max_rows_per_key,
+                 chunk_rows=chunk_rows)
     on_pay = F.col("_is_payment")
     flags = C.payment_flags()
     out = w.select(

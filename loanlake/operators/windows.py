@@ -173,3 +173,29 @@ def windowed(df: DataFrame, specs: list[Spec], max_rows_per_key: int = DEFAULT_M
     for s in specs:
         hot = _hot_spec(hot, s, n_hot_rows, chunk_rows)
     return cold.unionByName(hot.select(*cold.columns))
+
+
+@dataclass
+class Calendar:
+    """agg(expr) over RANGE BETWEEN ``days`` DAYS PRECEDING AND CURRENT ROW on
+    a DATE order column. fn: max | min | sum | count."""
+    name: str
+    fn: str
+    expr: Column
+    days: int
+
+
+_COMBINE = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.sum}
+
+
+def calendar_windowed(df: DataFrame, key: list[str], date_col: str, aggs: list[Calendar]) -> DataFrame:
+    """Calendar (day-range) frames. Every row of a key-day shares one frame,
+    so the frame values are computed once per key-day from day subtotals
+    (combined map-side, hence safe for a hot key) and joined back. Rows per
+    key in the day window are bounded by the calendar, not by the data."""
+    day = df.groupBy(*key, date_col).agg(*[_AGGS[a.fn](a.expr).alias(f"_d{i}") for i, a in enumerate(aggs)])
+    order = F.unix_date(F.col(date_col))
+    cols = [_COMBINE[a.fn](f"_d{i}").over(Window.partitionBy(*key).orderBy(order).rangeBetween(-a.days, 0))
+            .alias(a.name) for i, a in enumerate(aggs)]
+    frames = day.select(*key, date_col, *cols)
+    return df.join(frames, [*key, date_col], "left")

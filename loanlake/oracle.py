@@ -223,3 +223,44 @@ select tenant_id, event_month, count(distinct loan_id) as active_loans, count(*)
   sum(current_balance) as total_current_balance, avg(credit_score) as avg_credit_score,
   sum(cast(round(composite_risk_score * 100) as bigint)) / count(composite_risk_score) / 100 as avg_risk_score
 from fact group by tenant_id, event_month"""
+
+HIST = f"with h as ({LOAN_HISTORY})"
+HORD = "partition by loan_id order by event_date, tie1, tie2, tie3"
+HK = "loan_id, event_date, tie1, tie2, tie3"
+
+ORACLE["rolling_max_dpd"] = f"""{HIST}
+select {HK}, days_past_due,
+  max(days_past_due) over ({HORD} rows between 30 preceding and current row) as max_dpd_30d,
+  max(days_past_due) over ({HORD} rows between 90 preceding and current row) as max_dpd_90d
+from h"""
+
+ORACLE["dpd_delta"] = f"""{HIST}
+select {HK}, days_past_due, days_past_due - lag(days_past_due, 1, 0) over ({HORD}) as dpd_delta from h"""
+
+ORACLE["delinquency_count"] = f"""{HIST}
+select {HK}, days_past_due,
+  count(case when days_past_due > 0 then 1 end) over ({HORD} rows between 365 preceding and current row) as delinquency_count_12m
+from h"""
+
+ORACLE["payment_windows"] = f"""{HIST}
+select {HK}, payment_amount,
+  sum(coalesce(payment_amount, 0)) over (partition by loan_id order by event_date) as cumulative_payments,
+  count(case when payment_amount >= monthly_payment then 1 end) over ({HORD} rows between 12 preceding and current row) as on_time_payments_12m
+from h where payment_amount is not null"""
+
+ORACLE["rolling_max_dpd_calendar"] = f"""{HIST}
+select {HK}, days_past_due,
+  max(days_past_due) over (partition by loan_id order by event_date range between interval 30 days preceding and current row) as max_dpd_30d,
+  max(days_past_due) over (partition by loan_id order by event_date range between interval 90 days preceding and current row) as max_dpd_90d,
+  count(case when days_past_due > 0 then 1 end) over (partition by loan_id order by event_date range between interval 365 days preceding and current row) as delinquency_count_365d
+from h"""
+
+ORACLE["rolling_max_dpd_split"] = f"""{HIST}
+select {HK}, days_past_due,
+  max(days_past_due) over ({HORD} rows between 30 preceding and current row) as max_dpd_30d,
+  max(days_past_due) over ({HORD} rows between 90 preceding and current row) as max_dpd_90d,
+  days_past_due - lag(days_past_due, 1, 0) over ({HORD}) as dpd_delta,
+  count(case when days_past_due > 0 then 1 end) over ({HORD} rows between 365 preceding and current row) as delinquency_count_12m
+from h"""
+
+ORACLE["loan_portfolio_split"] = FACT

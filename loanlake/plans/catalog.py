@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanlake.operators import marts, staging
+from loanlake.operators import marts, staging, windows
 from loanlake.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +77,76 @@ def q_dim_loan_attributes(spark, sf_dir):
 @register("executive_portfolio")    # J7
 def q_executive_portfolio(spark, sf_dir):
     return marts.executive_portfolio(marts.loan_portfolio(stg(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# Window operators on long per-loan histories (G7-G13 + calendar variant)
+# ---------------------------------------------------------------------------
+HIST_ORDER = ["event_date", "tie1", "tie2", "tie3"]
+HIST_KEYS = ["loan_id", "event_date", "tie1", "tie2", "tie3"]
+
+
+def _hist(spark, sf_dir):
+    return fixtures.loan_history(spark, sf_dir)
+
+
+def _dpd_rows(*rows):
+    return windows.Spec(["loan_id"], HIST_ORDER, rows=list(rows))
+
+
+@register("rolling_max_dpd")        # G7-G8: 31- and 91-row max
+def q_rolling_max_dpd(spark, sf_dir):
+    d = F.col("days_past_due")
+    out = windows.windowed(_hist(spark, sf_dir), [_dpd_rows(
+        windows.Rows("max_dpd_30d", "max", d, 30), windows.Rows("max_dpd_90d", "max", d, 90))])
+    return out.select(*HIST_KEYS, "days_past_due", "max_dpd_30d", "max_dpd_90d")
+
+
+@register("dpd_delta")              # G9: change vs previous row, first row vs 0
+def q_dpd_delta(spark, sf_dir):
+    d = F.col("days_past_due")
+    out = windows.windowed(_hist(spark, sf_dir), [_dpd_rows(windows.Rows("_prev", "lag", d, 1, default=0))])
+    return out.select(*HIST_KEYS, "days_past_due", (d - F.col("_prev")).alias("dpd_delta"))
+
+
+@register("delinquency_count")      # G10, G13: delinquent rows among the last 366
+def q_delinquency_count(spark, sf_dir):
+    d = F.col("days_past_due")
+    out = windows.windowed(_hist(spark, sf_dir), [_dpd_rows(
+        windows.Rows("delinquency_count_12m", "count", F.when(d > 0, 1), 365))])
+    return out.select(*HIST_KEYS, "days_past_due", "delinquency_count_12m")
+
+
+@register("payment_windows")        # G11-G12 over payment rows
+def q_payment_windows(spark, sf_dir):
+    pays = _hist(spark, sf_dir).filter(F.col("payment_amount").isNotNull())
+    spec = marts.payment_spec(keys=("loan_id",), order=HIST_ORDER)
+    out = windows.windowed(pays, [spec])
+    return out.select(*HIST_KEYS, "payment_amount", "cumulative_payments", "on_time_payments_12m")
+
+
+@register("rolling_max_dpd_calendar")  # calendar-day frames: 30 / 90 / 365 days
+def q_rolling_max_dpd_calendar(spark, sf_dir):
+    d = F.col("days_past_due")
+    out = windows.calendar_windowed(_hist(spark, sf_dir), ["loan_id"], "event_date", [
+        windows.Calendar("max_dpd_30d", "max", d, 30),
+        windows.Calendar("max_dpd_90d", "max", d, 90),
+        windows.Calendar("delinquency_count_365d", "count", F.when(d > 0, 1), 365)])
+    return out.select(*HIST_KEYS, "days_past_due", "max_dpd_30d", "max_dpd_90d", "delinquency_count_365d")
+
+
+@register("rolling_max_dpd_split")  # G7-G10 forced through the hot-key split path
+def q_rolling_max_dpd_split(spark, sf_dir):
+    d = F.col("days_past_due")
+    out = windows.windowed(_hist(spark, sf_dir), [_dpd_rows(
+        windows.Rows("max_dpd_30d", "max", d, 30), windows.Rows("max_dpd_90d", "max", d, 90),
+        windows.Rows("_prev", "lag", d, 1, default=0),
+        windows.Rows("delinquency_count_12m", "count", F.when(d > 0, 1), 365))],
+        max_rows_per_key=100, chunk_rows=1000)
+    return out.select(*HIST_KEYS, "days_past_due", "max_dpd_30d", "max_dpd_90d",
+                      (d - F.col("_prev")).alias("dpd_delta"), "delinquency_count_12m")
+
+
+@register("loan_portfolio_split")   # the fact with every loan routed as a hot key
+def q_loan_portfolio_split(spark, sf_dir):
+    return marts.loan_portfolio(stg(spark, sf_dir), max_rows_per_key=10, chunk_rows=500)

@@ -264,3 +264,194 @@ select {HK}, days_past_due,
 from h"""
 
 ORACLE["loan_portfolio_split"] = FACT
+
+# ---------------------------------------------------------------------------
+# Staging projections and scalar formulas
+# ---------------------------------------------------------------------------
+_STAGING_VIEWS = {
+    "delinquency_bucket": "event_id, days_past_due, delinquency_bucket, is_seriously_delinquent",
+    "credit_tier": "event_id, credit_score, credit_tier",
+    "ltv_dti_flags": "event_id, ltv_ratio, ltv_pct, is_high_ltv, dti_ratio, dti_pct, is_high_dti",
+    "loan_term_age": "event_id, origination_date, maturity_date, loan_term_months, loan_age_years",
+    "principal_paid": "event_id, original_balance, current_balance, principal_paid, pct_principal_paid, "
+                      "interest_rate, interest_rate_pct",
+    "complete_record": "event_id, loan_id, borrower_id, is_complete_record",
+    "event_calendar": "event_id, event_type, loan_type, loan_purpose, event_timestamp, event_date, event_month",
+}
+for _n, _c in _STAGING_VIEWS.items():
+    ORACLE[_n] = f"{BASE} select {_c} from stg"
+
+ORACLE["risk_score"] = f"{BASE} select event_id, {RISK} as composite_risk_score from stg"
+
+_R = "(interest_rate / 12.0)"
+_G = f"pow(1.0 + {_R}, cast(loan_term_months as double))"
+ORACLE["amortised_payment"] = f"""{BASE}
+select event_id, {rnd(f"case when {_R} = 0 then original_balance / cast(loan_term_months as double) else original_balance * ({_R} * {_G}) / ({_G} - 1.0) end", 2)} as level_payment
+from stg"""
+
+ORACLE["remaining_balance"] = f"""{BASE}
+select event_id, {rnd("original_balance * (1.0 - cast((year(event_date) - year(origination_date)) * 12 + month(event_date) - month(origination_date) as integer) / cast(loan_term_months as double))", 2)} as linear_balance
+from stg"""
+
+ORACLE["maturity_date"] = f"""{BASE}
+select event_id, origination_date + cast(loan_term_months * 30 as integer) as maturity_30d from stg"""
+
+ORACLE["clamp_score"] = f"""with le as ({LOAN_EVENTS})
+select event_id, greatest(300, least(850, credit_score)) as credit_score_clamped from le"""
+
+# ---------------------------------------------------------------------------
+# Ingestion
+# ---------------------------------------------------------------------------
+LE = f"with le as ({LOAN_EVENTS})"
+CUT = "timestamp '2024-01-15 12:00:00'"
+EVENT_COLS = ("event_id, loan_id, borrower_id, tenant_id, event_type, loan_type, loan_purpose, origination_date, "
+              "maturity_date, original_balance, current_balance, interest_rate, monthly_payment, payment_amount, "
+              "days_past_due, property_state, credit_score, ltv_ratio, dti_ratio, event_timestamp, is_valid")
+
+ORACLE["event_json_roundtrip"] = f"{LE} select {EVENT_COLS} from le where borrower_id is not null"
+ORACLE["quarantine_rejects"] = f"{LE} select event_id, 'not_null:borrower_id' as reason from le where borrower_id is null"
+
+ORACLE["merge_insert_new_events"] = f"""{LE}
+select * from le a where not exists (select 1 from le b where b.loaded_at < {CUT} and b.event_id = a.event_id)"""
+
+REPLAYED = f"""replayed as (
+  select * from le
+  union all
+  select event_id, loan_id, borrower_id, tenant_id, event_type, loan_type, loan_purpose, origination_date,
+    maturity_date, original_balance, current_balance - 1.0 as current_balance, interest_rate, monthly_payment,
+    payment_amount, days_past_due, property_state, credit_score, ltv_ratio, dti_ratio, event_timestamp, is_valid,
+    loaded_at + interval 1 day as loaded_at
+  from le where loaded_at >= {CUT})"""
+
+ORACLE["dedup_latest_event"] = f"""{LE}, {REPLAYED},
+r as (select *, row_number() over (partition by event_id order by event_timestamp desc, loaded_at desc) as rn from replayed)
+select * exclude (rn) from r where rn = 1"""
+
+ORACLE["load_counts"] = f"""{LE}, {REPLAYED}
+select (select count(*) from replayed) as batch_rows,
+  (select count(*) from le where loaded_at >= {CUT}) as rows_inserted,
+  (select count(*) from replayed) - (select count(*) from le where loaded_at >= {CUT}) as rows_skipped"""
+
+# ---------------------------------------------------------------------------
+# Load report
+# ---------------------------------------------------------------------------
+_STATS = """select date_trunc('hour', loaded_at) as load_hour, event_type, tenant_id, count(*) as event_count,
+  avg(original_balance) as avg_balance, sum(original_balance) as total_balance,
+  avg(credit_score) as avg_credit_score, avg(days_past_due) as avg_dpd
+from le {where} group by 1, 2, 3 order by 1 desc, 4 desc"""
+ORACLE["load_stats_24h"] = f"{LE} " + _STATS.format(where=f"where loaded_at >= {AS_OF_TS} - interval 24 hour")
+ORACLE["load_stats_hourly"] = f"{LE} " + _STATS.format(where="")
+
+# ---------------------------------------------------------------------------
+# Incremental
+# ---------------------------------------------------------------------------
+ORACLE["incremental_new_rows"] = f"""{BASE}
+select * from stg
+where event_date > (select max(event_date) from stg where loaded_at < {CUT} and is_complete_record)"""
+
+ORACLE["incremental_fact_refresh"] = FACT
+
+ORACLE["upsert_latest_per_loan"] = f"""{BASE},
+r as (select loan_id, event_timestamp, event_id, current_balance, days_past_due, delinquency_bucket,
+        row_number() over (partition by loan_id order by event_timestamp desc, event_id desc) as rn from stg)
+select loan_id, event_timestamp, event_id, current_balance, days_past_due, delinquency_bucket from r where rn = 1"""
+
+# ---------------------------------------------------------------------------
+# Quality, history, masking
+# ---------------------------------------------------------------------------
+_LIMITS = {"event_id": 36, "loan_id": 20, "borrower_id": 20, "tenant_id": 50, "event_type": 20,
+           "loan_type": 20, "loan_purpose": 20, "property_state": 2}
+ORACLE["check_varchar_lengths"] = f"{LE} " + " union all ".join(
+    f"select '{c}' as column_name, count(case when length({c}) > {n} then 1 end) as violations from le"
+    for c, n in _LIMITS.items())
+
+_RAW_COLS = [c.strip() for c in EVENT_COLS.split(",")] + ["loaded_at"]
+ORACLE["check_nulls"] = f"{LE} " + " union all ".join(
+    f"select '{c}' as column_name, count(*) - count({c}) as null_count from le" for c in _RAW_COLS)
+
+_RANGES = {
+    "credit_score_300_850": "not (credit_score between 300 and 850)",
+    "days_past_due_non_negative": "days_past_due < 0",
+    "ltv_ratio_non_negative": "ltv_ratio < 0",
+    "dti_ratio_non_negative": "dti_ratio < 0",
+    "original_balance_positive": "original_balance <= 0",
+    "interest_rate_positive": "interest_rate <= 0",
+    "current_balance_non_negative": "current_balance < 0",
+}
+ORACLE["check_ranges"] = f"{LE} " + " union all ".join(
+    f"select '{n}' as rule, count(case when {c} then 1 end) as violations from le" for n, c in _RANGES.items())
+
+_RELS = [
+    ("orders.o_custkey->customer", "orders", "o_custkey", "customer", "c_custkey"),
+    ("lineitem.l_orderkey->orders", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ("lineitem.l_partkey->part", "lineitem", "l_partkey", "part", "p_partkey"),
+    ("lineitem.l_suppkey->supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ("events.user_id->customer", "events", "user_id", "customer", "c_custkey"),
+]
+ORACLE["check_relationships"] = " union all ".join(
+    f"""select '{n}' as relationship, (select count(*) from {c} where {ck} is not null) as child_rows,
+  (select count(*) from {c} where {ck} is not null and {ck} not in (select {pk} from {p} where {pk} is not null)) as orphan_rows,
+  (select count(distinct {ck}) from {c} where {ck} is not null and {ck} not in (select {pk} from {p} where {pk} is not null)) as orphan_keys"""
+    for n, c, ck, p, pk in _RELS)
+
+
+def _uniq(name: str, src: str, keys: str) -> str:
+    return f"""select '{name}' as check_name, count(*) as distinct_keys, count(case when n > 1 then 1 end) as duplicate_keys,
+  cast(coalesce(sum(n - 1), 0) as bigint) as surplus_rows from (select {keys}, count(*) as n from {src} group by {keys})"""
+
+
+ORACLE["check_unique"] = f"{LE} " + " union all ".join([
+    _uniq("lineitem(l_orderkey,l_linenumber)", "lineitem", "l_orderkey, l_linenumber"),
+    _uniq("orders(o_orderkey)", "orders", "o_orderkey"),
+    _uniq("loan_events(event_id)", "le", "event_id")])
+
+ORACLE["unique_violations"] = """select l_orderkey, l_linenumber, count(*) as n from lineitem
+group by l_orderkey, l_linenumber having count(*) > 1"""
+
+_DOMAINS = {
+    "event_type": ["ORIGINATION", "PAYMENT", "PREPAYMENT", "DELINQUENCY", "DEFAULT"],
+    "loan_type": ["CONVENTIONAL", "FHA", "VA", "JUMBO", "ARM"],
+    "loan_purpose": ["PURCHASE", "REFINANCE", "CASH_OUT_REFI"],
+    "property_state": ["CA", "TX", "FL", "NY", "IL", "PA", "OH", "GA", "NC", "MI"],
+    "tenant_id": ["mortgage_servicer_a", "mortgage_servicer_b", "mortgage_servicer_c"],
+}
+ORACLE["check_accepted_values"] = f"{LE} " + " union all ".join(
+    f"select '{c}' as column_name, {c} as value, count(*) as rows from le "
+    f"where {c} not in ({', '.join(repr(v) for v in vals)}) group by {c}"
+    for c, vals in _DOMAINS.items())
+
+ORACLE["freshness"] = f"""{LE}
+select tenant_id, max(loaded_at) as last_loaded_at,
+  cast(floor((epoch_us({AS_OF_TS}) - epoch_us(max(loaded_at))) / 1000000) as bigint) as age_seconds,
+  (epoch_us({AS_OF_TS}) - epoch_us(max(loaded_at))) > 15 * 60 * 1000000 as is_stale
+from le group by tenant_id"""
+
+ORACLE["volume_anomaly"] = f"""{LE},
+h as (select tenant_id, date_trunc('hour', loaded_at) as load_hour, count(*) as event_count from le group by 1, 2),
+s as (select *,
+  count(event_count) over w as k, sum(event_count) over w as s1, sum(event_count * event_count) over w as s2
+  from h window w as (partition by tenant_id order by cast(floor(epoch(load_hour) / 3600) as bigint)
+                      range between 24 preceding and 1 preceding)),
+z as (select *, cast(s1 as double) / cast(k as double) as mean,
+  cast(k * s2 - s1 * s1 as double) / cast(k * (k - 1) as double) as var from s)
+select tenant_id, load_hour, event_count, k as trailing_hours_seen,
+  case when k > 0 then mean end as trailing_mean,
+  case when k >= 2 and var > 0 then (cast(event_count as double) - mean) / sqrt(var) end as z_score,
+  coalesce(abs(case when k >= 2 and var > 0 then (cast(event_count as double) - mean) / sqrt(var) end) > 3.0, false) as is_anomaly
+from z"""
+
+ORACLE["scd2_history"] = f"""{BASE},
+m as (select *, lag(delinquency_bucket) over w as pb, lag(credit_tier) over w as pt,
+        row_number() over w as rn
+      from stg window w as (partition by loan_id order by event_timestamp, event_id)),
+st as (select loan_id, event_id, event_timestamp as valid_from, delinquency_bucket, credit_tier from m
+       where rn = 1 or pb is distinct from delinquency_bucket or pt is distinct from credit_tier)
+select loan_id, delinquency_bucket, credit_tier, valid_from,
+  lead(valid_from) over (partition by loan_id order by valid_from, event_id) as valid_to,
+  lead(valid_from) over (partition by loan_id order by valid_from, event_id) is null as is_current
+from st"""
+
+ORACLE["masked_borrowers"] = f"""{LE}
+select event_id, loan_id, sha256(borrower_id) as borrower_id_hash,
+  substr(borrower_id, 1, 4) || repeat('*', greatest(length(borrower_id) - 4, 0)) as borrower_id_masked
+from le"""

@@ -7,8 +7,8 @@ moderate in size, since one file is one task.
 
 Parsing never trusts a document: ``try_parse_json`` yields NULL for malformed
 text and for duplicate object keys, and such documents are quarantined whole.
-Fields are first read as STRING and then typed with ``try_cast``, so one bad
-field rejects only its own row, never its siblings.
+Fields are read from the parsed VARIANT as text and typed with ``try_cast``,
+so one bad field rejects only its own row, never its siblings.
 """
 
 from __future__ import annotations
@@ -47,48 +47,54 @@ def publish_records(df: DataFrame) -> DataFrame:
 # Decoding (A4, B1, A8)
 # ---------------------------------------------------------------------------
 
-def _typed(fields: Column) -> list[Column]:
-    """STRING fields -> event types with try_cast (NULL on bad input)."""
+def _field(v: Column, name: str) -> Column:
+    """A field of a parsed JSON object as text (numbers keep their digits)."""
+    return F.try_variant_get(v, f"$.{name}", "string")
+
+
+def _typed(v: Column) -> list[Column]:
+    """Event fields out of one parsed object, typed with try_cast (NULL on
+    bad input)."""
     out = []
     for name, typ in S.EVENT_FIELDS:
-        raw = fields[name]
-        if isinstance(typ, T.StringType):
-            out.append(raw.alias(name))
-        else:
-            out.append(raw.try_cast(typ).alias(name))
+        raw = _field(v, name)
+        out.append((raw if isinstance(typ, T.StringType) else raw.try_cast(typ)).alias(name))
     return out
 
 
-def _bad_fields(fields: Column, typed: DataFrame) -> Column:
-    """Names of fields that were present but failed to cast."""
-    checks = [F.when(fields[n].isNotNull() & F.col(n).isNull(), F.lit(n))
-              for n, t in S.EVENT_FIELDS if not isinstance(t, T.StringType)]
-    return F.array_compact(F.array(*checks))
-
-
 def parse_documents(docs: DataFrame, doc_col: str = "doc", source_col: str = "source",
                     layout: str = "lines") -> tuple[DataFrame, DataFrame]:
     """Parse JSON documents into typed events and rejects.
 
     ``layout='lines'``: one event object per document; ``'array'``: one JSON
-    array of events per document. Returns (events, rejects); rejects carry
-    the source, the raw text and a reason.
+    array of events per document. Each document is parsed once into a
+    VARIANT; the one-element explode is a plan boundary that keeps the
+    optimizer from copying the parse into every later field check. Returns
+    (events, rejects); rejects carry the source, the raw text and a reason.
     """
-    parsed = docs.withColumn("_ok", F.try_parse_json(F.col(doc_col)).isNotNull())
-    bad_docs = parsed.filter(~F.col("_ok")).select(
-        F.col(source_col).alias("source"), F.col(doc_col).alias("record"),
-        F.lit("malformed_json").alias("reason"))
-    good = parsed.filter(F.col("_ok"))
+    parsed = docs.select(F.col(source_col).alias("source"), F.col(doc_col).alias("_doc"),
+                         F.explode(F.array(F.try_parse_json(F.col(doc_col)))).alias("_v"))
+    bad_docs = parsed.filter(F.col("_v").isNull()).select(
+        "source", F.col("_doc").alias("record"), F.lit("malformed_json").alias("reason"))
+    good = parsed.filter(F.col("_v").isNotNull())
     if layout == "array":
-        arr = F.from_json(F.col(doc_col), T.ArrayType(S.LANDING_STRING_SCHEMA))
-        rows = good.select(F.col(source_col).alias("source"), F.explode(arr).alias("f"))
-        rows = rows.withColumn("_record", F.to_json("f", {"ignoreNullFields": "false"}))
+        arr = F.try_variant_get("_v", "$", "array<variant>")
+        not_array = good.filter(arr.isNull()).select(
+            "source", F.col("_doc").alias("record"), F.lit("not_an_array").alias("reason"))
+        bad_docs = bad_docs.unionByName(not_array)
+        rows = good.select("source", F.explode(arr).alias("_e"))
+        rows = rows.select("source", F.to_json("_e").alias("_record"), "_e")
     else:
-        rows = good.select(F.col(source_col).alias("source"),
-                           F.from_json(F.col(doc_col), S.LANDING_STRING_SCHEMA).alias("f"),
-                           F.col(doc_col).alias("_record"))
-    typed = rows.select("source", "_record", "f", *_typed(F.col("f")))
-    typed = typed.withColumn("_bad", _bad_fields(F.col("f"), typed))
+        rows = good.select("source", F.col("_doc").alias("_record"), F.col("_v").alias("_e"))
+    v = F.col("_e")
+    # inline() of a one-row array is a second boundary: the typed fields
+    # leave it as plain attributes, so the checks and filters below stay
+    # small for constraint inference.
+    typed = rows.select("source", "_record", F.inline(F.array(F.struct(
+        *_typed(v), F.array_compact(F.array(*[
+            F.when(_field(v, n).isNotNull() & F.isnull(t), F.lit(n))
+            for (n, typ), t in zip(S.EVENT_FIELDS, _typed(v)) if not isinstance(typ, T.StringType)
+        ])).alias("_bad")))))
     not_null = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in S.NOT_NULL_COLUMNS]))
     typed = typed.withColumn("_null", not_null)
     reason = (F.when(F.size("_bad") > 0, F.concat(F.lit("bad_field:"), F.array_join("_bad", ",")))

@@ -16,7 +16,8 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from loanlake.session import build_session, ensure_checkpoint_dir
-    s = build_session("local[*]", app="loanlake-tests", shuffle_partitions=8)
+    s = build_session("local[*]", app="loanlake-tests", shuffle_partitions=8,
+                      extra={"spark.driver.memory": "6g"})
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s)
     yield s

@@ -31,6 +31,8 @@ class PipelineConfig:
     batch_id: str | None = None
     as_of: dt.datetime | None = None
     max_reject_share: float = 0.05
+    # Range rules that stop the run; the others are logged as warnings.
+    critical_rules: tuple[str, ...] = ()
     fact_kwargs: dict = field(default_factory=dict)
 
 
@@ -38,18 +40,19 @@ class QualityGateError(RuntimeError):
     pass
 
 
-def validate_batch(events, rejects, max_reject_share: float):
-    """Findings that fail the run before loading (K15: validation runs
-    before the load). Range violations and a reject share above the limit are
-    critical; NULL keys never reach here (they are quarantined)."""
+def validate_batch(events, rejects, max_reject_share: float, critical_rules=()):
+    """Checks before loading (K15: validation runs before the load).
+    Returns (failures, warnings). A reject share above the limit and any
+    violated rule listed in ``critical_rules`` fail the run; other range
+    findings are warnings. NULL keys never reach here (quarantined)."""
     n_ok, n_bad = events.count(), rejects.count()
-    findings = {"ranges": quality.range_violations(events)}
-    res = quality.gate(findings, {"ranges": "violations"})
-    failures = list(res.failures)
+    res = quality.gate({"ranges": quality.range_violations(events)}, {"ranges": "violations"})
+    failures = [f for f in res.failures if f.get("rule") in critical_rules]
+    warnings = [f for f in res.failures if f.get("rule") not in critical_rules]
     total = n_ok + n_bad
     if total and n_bad / total > max_reject_share:
         failures.append({"check": "reject_share", "rejected": n_bad, "total": total})
-    return failures
+    return failures, warnings
 
 
 FACT_DOMAINS = {
@@ -79,7 +82,7 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
     try:
         if events.isEmpty() and rejects.isEmpty():          # C6: nothing new -> skip downstream
             return {"batch_id": batch_id, "status": "skipped", "rows_inserted": 0}
-        failures = validate_batch(events, rejects, cfg.max_reject_share)
+        failures, warnings = validate_batch(events, rejects, cfg.max_reject_share, cfg.critical_rules)
         if failures:
             raise QualityGateError(f"{len(failures)} validation failures: {failures[:5]}")
         rejects.write.mode("overwrite").json(f"{cfg.rejects_path}/batch={batch_id}")
@@ -99,6 +102,7 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
     result = fact_tests(spark.read.parquet(path))
     if not result.passed:
         raise QualityGateError(f"post-build tests failed: {result.failures[:5]}")
-    audit = {**counts, "status": "loaded", "fact_version": path, "run_at": now.isoformat()}
+    audit = {**counts, "status": "loaded", "fact_version": path, "run_at": now.isoformat(),
+             "warnings": ";".join(f"{w['rule']}={w['violations']}" for w in warnings)}
     spark.createDataFrame([audit]).write.mode("append").json(cfg.audit_path)
     return audit

@@ -103,3 +103,26 @@ def test_level_payment_rate_zero(spark):
     assert got[1] == 599.55
     assert df.select(C.maturity_from_term(F.lit(dt.date(2020, 1, 1)), F.lit(2))).first()[0] == dt.date(2020, 3, 1)
     assert df.select(C.clamp_credit_score(F.lit(900)), C.clamp_credit_score(F.lit(100))).first() == (850, 300)
+
+
+def test_sql_views_and_upper_columns(spark):
+    from loanlake.plans import views
+    from loanlake.sources import fixtures
+    from conftest import SF_SMALL
+    raw = fixtures.loan_events(spark, SF_SMALL)
+    views.register_models(spark, raw)
+    n = spark.sql("select count(*) from fct_loan_portfolio where composite_risk_score is not null").first()[0]
+    assert n > 0
+    rep = spark.sql("""select date_trunc('hour', loaded_at) as load_hour, event_type, tenant_id, count(*) as c
+                       from raw_loan_events group by 1, 2, 3 order by 1 desc, 4 desc""")
+    assert rep.count() > 0
+    up = views.upper_columns(raw.limit(1))
+    assert up.columns[0] == "EVENT_ID" and up.select("event_id").count() == 1
+
+
+def test_schema_violations_metadata_only(spark):
+    from loanlake.operators import quality
+    df = spark.createDataFrame([("a", 1)], "event_id string, credit_score bigint")
+    got = quality.schema_violations(df, S.RAW_SCHEMA)
+    kinds = {(c, k) for c, k, _ in got}
+    assert ("credit_score", "type_mismatch") in kinds and ("loan_id", "missing_column") in kinds

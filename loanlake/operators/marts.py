@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlake.functions import columns as C
-from loanlake.operators.windows import DEFAULT_CHUNK_ROWS, DEFAULT_MAX_ROWS_PER_KEY, Rows, RunningSum, Spec, windowed
+from loanlake.operators.windows import (DEFAULT_CHUNK_ROWS, DEFAULT_MAX_ROWS_PER_KEY, PeerAgg, Rows, RunningSum,
+                                        Spec, windowed)
 
 DEFAULT_RUN_TS = dt.datetime(2024, 1, 31, 0, 0, 0)
 # Deterministic order inside a loan (event_date alone leaves ties).
@@ -83,37 +84,42 @@ def loan_portfolio(stg: DataFrame, run_ts: dt.datetime = DEFAULT_RUN_TS,
 
 
 def loan_portfolio_daily(stg: DataFrame, run_ts: dt.datetime = DEFAULT_RUN_TS,
-                         max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY) -> DataFrame:
+                         max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY,
+                         chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """F1/F2 as many-to-one LEFT joins on (loan_id, event_date).
 
-    The right sides hold one row per loan-day: the delinquency window state
-    after the day's last event, and the day's payment summary (count, paid,
-    running total, on-time count after the last payment). Every same-day event
-    sees the same day context, as in the joined form, without multiplying
-    rows. Day rows are picked with max(struct) aggregates, which combine
-    map-side, so a hot loan-day never lands whole in one task.
+    Every complete event receives its loan-day's context: the delinquency
+    window state after the day's last event, and the day's payment summary
+    (count, amount, running total, on-time count after the last payment).
+    That is a LEFT join to one row per loan-day; it is computed as peer
+    aggregates over (loan_id, event_date) - same values, no join, and for
+    ordinary loans no exchange beyond the one on loan_id. Hot loans take
+    combinable per-day subtotals instead, so a hot loan-day is never sent
+    whole to one task.
     """
     src = stg.withColumn("_is_payment", F.col("event_type") == "PAYMENT")
-    w = windowed(src, [delinquency_spec(), payment_spec()], max_rows_per_key=max_rows_per_key)
-    last = F.struct("event_timestamp", "event_id")
-    dw = (w.groupBy("loan_id", "event_date").agg(
-        F.max(F.struct(last.alias("o"), F.struct(
-            "max_dpd_30d", "max_dpd_90d", "delinquency_count_12m",
-            (F.col("days_past_due") - F.col("_dpd_prev")).alias("dpd_delta")).alias("v"))).alias("m"))
-        .select("loan_id", "event_date", "m.v.*"))
-    pays = w.filter(F.col("_is_payment"))
-    pm = (pays.groupBy("loan_id", "event_date").agg(
-        F.count(F.lit(1)).alias("day_payment_count"),
-        F.sum("payment_amount").alias("day_paid"),
-        F.max("cumulative_payments").alias("cumulative_payments"),
-        F.max(F.struct(last.alias("o"), F.col("on_time_payments_12m").alias("v"))).alias("m"))
-        .select("loan_id", "event_date", "day_payment_count", "day_paid", "cumulative_payments",
-                F.col("m.v").alias("on_time_payments_12m")))
-    sl = stg.filter(F.col("is_complete_record"))
-    out = (sl.join(dw, ["loan_id", "event_date"], "left").join(pm, ["loan_id", "event_date"], "left"))
-    return out.select(
-        *stg.columns, "max_dpd_30d", "max_dpd_90d", "dpd_delta", "delinquency_count_12m",
-        "day_payment_count", "day_paid", "cumulative_payments", "on_time_payments_12m",
+    pay, day = F.col("_is_payment"), "event_date"
+    day_spec = Spec(["loan_id"], EVENT_ORDER, peers=[
+        PeerAgg("d_max_dpd_30d", "last", F.col("max_dpd_30d"), day),
+        PeerAgg("d_max_dpd_90d", "last", F.col("max_dpd_90d"), day),
+        PeerAgg("d_delinquency_count_12m", "last", F.col("delinquency_count_12m"), day),
+        PeerAgg("d_dpd_delta", "last", F.col("days_past_due") - F.col("_dpd_prev"), day),
+        PeerAgg("day_payment_count", "count", F.when(pay, 1), day),
+        PeerAgg("day_paid", "sum", F.when(pay, F.col("payment_amount")), day),
+        PeerAgg("d_cumulative_payments", "max", F.when(pay, F.col("cumulative_payments")), day),
+        PeerAgg("d_on_time_payments_12m", "last", F.when(pay, F.col("on_time_payments_12m")), day),
+    ])
+    w = windowed(src, [delinquency_spec(), payment_spec()], max_rows_per_key=max_rows_per_key,
+                 chunk_rows=chunk_rows, then=[day_spec])
+    has_pay = F.col("day_payment_count") > 0
+    return w.filter(F.col("is_complete_record")).select(
+        *stg.columns,
+        F.col("d_max_dpd_30d").alias("max_dpd_30d"), F.col("d_max_dpd_90d").alias("max_dpd_90d"),
+        F.col("d_dpd_delta").alias("dpd_delta"), F.col("d_delinquency_count_12m").alias("delinquency_count_12m"),
+        F.when(has_pay, F.col("day_payment_count")).alias("day_payment_count"),
+        F.when(has_pay, F.col("day_paid")).alias("day_paid"),
+        F.col("d_cumulative_payments").alias("cumulative_payments"),
+        F.col("d_on_time_payments_12m").alias("on_time_payments_12m"),
         C.composite_risk_score().alias("composite_risk_score"),
         C.ts_ntz_lit(run_ts).alias("dbt_updated_at"))
 

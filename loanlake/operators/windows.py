@@ -77,12 +77,24 @@ class RunningSum:
     peer: str
 
 
+@dataclass
+class PeerAgg:
+    """An aggregate over all rows of a key sharing ``peer`` (e.g. a loan-day):
+    fn max | min | sum | count over the whole peer group, or ``last``: the
+    value of ``expr`` at the greatest order among rows where it is not NULL."""
+    name: str
+    fn: str
+    expr: Column
+    peer: str
+
+
 @dataclass
 class Spec:
     key: list[str]
     order: list[str]
     rows: list[Rows] = field(default_factory=list)
     running: list[RunningSum] = field(default_factory=list)
+    peers: list[PeerAgg] = field(default_factory=list)
 
     def halo(self) -> tuple[int, int]:
         return (max([r.halo_before() for r in self.rows] or [0]),
@@ -96,6 +108,13 @@ def _plain(df: DataFrame, specs: list[Spec]) -> DataFrame:
         cols += [r.over(w).alias(r.name) for r in s.rows]
         for rs in s.running:
             cols.append(F.sum(rs.expr).over(Window.partitionBy(*s.key).orderBy(rs.peer)).alias(rs.name))
+        for pa in s.peers:
+            wp = Window.partitionBy(*s.key, pa.peer)
+            if pa.fn == "last":
+                full = wp.orderBy(*s.order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+                cols.append(F.last(pa.expr, ignorenulls=True).over(full).alias(pa.name))
+            else:
+                cols.append(_AGGS[pa.fn](pa.expr).over(wp).alias(pa.name))
     return df.select("*", *cols)
 
 
@@ -147,30 +166,46 @@ def _hot_spec(hot: DataFrame, spec: Spec, n_rows: int, chunk_rows: int) -> DataF
                .withColumn(rs.name, F.sum("_s").over(Window.partitionBy(*spec.key).orderBy(rs.peer)))
                .drop("_s"))
         out = out.join(day, [*spec.key, rs.peer], "left")
+    for pa in spec.peers:
+        # Peer groups of a hot key: combinable subtotals per (key, peer).
+        if pa.fn == "last":
+            agg = F.max(F.when(pa.expr.isNotNull(), F.struct(*[F.col(o) for o in spec.order],
+                                                             pa.expr.alias("_v"))))["_v"]
+        else:
+            agg = _AGGS[pa.fn](pa.expr)
+        grp = out.groupBy(*spec.key, pa.peer).agg(agg.alias(pa.name))
+        out = out.join(grp, [*spec.key, pa.peer], "left")
     return out
 
 
 def windowed(df: DataFrame, specs: list[Spec], max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY,
-             chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """Add the window columns of ``specs`` to ``df``.
+             chunk_rows: int = DEFAULT_CHUNK_ROWS, then: list[Spec] | None = None) -> DataFrame:
+    """Add the window columns of ``specs`` to ``df``; ``then`` specs run
+    afterwards on the same routing and may read the columns ``specs`` made.
 
     All specs must share the leading key columns (hot keys are detected on
-    them). With no hot key the plan is exactly the built-in window.
+    them, once). With no hot key the plan is exactly the built-in window, and
+    later specs partitioned by a superset of the key reuse its exchange.
     """
-    common = [c for c in specs[0].key if all(c in s.key for s in specs)]
+    then = then or []
+    specs_all = specs + then
+    common = [c for c in specs[0].key if all(c in s.key for s in specs_all)]
     if not common:
         raise ValueError("window specs need a common key")
     hot_keys = find_hot_keys(df, common, max_rows_per_key)
     found = hot_keys.limit(MAX_BROADCAST_KEYS + 1).collect()
     if not found:
-        return _plain(df, specs)
+        out = _plain(df, specs)
+        return _plain(out, then) if then else out
     if len(found) > MAX_BROADCAST_KEYS:
         raise ValueError("too many hot keys to broadcast; raise max_rows_per_key")
     n_hot_rows = sum(r["_n"] for r in found)
     keys = df.sparkSession.createDataFrame(found).select(*common)
     cold = _plain(df.join(F.broadcast(keys), common, "left_anti"), specs)
+    if then:
+        cold = _plain(cold, then)
     hot = df.join(F.broadcast(keys), common, "left_semi")
-    for s in specs:
+    for s in specs_all:
         hot = _hot_spec(hot, s, n_hot_rows, chunk_rows)
     return cold.unionByName(hot.select(*cold.columns))
 
@@ -188,14 +223,35 @@ class Calendar:
 _COMBINE = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.sum}
 
 
-def calendar_windowed(df: DataFrame, key: list[str], date_col: str, aggs: list[Calendar]) -> DataFrame:
-    """Calendar (day-range) frames. Every row of a key-day shares one frame,
-    so the frame values are computed once per key-day from day subtotals
-    (combined map-side, hence safe for a hot key) and joined back. Rows per
-    key in the day window are bounded by the calendar, not by the data."""
+def _calendar_plain(df: DataFrame, key: list[str], date_col: str, aggs: list[Calendar]) -> DataFrame:
+    order = F.unix_date(F.col(date_col))
+    return df.select("*", *[_AGGS[a.fn](a.expr).over(
+        Window.partitionBy(*key).orderBy(order).rangeBetween(-a.days, 0)).alias(a.name) for a in aggs])
+
+
+def _calendar_by_day(df: DataFrame, key: list[str], date_col: str, aggs: list[Calendar]) -> DataFrame:
     day = df.groupBy(*key, date_col).agg(*[_AGGS[a.fn](a.expr).alias(f"_d{i}") for i, a in enumerate(aggs)])
     order = F.unix_date(F.col(date_col))
     cols = [_COMBINE[a.fn](f"_d{i}").over(Window.partitionBy(*key).orderBy(order).rangeBetween(-a.days, 0))
             .alias(a.name) for i, a in enumerate(aggs)]
-    frames = day.select(*key, date_col, *cols)
-    return df.join(frames, [*key, date_col], "left")
+    return df.join(day.select(*key, date_col, *cols), [*key, date_col], "left")
+
+
+def calendar_windowed(df: DataFrame, key: list[str], date_col: str, aggs: list[Calendar],
+                      max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY) -> DataFrame:
+    """Calendar (day-range) frames on a DATE order column.
+
+    Ordinary keys use the built-in RANGE window (one exchange). Every row of
+    a key-day shares one frame, so for hot keys the frames are computed once
+    per key-day from day subtotals - combined map-side, hence safe for a key
+    with a third of all rows - and joined back; rows per key in that day
+    window are bounded by the calendar, not by the data."""
+    found = find_hot_keys(df, key, max_rows_per_key).limit(MAX_BROADCAST_KEYS + 1).collect()
+    if not found:
+        return _calendar_plain(df, key, date_col, aggs)
+    if len(found) > MAX_BROADCAST_KEYS:
+        return _calendar_by_day(df, key, date_col, aggs)
+    keys = df.sparkSession.createDataFrame(found).select(*key)
+    cold = _calendar_plain(df.join(F.broadcast(keys), key, "left_anti"), key, date_col, aggs)
+    hot = _calendar_by_day(df.join(F.broadcast(keys), key, "left_semi"), key, date_col, aggs)
+    return cold.unionByName(hot.select(*cold.columns))

@@ -455,3 +455,7 @@ ORACLE["masked_borrowers"] = f"""{LE}
 select event_id, loan_id, sha256(borrower_id) as borrower_id_hash,
   substr(borrower_id, 1, 4) || repeat('*', greatest(length(borrower_id) - 4, 0)) as borrower_id_masked
 from le"""
+
+ORACLE["loan_portfolio_daily_split"] = FACT_DAILY
+
+ORACLE["rolling_max_dpd_calendar_split"] = ORACLE["rolling_max_dpd_calendar"]

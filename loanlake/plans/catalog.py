@@ -402,3 +402,18 @@ def q_scd2_history(spark, sf_dir):
 @register("masked_borrowers")       # Q10
 def q_masked_borrowers(spark, sf_dir):
     return history.mask_borrowers(_raw(spark, sf_dir).select("event_id", "loan_id", "borrower_id"))
+
+
+@register("loan_portfolio_daily_split")  # F1-F2 form with every loan routed as a hot key
+def q_loan_portfolio_daily_split(spark, sf_dir):
+    return marts.loan_portfolio_daily(stg(spark, sf_dir), max_rows_per_key=10, chunk_rows=500)
+
+
+@register("rolling_max_dpd_calendar_split")  # calendar frames via per-day subtotals for every loan
+def q_rolling_max_dpd_calendar_split(spark, sf_dir):
+    d = F.col("days_past_due")
+    out = windows.calendar_windowed(_hist(spark, sf_dir), ["loan_id"], "event_date", [
+        windows.Calendar("max_dpd_30d", "max", d, 30),
+        windows.Calendar("max_dpd_90d", "max", d, 90),
+        windows.Calendar("delinquency_count_365d", "count", F.when(d > 0, 1), 365)], max_rows_per_key=100)
+    return out.select(*HIST_KEYS, "days_past_due", "max_dpd_30d", "max_dpd_90d", "delinquency_count_365d")

@@ -3,6 +3,8 @@ when one key holds most of the rows and chunk edges cut through it."""
 
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -63,11 +65,27 @@ def test_hot_keys_found_by_combinable_count(spark):
     assert [r["k"] for r in hot] == ["HOT"]
 
 
-def test_calendar_frames_on_dates(spark):
+@pytest.mark.parametrize("threshold", [10_000, 500])
+def test_calendar_frames_on_dates(spark, threshold):
     df = skewed(spark).withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), F.col("d")))
     got = W.calendar_windowed(df, ["k"], "day", [W.Calendar("m3", "max", F.col("dpd"), 3),
-                                                 W.Calendar("c3", "count", F.when(F.col("dpd") > 0, 1), 3)])
+                                                 W.Calendar("c3", "count", F.when(F.col("dpd") > 0, 1), 3)],
+                              max_rows_per_key=threshold)
     w = Window.partitionBy("k").orderBy("d").rangeBetween(-3, 0)
     want = df.select("*", F.max("dpd").over(w).alias("m3"),
                      F.count(F.when(F.col("dpd") > 0, 1)).over(w).alias("c3"))
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_peer_aggregates_split_equals_plain(spark):
+    df = skewed(spark)
+    d = F.col("dpd")
+    first = [W.Spec(["k"], ["d", "t"], rows=[W.Rows("mx30", "max", d, 30)])]
+    then = [W.Spec(["k"], ["d", "t"], peers=[
+        W.PeerAgg("last_mx", "last", F.col("mx30"), "d"),
+        W.PeerAgg("last_big", "last", F.when(d > 60, F.col("t")), "d"),
+        W.PeerAgg("n_big", "count", F.when(d > 60, 1), "d"),
+        W.PeerAgg("amt_day", "sum", F.col("amt"), "d")])]
+    plain_out = W.windowed(df, first, max_rows_per_key=10_000, then=then)
+    split_out = W.windowed(df, first, max_rows_per_key=500, chunk_rows=400, then=then)
+    assert rows(split_out.select(*plain_out.columns)) == rows(plain_out)

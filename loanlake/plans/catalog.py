@@ -318,11 +318,11 @@ LATEST_COLS = ["loan_id", "event_timestamp", "event_id", "current_balance", "day
 
 @register("upsert_latest_per_loan")  # H2 + H3 schema sync
 def q_upsert_latest_per_loan(spark, sf_dir):
-    s = stg(spark, sf_dir).select(*LATEST_COLS)
+    s = stg(spark, sf_dir)
     order = ["event_timestamp", "event_id"]
-    target = incremental.latest_per_key(_before_cut(stg(spark, sf_dir)).select(*LATEST_COLS), "loan_id", order) \
+    target = incremental.latest_per_key(_before_cut(s).select(*LATEST_COLS), "loan_id", order) \
         .withColumn("legacy_flag", F.lit(True))
-    source = s.join(_before_cut(stg(spark, sf_dir)).select("event_id"), "event_id", "left_anti")
+    source = s.filter(F.col("loaded_at") >= C.ts_ntz_lit(CUT)).select(*LATEST_COLS)
     return incremental.upsert(target, source, "loan_id", order)
 
 

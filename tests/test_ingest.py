@@ -95,3 +95,26 @@ def test_defaults_fill_only_absent_columns(spark):
             full = full.withColumn(c, F.lit(None).cast(dict(S.EVENT_FIELDS)[c]))
     out = landing.apply_defaults(full.drop("is_valid"), dt.datetime(2024, 1, 1), "b").first()
     assert out["days_past_due"] is None and out["is_valid"] is True and out["batch_id"] == "b"
+
+
+def test_bus_without_connector_is_reported(spark):
+    from loanlake.sources import bus
+    raw = fixtures.loan_events(spark, SF_SMALL).limit(3)
+    try:
+        bus.publish(raw, "localhost:1", "loan_events_raw")
+    except bus.BusUnavailable:
+        pass                      # expected here: no connector jar in this environment
+    except Exception as e:        # connector present but no broker: also acceptable
+        assert "kafka" in str(e).lower()
+
+
+def test_dedup_hot_key_combines_map_side(spark):
+    base = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(
+        F.concat(F.lit("k"), F.col("id").cast("string"))).alias("event_id"),
+        F.col("id").cast("timestamp").alias("event_timestamp"), F.col("id").cast("timestamp").alias("loaded_at"),
+        F.col("id").alias("v"))
+    out = merge.dedup_latest(base)
+    assert out.count() == 20001
+    hot = out.filter("event_id = 'HOT'").first()
+    assert hot["v"] == 29997          # the latest copy wins
+    assert "partial_max" in out._jdf.queryExecution().executedPlan().toString()

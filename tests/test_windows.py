@@ -89,3 +89,13 @@ def test_peer_aggregates_split_equals_plain(spark):
     plain_out = W.windowed(df, first, max_rows_per_key=10_000, then=then)
     split_out = W.windowed(df, first, max_rows_per_key=500, chunk_rows=400, then=then)
     assert rows(split_out.select(*plain_out.columns)) == rows(plain_out)
+
+
+def test_scd2_split_equals_plain(spark):
+    from loanlake.operators import history
+    df = skewed(spark).select(F.col("k").alias("loan_id"), F.col("t").cast("string").alias("event_id"),
+                              F.col("t").cast("timestamp").alias("event_timestamp"),
+                              (F.col("dpd") > 60).alias("delinquency_bucket"), F.lit("A").alias("credit_tier"))
+    a = history.scd2(df, max_rows_per_key=10_000)
+    b = history.scd2(df, max_rows_per_key=500)
+    assert rows(a) == rows(b)

@@ -88,3 +88,34 @@ def upsert(target: DataFrame, source: DataFrame, key: str, order: list[str]) ->
     src = latest_per_key(source, key, order)
     tgt = sync_columns(target, src)
     return tgt.join(src.select(key), key, "left_anti").unionByName(src)
+
+
+def changed_partitions(stg: DataFrame, target: DataFrame, since, **fact_kwargs):
+    """Rows of the fact's ``event_date`` partitions that a refresh changes.
+
+    Every fact window looks backwards (ROWS frames, LAG, running totals whose
+    RANGE peers share a date), so a loan's rows dated before its earliest new
+    event cannot change. Per affected loan L with earliest new date d0(L):
+    rows on/after d0(L) are rebuilt from L's history; every other row of the
+    touched dates is carried over from the target (partition-pruned read).
+    Returns (rows for the touched dates, list of touched dates); the caller
+    overwrites exactly those partitions. With in-order feeds that is the
+    current day, not the table.
+    """
+    fresh = stg.filter(F.col("loaded_at") > F.lit(since)) if since is not None else \
+        stg.join(target.select("event_id"), "event_id", "left_anti")
+    affected = fresh.groupBy("loan_id").agg(F.min("event_date").alias("_d0")).persist()
+    n = affected.count()
+    if n == 0:
+        return None, []
+    history = _keys_join(stg, affected.select("loan_id"), "loan_id", "left_semi", n)
+    rebuilt = _keys_join(marts.loan_portfolio(history, **fact_kwargs), affected, "loan_id", "inner", n) \
+        .filter(F.col("event_date") >= F.col("_d0")).drop("_d0").persist()
+    # One value per calendar day: bounded by the calendar, safe to collect.
+    dates = sorted(r[0] for r in rebuilt.select("event_date").distinct().collect())
+    if not dates:
+        return None, []
+    touched = target.filter(F.col("event_date").isin(dates))
+    kept = _keys_join(touched, affected, "loan_id", "left", n) \
+        .filter(F.col("_d0").isNull() | (F.col("event_date") < F.col("_d0"))).drop("_d0")
+    return kept.unionByName(rebuilt.select(*kept.columns)), dates

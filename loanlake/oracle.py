@@ -459,3 +459,10 @@ from le"""
 ORACLE["loan_portfolio_daily_split"] = FACT_DAILY
 
 ORACLE["rolling_max_dpd_calendar_split"] = ORACLE["rolling_max_dpd_calendar"]
+
+ORACLE["incremental_partition_refresh"] = f"""with fact as ({FACT}),
+loan_events as ({LOAN_EVENTS}), stg as ({STG}),
+since as (select max(loaded_at) as m from stg where loaded_at < {CUT} and is_complete_record),
+fresh as (select loan_id, min(event_date) as d0 from stg where loaded_at > (select m from since) group by loan_id),
+touched as (select distinct f.event_date from fact f join fresh r on f.loan_id = r.loan_id where f.event_date >= r.d0)
+select * from fact where event_date in (select event_date from touched)"""

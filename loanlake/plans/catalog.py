@@ -417,3 +417,12 @@ def q_rolling_max_dpd_calendar_split(spark, sf_dir):
         windows.Calendar("max_dpd_90d", "max", d, 90),
         windows.Calendar("delinquency_count_365d", "count", F.when(d > 0, 1), 365)], max_rows_per_key=100)
     return out.select(*HIST_KEYS, "days_past_due", "max_dpd_30d", "max_dpd_90d", "delinquency_count_365d")
+
+
+@register("incremental_partition_refresh")  # touched event_date partitions == full build on those dates
+def q_incremental_partition_refresh(spark, sf_dir):
+    s = stg(spark, sf_dir)
+    target = marts.loan_portfolio(_before_cut(s))
+    since = target.agg(F.max("loaded_at")).first()[0]
+    rows, _ = incremental.changed_partitions(s, target, since)
+    return rows

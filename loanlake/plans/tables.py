@@ -90,6 +90,25 @@ class VersionedTable:
         return path
 
 
+def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str, partition_col: str,
+                         sort_cols: list[str], staging_dir: str) -> None:
+    """Replace only the ``partition_col`` partitions present in ``df``.
+
+    ``df`` usually reads the same table, and a path cannot be overwritten
+    while it is read, so the new partitions are first written to a staging
+    folder (under the shared checkpoint dir), then swapped in with dynamic
+    partition overwrite. Each replaced partition is committed as a unit."""
+    clustered(df, partition_col, sort_cols).write.mode("overwrite").partitionBy(partition_col).parquet(staging_dir)
+    staged = spark.read.parquet(staging_dir)
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        clustered(staged, partition_col, sort_cols).write.mode("overwrite") \
+            .partitionBy(partition_col).parquet(path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+
+
 def clustered(df: DataFrame, partition_col: str, sort_cols: list[str]) -> DataFrame:
     """Cluster rows for a write partitioned by ``partition_col`` (A12): one
     shuffle groups each partition value, the sort gives tight row-group

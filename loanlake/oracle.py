@@ -466,3 +466,13 @@ since as (select max(loaded_at) as m from stg where loaded_at < {CUT} and is_com
 fresh as (select loan_id, min(event_date) as d0 from stg where loaded_at > (select m from since) group by loan_id),
 touched as (select distinct f.event_date from fact f join fresh r on f.loan_id = r.loan_id where f.event_date >= r.d0)
 select * from fact where event_date in (select event_date from touched)"""
+
+ORACLE["json_extract_cast"] = f"{LE} select {EVENT_COLS} from le"
+
+ORACLE["payment_flags"] = f"""{BASE}
+select event_id, payment_amount, monthly_payment,
+  {rnd('payment_amount / nullif(monthly_payment, 0)', 4)} as payment_ratio,
+  payment_amount >= monthly_payment as is_full_payment,
+  payment_amount > monthly_payment as is_overpayment,
+  payment_amount < monthly_payment and payment_amount > 0 as is_partial_payment
+from stg"""

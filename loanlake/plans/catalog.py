@@ -426,3 +426,16 @@ def q_incremental_partition_refresh(spark, sf_dir):
     since = target.agg(F.max("loaded_at")).first()[0]
     rows, _ = incremental.changed_partitions(s, target, since)
     return rows
+
+
+@register("json_extract_cast")      # B1: path extraction + try_cast of every event field
+def q_json_extract_cast(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return landing.extract_events(raw.select(landing.to_event_json(raw).alias("doc")))
+
+
+@register("payment_flags")          # E1-E2 on every staging row
+def q_payment_flags(spark, sf_dir):
+    return stg(spark, sf_dir).select("event_id", "payment_amount", "monthly_payment",
+                                     C.payment_ratio().alias("payment_ratio"),
+                                     *[e.alias(n) for n, e in C.payment_flags().items()])

@@ -62,6 +62,13 @@ def _typed(v: Column) -> list[Column]:
     return out
 
 
+def extract_events(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
+    """B1 on its own: JSON object text -> the 21 typed event fields (NULL
+    where a field is missing, malformed or fails its cast); no quarantine."""
+    v = F.explode(F.array(F.try_parse_json(F.col(doc_col)))).alias("_v")
+    return docs.select(v).select(F.inline(F.array(F.struct(*_typed(F.col("_v"))))))
+
+
 def parse_documents(docs: DataFrame, doc_col: str = "doc", source_col: str = "source",
                     layout: str = "lines") -> tuple[DataFrame, DataFrame]:
     """Parse JSON documents into typed events and rejects.

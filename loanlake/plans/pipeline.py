@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from loanlake import schema as S
 from loanlake.operators import incremental, merge, quality, staging
-from loanlake.plans.tables import clustered, exists, overwrite_partitions, read_or_empty
+from loanlake.plans.tables import clustered, exists, overwrite_partitions, read_marker, read_or_empty, write_marker
 from loanlake.session import ensure_checkpoint_dir
 from loanlake.sources import landing
 
@@ -99,13 +99,18 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
     raw = read_or_empty(spark, cfg.raw_path, S.RAW_SCHEMA)
     stg = staging.stage_loans(raw, as_of=now)
     sort_cols = ["tenant_id", "loan_id"]
+    watermark_path = cfg.fact_path.rstrip("/") + "_watermark.json"
+    high = raw.agg(F.max("loaded_at")).first()[0]            # everything up to here is in the fact after this run
     if not exists(spark, cfg.fact_path):
         fact = incremental.refresh_fact(stg, None, **cfg.fact_kwargs)          # H1: first run, full build
         clustered(fact, "event_date", sort_cols).write.partitionBy("event_date").parquet(cfg.fact_path)
         dates = None
     else:
         target = spark.read.parquet(cfg.fact_path)
-        since = target.agg(F.max("loaded_at")).first()[0]
+        mark = read_marker(spark, watermark_path)
+        # The watermark moves only after a refresh fully succeeded, so a run
+        # that died mid-swap is redone (idempotently) by the next one.
+        since = dt.datetime.fromisoformat(mark["loaded_at"]) if mark else None
         rows, dates = incremental.changed_partitions(stg, target, since, **cfg.fact_kwargs)
         if rows is not None:
             staging_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fact-stage-{batch_id}-{uuid.uuid4().hex}"
@@ -116,6 +121,8 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
     result = fact_tests(fact_now)
     if not result.passed:
         raise QualityGateError(f"post-build tests failed: {result.failures[:5]}")
+    if high is not None:
+        write_marker(spark, watermark_path, {"loaded_at": high.isoformat(), "batch_id": batch_id})
     audit = {**counts, "status": "loaded", "fact_dates_rewritten": len(dates) if dates is not None else -1,
              "run_at": now.isoformat(),
              "warnings": ";".join(f"{w['rule']}={w['violations']}" for w in warnings)}

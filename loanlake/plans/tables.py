@@ -57,6 +57,17 @@ def _write_text(spark, path: str, text: str) -> None:
     fs.rename(tmp, p)
 
 
+def read_marker(spark: SparkSession, path: str) -> dict | None:
+    """A small JSON marker file (e.g. a refresh watermark), or None."""
+    txt = _read_text(spark, path)
+    return json.loads(txt) if txt else None
+
+
+def write_marker(spark: SparkSession, path: str, value: dict) -> None:
+    """Replace a marker file via temp + rename."""
+    _write_text(spark, path, json.dumps(value, default=str))
+
+
 class VersionedTable:
     """A table whose every rewrite goes to a new ``v=<n>`` folder; readers
     follow ``_CURRENT``. A path cannot be overwritten while it is read, and a

@@ -90,7 +90,7 @@ def upsert(target: DataFrame, source: DataFrame, key: str, order: list[str]) ->
     return tgt.join(src.select(key), key, "left_anti").unionByName(src)
 
 
-def changed_partitions(stg: DataFrame, target: DataFrame, since, **fact_kwargs):
+def changed_partitions(stg: DataFrame, target: DataFrame, since, inclusive: bool = False, **fact_kwargs):
     """Rows of the fact's ``event_date`` partitions that a refresh changes.
 
     Every fact window looks backwards (ROWS frames, LAG, running totals whose
@@ -100,9 +100,12 @@ def changed_partitions(stg: DataFrame, target: DataFrame, since, **fact_kwargs):
     touched dates is carried over from the target (partition-pruned read).
     Returns (rows for the touched dates, list of touched dates); the caller
     overwrites exactly those partitions. With in-order feeds that is the
-    current day, not the table.
+    current day, not the table. ``inclusive`` also treats rows loaded
+    exactly at ``since`` as new (recomputing them is harmless; it guards
+    against two loads stamped with the same time).
     """
-    fresh = stg.filter(F.col("loaded_at") > F.lit(since)) if since is not None else \
+    newer = (F.col("loaded_at") >= F.lit(since)) if inclusive else (F.col("loaded_at") > F.lit(since))
+    fresh = stg.filter(newer) if since is not None else \
         stg.join(target.select("event_id"), "event_id", "left_anti")
     affected = fresh.groupBy("loan_id").agg(F.min("event_date").alias("_d0")).persist()
     n = affected.count()

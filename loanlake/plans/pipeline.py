@@ -80,42 +80,43 @@ def fact_tests(fact):
                                    "accepted": "rows"})
 
 
-def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
-    now = cfg.as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    batch_id = cfg.batch_id or now.strftime("%Y%m%dT%H%M%S")
-    events, rejects = landing.read_landing(spark, cfg.landing_dir, cfg.layout)
-    events = events.persist()
-    try:
-        if events.isEmpty() and rejects.isEmpty():          # C6: nothing new -> skip downstream
-            return {"batch_id": batch_id, "status": "skipped", "rows_inserted": 0}
-        failures, warnings = validate_batch(events, rejects, cfg.max_reject_share, cfg.critical_rules)
-        if failures:
-            raise QualityGateError(f"{len(failures)} validation failures: {failures[:5]}")
-        rejects.write.mode("overwrite").json(f"{cfg.rejects_path}/batch={batch_id}")
-        raw_batch = landing.apply_defaults(events, loaded_at=now, batch_id=batch_id)
-        counts = merge.load_batch(spark, raw_batch, cfg.raw_path, batch_id)
-    finally:
-        events.unpersist()
-    raw = read_or_empty(spark, cfg.raw_path, S.RAW_SCHEMA)
-    stg = staging.stage_loans(raw, as_of=now)
+def load_stamp(spark: SparkSession, fact_path: str, now: dt.datetime) -> dt.datetime:
+    """The loaded_at for a new load: ``now``, moved just past the refresh
+    watermark if the clock has not advanced beyond it, so every load is
+    strictly newer than what the fact already covers."""
+    mark = read_marker(spark, fact_path.rstrip("/") + "_watermark.json")
+    if mark:
+        floor = dt.datetime.fromisoformat(mark["loaded_at"]) + dt.timedelta(microseconds=1)
+        return max(now, floor)
+    return now
+
+
+def refresh_step(spark: SparkSession, raw_path: str, fact_path: str, as_of: dt.datetime, batch_id: str,
+                 **fact_kwargs) -> list | None:
+    """Stage the raw table and bring the fact up to date (first run: full
+    build; later: only the touched event_date partitions), run the
+    post-build tests on what was written, then move the watermark. Returns
+    the rewritten dates (None after a full build)."""
+    raw = read_or_empty(spark, raw_path, S.RAW_SCHEMA)
+    stg = staging.stage_loans(raw, as_of=as_of)
     sort_cols = ["tenant_id", "loan_id"]
-    watermark_path = cfg.fact_path.rstrip("/") + "_watermark.json"
+    watermark_path = fact_path.rstrip("/") + "_watermark.json"
     high = raw.agg(F.max("loaded_at")).first()[0]            # everything up to here is in the fact after this run
-    if not exists(spark, cfg.fact_path):
-        fact = incremental.refresh_fact(stg, None, **cfg.fact_kwargs)          # H1: first run, full build
-        clustered(fact, "event_date", sort_cols).write.partitionBy("event_date").parquet(cfg.fact_path)
+    if not exists(spark, fact_path):
+        fact = incremental.refresh_fact(stg, None, **fact_kwargs)               # H1: first run, full build
+        clustered(fact, "event_date", sort_cols).write.partitionBy("event_date").parquet(fact_path)
         dates = None
     else:
-        target = spark.read.parquet(cfg.fact_path)
+        target = spark.read.parquet(fact_path)
         mark = read_marker(spark, watermark_path)
         # The watermark moves only after a refresh fully succeeded, so a run
         # that died mid-swap is redone (idempotently) by the next one.
         since = dt.datetime.fromisoformat(mark["loaded_at"]) if mark else None
-        rows, dates = incremental.changed_partitions(stg, target, since, **cfg.fact_kwargs)
+        rows, dates = incremental.changed_partitions(stg, target, since, **fact_kwargs)
         if rows is not None:
             staging_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fact-stage-{batch_id}-{uuid.uuid4().hex}"
-            overwrite_partitions(spark, rows, cfg.fact_path, "event_date", sort_cols, staging_dir)
-    fact_now = spark.read.parquet(cfg.fact_path)
+            overwrite_partitions(spark, rows, fact_path, "event_date", sort_cols, staging_dir)
+    fact_now = spark.read.parquet(fact_path)
     if dates:
         fact_now = fact_now.filter(F.col("event_date").isin(dates))             # test what was rewritten
     result = fact_tests(fact_now)
@@ -123,6 +124,26 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
         raise QualityGateError(f"post-build tests failed: {result.failures[:5]}")
     if high is not None:
         write_marker(spark, watermark_path, {"loaded_at": high.isoformat(), "batch_id": batch_id})
+    return dates
+
+
+def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
+    now = load_stamp(spark, cfg.fact_path, cfg.as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+    batch_id = cfg.batch_id or now.strftime("%Y%m%dT%H%M%S")
+    events, rejects = landing.read_landing(spark, cfg.landing_dir, cfg.layout)
+    events = events.persist()
+    try:
+        if events.isEmpty() and rejects.isEmpty():          # C6: nothing new -> skip downstream
+            return {"batch_id": batch_id, "status": "skipped", "rows_inserted": 0}
+        failures, warnings = validate_batch(events, rejects, cfg.max_reject_share, cfg.critical_rules)
+        if failures:
+            raise QualityGateError(f"{len(failures)} validation failures: {failures[:5]}")
+        rejects.write.mode("overwrite").json(f"{cfg.rejects_path}/batch={batch_id}")
+        raw_batch = landing.apply_defaults(events, loaded_at=now, batch_id=batch_id)
+        counts = merge.load_batch(spark, raw_batch, cfg.raw_path, batch_id)
+    finally:
+        events.unpersist()
+    dates = refresh_step(spark, cfg.raw_path, cfg.fact_path, now, batch_id, **cfg.fact_kwargs)
     audit = {**counts, "status": "loaded", "fact_dates_rewritten": len(dates) if dates is not None else -1,
              "run_at": now.isoformat(),
              "warnings": ";".join(f"{w['rule']}={w['violations']}" for w in warnings)}

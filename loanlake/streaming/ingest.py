@@ -41,16 +41,25 @@ def landing_stream(spark: SparkSession, landing_dir: str, layout: str = "lines",
 
 
 def make_batch_loader(spark: SparkSession, raw_path: str, rejects_path: str | None = None,
-                      audit_path: str | None = None, layout: str = "lines", clock=None):
-    """The foreachBatch function: parse, quarantine, merge, audit."""
+                      audit_path: str | None = None, layout: str = "lines", clock=None,
+                      fact_path: str | None = None):
+    """The foreachBatch function: parse, quarantine, merge, audit - and, with
+    ``fact_path``, refresh the fact's touched partitions in the same batch."""
     clock = clock or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
 
     def load(docs: DataFrame, batch_id: int) -> None:
         if docs.isEmpty():          # C6/C7: nothing arrived, nothing to do
             return
         events, rejects = landing.parse_documents(docs, layout=layout)
-        raw = landing.apply_defaults(events, loaded_at=clock(), batch_id=str(batch_id))
+        now = clock()
+        if fact_path:
+            from loanlake.plans.pipeline import load_stamp
+            now = load_stamp(spark, fact_path, now)
+        raw = landing.apply_defaults(events, loaded_at=now, batch_id=str(batch_id))
         counts = merge.load_batch(spark, raw, raw_path, batch_id=str(batch_id))
+        if fact_path:
+            from loanlake.plans.pipeline import refresh_step
+            refresh_step(spark, raw_path, fact_path, now, f"stream-{batch_id}")
         if rejects_path:
             rejects.write.mode("overwrite").json(f"{rejects_path}/batch={batch_id}")
         if audit_path:
@@ -63,11 +72,12 @@ def make_batch_loader(spark: SparkSession, raw_path: str, rejects_path: str | No
 def start_ingest(spark: SparkSession, landing_dir: str, raw_path: str, checkpoint: str,
                  rejects_path: str | None = None, audit_path: str | None = None, layout: str = "lines",
                  max_files_per_trigger: int | None = None, available_now: bool = False,
-                 interval: str = "15 minutes", purge: bool = False, clock=None):
+                 interval: str = "15 minutes", purge: bool = False, clock=None, fact_path: str | None = None):
     """Start the ingest query. ``available_now`` drains what is there and
     stops (one scheduled run); otherwise a micro-batch every ``interval``."""
     docs = landing_stream(spark, landing_dir, layout, max_files_per_trigger, purge)
-    w = (docs.writeStream.foreachBatch(make_batch_loader(spark, raw_path, rejects_path, audit_path, layout, clock))
+    w = (docs.writeStream.foreachBatch(make_batch_loader(spark, raw_path, rejects_path, audit_path, layout, clock,
+                                                         fact_path))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()

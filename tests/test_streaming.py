@@ -71,3 +71,19 @@ def test_dedup_within_watermark_drops_copies(spark, scratch):
     q.awaitTermination(600)
     out = spark.table("dedup_out")
     assert out.count() == out.select("event_id").distinct().count()
+
+
+def test_stream_keeps_fact_current(spark, scratch):
+    from loanlake.operators import marts, staging
+    land, rawp, ck, fact = (os.path.join(scratch, x) for x in ("landing", "raw", "ckpt", "fact"))
+    raw = shuffled_landing(spark, land, n_files=3)
+    q = ingest.start_ingest(spark, land, rawp, ck, max_files_per_trigger=1, available_now=True,
+                            clock=lambda: dt.datetime(2024, 2, 1), fact_path=fact)   # frozen clock
+    q.awaitTermination(900)
+    loaded = spark.read.parquet(rawp)
+    assert loaded.count() == raw.count()
+    want = marts.loan_portfolio(staging.stage_loans(loaded, as_of=dt.datetime(2024, 2, 1, 0, 2)))
+    got = spark.read.parquet(fact)
+    cols = [c for c in want.columns if c not in ("dbt_updated_at", "loan_age_years")]
+    assert sorted(repr(tuple(r)) for r in got.select(*cols).collect()) == \
+        sorted(repr(tuple(r)) for r in want.select(*cols).collect())

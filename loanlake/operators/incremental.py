@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanlake.functions.columns import ts_ntz_lit
 from loanlake.operators import marts
 
 BROADCAST_KEYS = 2_000_000
@@ -55,7 +56,7 @@ def refresh_fact(stg: DataFrame, target: DataFrame | None, since=None, **fact_kw
     if target is None:
         return marts.loan_portfolio(stg, **fact_kwargs)
     if since is not None:
-        fresh = stg.filter(F.col("loaded_at") > F.lit(since))
+        fresh = stg.filter(F.col("loaded_at") > ts_ntz_lit(since))
     else:
         fresh = stg.join(target.select("event_id"), "event_id", "left_anti")
     affected = fresh.select("loan_id").distinct().persist()
@@ -104,7 +105,7 @@ def changed_partitions(stg: DataFrame, target: DataFrame, since, inclusive: bool
     exactly at ``since`` as new (recomputing them is harmless; it guards
     against two loads stamped with the same time).
     """
-    newer = (F.col("loaded_at") >= F.lit(since)) if inclusive else (F.col("loaded_at") > F.lit(since))
+    newer = (F.col("loaded_at") >= ts_ntz_lit(since)) if inclusive else (F.col("loaded_at") > ts_ntz_lit(since))
     fresh = stg.filter(newer) if since is not None else \
         stg.join(target.select("event_id"), "event_id", "left_anti")
     affected = fresh.groupBy("loan_id").agg(F.min("event_date").alias("_d0")).persist()

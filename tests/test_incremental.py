@@ -4,6 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from loanlake.functions.columns import ts_ntz_lit
+
 from loanlake.operators import incremental, marts, staging
 from loanlake.sources import fixtures
 from conftest import SF_SMALL
@@ -22,7 +24,7 @@ def test_refresh_in_three_runs_equals_full_build(spark):
     cuts = [dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20)]
     target, since = None, None
     for cut in cuts + [None]:
-        part = s if cut is None else s.filter(F.col("loaded_at") < F.lit(cut))
+        part = s if cut is None else s.filter(F.col("loaded_at") < ts_ntz_lit(cut))
         target = incremental.refresh_fact(part, target, since=since).cache()
         target.count()
         since = part.agg(F.max("loaded_at")).first()[0]
@@ -33,7 +35,7 @@ def test_refresh_in_three_runs_equals_full_build(spark):
 def test_refresh_without_watermark_uses_event_id(spark):
     s = stg_all(spark)
     cut = dt.datetime(2024, 1, 15, 12)
-    first = marts.loan_portfolio(s.filter(F.col("loaded_at") < F.lit(cut)))
+    first = marts.loan_portfolio(s.filter(F.col("loaded_at") < ts_ntz_lit(cut)))
     out = incremental.refresh_fact(s, first)
     assert rows(out) == rows(marts.loan_portfolio(s))
 
@@ -44,10 +46,10 @@ def test_literal_filter_quirks(spark):
     assert incremental.new_since_max_date(s, empty).count() == 0                   # K3 literal
     assert incremental.new_since_max_date(s, empty, full_build_when_empty=True).count() == s.count()
     cut = dt.datetime(2024, 1, 15, 12)
-    before = marts.loan_portfolio(s.filter(F.col("loaded_at") < F.lit(cut)))
+    before = marts.loan_portfolio(s.filter(F.col("loaded_at") < ts_ntz_lit(cut)))
     new = incremental.new_since_max_date(s, before)
     # K2: events of the cut day loaded after the cut are never picked up by the strict '>'
-    missed = s.filter((F.col("loaded_at") >= F.lit(cut)) & (F.col("event_date") <= F.lit(dt.date(2024, 1, 15))))
+    missed = s.filter((F.col("loaded_at") >= ts_ntz_lit(cut)) & (F.col("event_date") <= F.lit(dt.date(2024, 1, 15))))
     assert missed.count() > 0
     assert missed.join(new, "event_id", "left_semi").count() == 0
 

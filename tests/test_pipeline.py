@@ -6,6 +6,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from loanlake.functions.columns import ts_ntz_lit
+
 from loanlake.operators import marts, staging
 from loanlake.plans import pipeline
 from loanlake.sources import fixtures, landing
@@ -21,7 +23,7 @@ def cfg(scratch, land, **kw):
 
 def test_two_runs_then_replay(spark, scratch):
     raw = fixtures.loan_events(spark, SF_SMALL)
-    cut = F.lit(dt.datetime(2024, 1, 15, 12))
+    cut = ts_ntz_lit(dt.datetime(2024, 1, 15, 12))
     l1, l2 = os.path.join(scratch, "land1"), os.path.join(scratch, "land2")
     landing.write_landing(raw.filter(F.col("loaded_at") < cut), l1)
     landing.write_landing(raw.filter(F.col("loaded_at") >= cut), l2)
@@ -76,7 +78,7 @@ def test_critical_range_rule_stops_run(spark, scratch):
 
 def test_failed_refresh_is_redone_by_next_run(spark, scratch, monkeypatch):
     raw = fixtures.loan_events(spark, SF_SMALL)
-    cut = F.lit(dt.datetime(2024, 1, 15, 12))
+    cut = ts_ntz_lit(dt.datetime(2024, 1, 15, 12))
     l1, l2 = (os.path.join(scratch, x) for x in ("land1", "land2"))
     landing.write_landing(raw.filter(F.col("loaded_at") < cut), l1)
     landing.write_landing(raw.filter(F.col("loaded_at") >= cut), l2)

@@ -190,10 +190,29 @@ DIM_ATTRIBUTES = ["borrower_id", "tenant_id", "loan_type", "loan_purpose", "orig
 
 
 def dim_loan_attributes(stg: DataFrame) -> DataFrame:
-    """Static attributes per loan, latest event wins."""
+    """Static attributes per loan, latest event (event_timestamp, then
+    event_id) wins; ``attributes_as_of`` / ``latest_event_id`` name it."""
     latest = F.max(F.struct("event_timestamp", "event_id", *DIM_ATTRIBUTES)).alias("l")
-    return (stg.groupBy("loan_id").agg(latest, F.max("event_timestamp").alias("attributes_as_of"))
-            .select("loan_id", *[F.col(f"l.{c}").alias(c) for c in DIM_ATTRIBUTES], "attributes_as_of"))
+    return (stg.groupBy("loan_id").agg(latest)
+            .select("loan_id", *[F.col(f"l.{c}").alias(c) for c in DIM_ATTRIBUTES],
+                    F.col("l.event_timestamp").alias("attributes_as_of"),
+                    F.col("l.event_id").alias("latest_event_id")))
+
+
+def merge_dimension(previous: DataFrame | None, stg_new: DataFrame) -> DataFrame:
+    """J6 kept incrementally: the previous dimension plus the latest row per
+    loan among new events; per loan the later (attributes_as_of,
+    latest_event_id) wins, so a late-arriving older event never overwrites
+    newer attributes. One combinable aggregate over loans, no window."""
+    fresh = dim_loan_attributes(stg_new)
+    if previous is None:
+        return fresh
+    both = previous.select(*fresh.columns).unionByName(fresh)
+    rest = [c for c in fresh.columns if c not in ("loan_id", "attributes_as_of", "latest_event_id")]
+    best = F.max(F.struct("attributes_as_of", "latest_event_id", *rest)).alias("b")
+    return both.groupBy("loan_id").agg(best).select("loan_id", *[F.col(f"b.{c}").alias(c) for c in
+                                                                 fresh.columns if c != "loan_id"]) \
+        .select(*fresh.columns)
 
 
 def executive_portfolio(fact: DataFrame) -> DataFrame:

@@ -212,10 +212,9 @@ select tenant_id, property_state, delinquency_bucket, count(*) as event_count, c
 from stg group by tenant_id, property_state, delinquency_bucket"""
 
 ORACLE["dim_loan_attributes"] = f"""{BASE},
-r as (select *, row_number() over (partition by loan_id order by event_timestamp desc, event_id desc) as rn,
-        max(event_timestamp) over (partition by loan_id) as attributes_as_of from stg)
+r as (select *, row_number() over (partition by loan_id order by event_timestamp desc, event_id desc) as rn from stg)
 select loan_id, borrower_id, tenant_id, loan_type, loan_purpose, origination_date, maturity_date, loan_term_months,
-  property_state, original_balance, interest_rate, attributes_as_of
+  property_state, original_balance, interest_rate, event_timestamp as attributes_as_of, event_id as latest_event_id
 from r where rn = 1"""
 
 ORACLE["executive_portfolio"] = f"""with fact as ({FACT})
@@ -476,3 +475,5 @@ select event_id, payment_amount, monthly_payment,
   payment_amount > monthly_payment as is_overpayment,
   payment_amount < monthly_payment and payment_amount > 0 as is_partial_payment
 from stg"""
+
+ORACLE["dimension_merge"] = ORACLE["dim_loan_attributes"]

@@ -439,3 +439,11 @@ def q_payment_flags(spark, sf_dir):
     return stg(spark, sf_dir).select("event_id", "payment_amount", "monthly_payment",
                                      C.payment_ratio().alias("payment_ratio"),
                                      *[e.alias(n) for n, e in C.payment_flags().items()])
+
+
+@register("dimension_merge")        # J6 kept by merge on loan_id: previous dimension + later events
+def q_dimension_merge(spark, sf_dir):
+    s = stg(spark, sf_dir)
+    previous = marts.dim_loan_attributes(_before_cut(s))
+    later = s.filter(F.col("loaded_at") >= C.ts_ntz_lit(CUT))
+    return marts.merge_dimension(previous, later)

@@ -76,9 +76,13 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def current(self) -> str | None:
+    def pointer(self) -> dict | None:
         txt = _read_text(self.spark, f"{self.root}/_CURRENT")
-        return json.loads(txt)["path"] if txt else None
+        return json.loads(txt) if txt else None
+
+    def current(self) -> str | None:
+        p = self.pointer()
+        return p["path"] if p else None
 
     def read(self, schema: T.StructType | None = None) -> DataFrame | None:
         cur = self.current()
@@ -88,7 +92,7 @@ class VersionedTable:
         return (r.schema(schema) if schema else r).parquet(cur)
 
     def write(self, df: DataFrame, partition_by: list[str] | None = None,
-              sort_within: list[str] | None = None) -> str:
+              sort_within: list[str] | None = None, meta: dict | None = None) -> str:
         cur = self.current()
         n = int(cur.rsplit("v=", 1)[1]) + 1 if cur else 0
         path = f"{self.root}/v={n}"
@@ -97,7 +101,7 @@ class VersionedTable:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        _write_text(self.spark, f"{self.root}/_CURRENT", json.dumps({"path": path}))
+        _write_text(self.spark, f"{self.root}/_CURRENT", json.dumps({"path": path, **(meta or {})}, default=str))
         return path
 
 

@@ -10,11 +10,13 @@ from loanlake.functions.columns import ts_ntz_lit
 
 from loanlake.operators import marts, staging
 from loanlake.plans import pipeline
+from loanlake.plans.tables import VersionedTable
 from loanlake.sources import fixtures, landing
 from conftest import SF_SMALL
 
 
 def cfg(scratch, land, **kw):
+    kw.setdefault("dim_root", os.path.join(scratch, "dim"))
     return pipeline.PipelineConfig(landing_dir=land, raw_path=os.path.join(scratch, "raw"),
                                    fact_path=os.path.join(scratch, "fact"),
                                    rejects_path=os.path.join(scratch, "rejects"),
@@ -45,6 +47,10 @@ def test_two_runs_then_replay(spark, scratch):
     assert sorted(repr(tuple(r)) for r in fact.select(*cols).collect()) == \
         sorted(repr(tuple(r)) for r in want.select(*cols).collect())
     assert spark.read.json(os.path.join(scratch, "audit")).count() == 3
+    dim = VersionedTable(spark, os.path.join(scratch, "dim")).read()
+    want_dim = marts.dim_loan_attributes(staging.stage_loans(loaded))
+    assert sorted(repr(tuple(r)) for r in dim.select(*want_dim.columns).collect()) == \
+        sorted(repr(tuple(r)) for r in want_dim.collect())
     assert spark.read.json(os.path.join(scratch, "rejects")).count() > 0             # NULL borrowers quarantined
 
 

@@ -79,10 +79,15 @@ def parse_documents(docs: DataFrame, doc_col: str = "doc", source_col: str = "so
     optimizer from copying the parse into every later field check. Returns
     (events, rejects); rejects carry the source, the raw text and a reason.
     """
+    # The text reader keeps invalid UTF-8 bytes as they are: such a document
+    # is rejected, not silently repaired.
+    utf8_ok = F.is_valid_utf8(F.col(doc_col))
     parsed = docs.select(F.col(source_col).alias("source"), F.col(doc_col).alias("_doc"),
-                         F.explode(F.array(F.try_parse_json(F.col(doc_col)))).alias("_v"))
+                         F.explode(F.array(F.when(utf8_ok, F.try_parse_json(F.col(doc_col))))).alias("_v"),
+                         utf8_ok.alias("_utf8"))
     bad_docs = parsed.filter(F.col("_v").isNull()).select(
-        "source", F.col("_doc").alias("record"), F.lit("malformed_json").alias("reason"))
+        "source", F.col("_doc").alias("record"),
+        F.when(F.col("_utf8"), F.lit("malformed_json")).otherwise(F.lit("invalid_utf8")).alias("reason"))
     good = parsed.filter(F.col("_v").isNotNull())
     if layout == "array":
         arr = F.try_variant_get("_v", "$", "array<variant>")

@@ -118,3 +118,16 @@ def test_dedup_hot_key_combines_map_side(spark):
     hot = out.filter("event_id = 'HOT'").first()
     assert hot["v"] == 29997          # the latest copy wins
     assert "partial_max" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_gzip_array_file_and_invalid_utf8(spark, scratch):
+    import gzip
+    d = os.path.join(scratch, "landing")
+    os.makedirs(d)
+    with gzip.open(os.path.join(d, "batch.json.gz"), "wt") as f:
+        f.write(json.dumps([event(1), event(2)]))
+    with open(os.path.join(d, "latin1.json"), "wb") as f:
+        f.write(json.dumps([event(3, property_state="CA")]).encode("utf-8").replace(b'"CA"', b'"C\xe9"'))
+    events, rejects = landing.read_landing(spark, d, layout="array")
+    assert sorted(r["event_id"] for r in events.collect()) == ["e-1", "e-2"]
+    assert [r["reason"] for r in rejects.collect()] == ["invalid_utf8"]

@@ -16,14 +16,14 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loanlake import schema as S
 from loanlake.functions.columns import ts_ntz_lit
 from loanlake.operators import incremental, marts, merge, quality, staging
 from loanlake.plans.tables import (VersionedTable, clustered, exists, overwrite_partitions, read_marker,
-                                   read_or_empty, write_marker)
+                                   read_raw, write_marker)
 from loanlake.session import ensure_checkpoint_dir
 from loanlake.sources import landing
 
@@ -39,6 +39,7 @@ class PipelineConfig:
     batch_id: str | None = None
     as_of: dt.datetime | None = None
     dim_root: str | None = None          # J6 loan dimension, kept by merge on loan_id
+    raw_by_event_date: bool = False      # raw partitioned by event_date; key checks read the batch's dates
     max_reject_share: float = 0.05
     # Range rules that stop the run; the others are logged as warnings.
     critical_rules: tuple[str, ...] = ()
@@ -100,7 +101,7 @@ def refresh_step(spark: SparkSession, raw_path: str, fact_path: str, as_of: dt.d
     build; later: only the touched event_date partitions), run the
     post-build tests on what was written, then move the watermark. Returns
     the rewritten dates (None after a full build)."""
-    raw = read_or_empty(spark, raw_path, S.RAW_SCHEMA)
+    raw = read_raw(spark, raw_path)
     stg = staging.stage_loans(raw, as_of=as_of)
     sort_cols = ["tenant_id", "loan_id"]
     watermark_path = fact_path.rstrip("/") + "_watermark.json"
@@ -136,15 +137,16 @@ def update_dimension(spark: SparkSession, raw_path: str, dim_root: str, as_of: d
     watermark, so a failed run leaves both untouched). Returns the loans."""
     table = VersionedTable(spark, dim_root)
     ptr = table.pointer()
-    stg = staging.stage_loans(read_or_empty(spark, raw_path, S.RAW_SCHEMA), as_of=as_of)
+    stg = staging.stage_loans(read_raw(spark, raw_path), as_of=as_of)
     if ptr and ptr.get("loaded_at"):
         stg = stg.filter(F.col("loaded_at") > ts_ntz_lit(dt.datetime.fromisoformat(ptr["loaded_at"])))
     high = stg.agg(F.max("loaded_at")).first()[0]
     if high is None:
         return 0
     dim = marts.merge_dimension(table.read(), stg)
-    path = table.write(dim, meta={"loaded_at": high.isoformat()})
-    return spark.read.parquet(path).count()
+    written = Observation("dimension")
+    table.write(dim, meta={"loaded_at": high.isoformat()}, observation=written)
+    return written.get["rows"]
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
@@ -160,7 +162,7 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
             raise QualityGateError(f"{len(failures)} validation failures: {failures[:5]}")
         rejects.write.mode("overwrite").json(f"{cfg.rejects_path}/batch={batch_id}")
         raw_batch = landing.apply_defaults(events, loaded_at=now, batch_id=batch_id)
-        counts = merge.load_batch(spark, raw_batch, cfg.raw_path, batch_id)
+        counts = merge.load_batch(spark, raw_batch, cfg.raw_path, batch_id, by_event_date=cfg.raw_by_event_date)
     finally:
         events.unpersist()
     dates = refresh_step(spark, cfg.raw_path, cfg.fact_path, now, batch_id, **cfg.fact_kwargs)

@@ -30,6 +30,15 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.createDataFrame([], schema)
 
 
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """The raw table in either layout (flat, or partitioned by event_date),
+    as the raw schema's columns; empty on first run."""
+    from loanlake import schema as S
+    if not exists(spark, path):
+        return spark.createDataFrame([], S.RAW_SCHEMA)
+    return spark.read.parquet(path).select(*[f.name for f in S.RAW_SCHEMA.fields])
+
+
 def _read_text(spark, path: str) -> str | None:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
@@ -92,11 +101,14 @@ class VersionedTable:
         return (r.schema(schema) if schema else r).parquet(cur)
 
     def write(self, df: DataFrame, partition_by: list[str] | None = None,
-              sort_within: list[str] | None = None, meta: dict | None = None) -> str:
+              sort_within: list[str] | None = None, meta: dict | None = None,
+              observation=None) -> str:
         cur = self.current()
         n = int(cur.rsplit("v=", 1)[1]) + 1 if cur else 0
         path = f"{self.root}/v={n}"
         out = df.sortWithinPartitions(*sort_within) if sort_within else df
+        if observation is not None:
+            out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
         w = out.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -118,8 +130,9 @@ def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str, partitio
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        clustered(staged, partition_col, sort_cols).write.mode("overwrite") \
-            .partitionBy(partition_col).parquet(path)
+        # Staged files are already clustered: each holds one partition value,
+        # so the swap is a plain copy without another shuffle.
+        staged.write.mode("overwrite").partitionBy(partition_col).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 

@@ -77,6 +77,10 @@ RAW_SCHEMA = T.StructType(
     ]
 )
 
+# Raw table laid out by event_date (partition column derived from
+# event_timestamp), for date-pruned key checks.
+RAW_SCHEMA_BY_DATE = T.StructType(RAW_SCHEMA.fields + [T.StructField("event_date", T.DateType(), True)])
+
 # Landing JSON is parsed with every field as STRING so one bad field cannot
 # poison its siblings; typing happens afterwards with try_cast.
 LANDING_STRING_SCHEMA = T.StructType([T.StructField(n, STRING, True) for n in EVENT_COLUMNS])

@@ -131,3 +131,21 @@ def test_gzip_array_file_and_invalid_utf8(spark, scratch):
     events, rejects = landing.read_landing(spark, d, layout="array")
     assert sorted(r["event_id"] for r in events.collect()) == ["e-1", "e-2"]
     assert [r["reason"] for r in rejects.collect()] == ["invalid_utf8"]
+
+
+def test_load_batch_by_event_date_prunes_and_stays_exact(spark, scratch):
+    raw = fixtures.loan_events(spark, SF_SMALL).filter("borrower_id is not null")
+    batch = landing.apply_defaults(raw.select(*S.EVENT_COLUMNS), dt.datetime(2024, 2, 1), "b1")
+    target = os.path.join(scratch, "raw_by_date")
+    first = merge.load_batch(spark, batch.filter("event_timestamp < '2024-01-10'"), target, "b1", by_event_date=True)
+    second = merge.load_batch(spark, batch, target, "b2", by_event_date=True)
+    n = raw.count()
+    assert first["rows_inserted"] + second["rows_inserted"] == n
+    assert second["rows_skipped"] == first["rows_inserted"]
+    t = spark.read.parquet(target)
+    assert t.count() == n and t.select("event_id").distinct().count() == n
+    assert any(p.startswith("event_date=") for p in os.listdir(target))
+    # a replay of one day's events reads only that day's partition
+    day = batch.filter("cast(event_timestamp as date) = date'2024-01-05'")
+    again = merge.load_batch(spark, day, target, "b3", by_event_date=True)
+    assert again["rows_inserted"] == 0 and again["rows_skipped"] == day.count()

@@ -152,8 +152,10 @@ def update_dimension(spark: SparkSession, raw_path: str, dim_root: str, as_of: d
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
     now = load_stamp(spark, cfg.fact_path, cfg.as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     batch_id = cfg.batch_id or now.strftime("%Y%m%dT%H%M%S")
-    events, rejects = landing.read_landing(spark, cfg.landing_dir, cfg.layout)
-    events = events.persist()
+    # One parse pass, persisted, feeds the gate, the rejects and the load.
+    tagged = landing.parse_tagged(landing.landing_documents(spark, cfg.landing_dir, cfg.layout),
+                                  layout=cfg.layout).persist()
+    events, rejects = landing.split_tagged(tagged)
     try:
         if events.isEmpty() and rejects.isEmpty():          # C6: nothing new -> skip downstream
             return {"batch_id": batch_id, "status": "skipped", "rows_inserted": 0}
@@ -164,7 +166,7 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
         raw_batch = landing.apply_defaults(events, loaded_at=now, batch_id=batch_id)
         counts = merge.load_batch(spark, raw_batch, cfg.raw_path, batch_id, by_event_date=cfg.raw_by_event_date)
     finally:
-        events.unpersist()
+        tagged.unpersist()
     dates = refresh_step(spark, cfg.raw_path, cfg.fact_path, now, batch_id, **cfg.fact_kwargs)
     loans = update_dimension(spark, cfg.raw_path, cfg.dim_root, now) if cfg.dim_root else None
     audit = {**counts, "status": "loaded", "fact_dates_rewritten": len(dates) if dates is not None else -1,

@@ -69,15 +69,16 @@ def extract_events(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     return docs.select(v).select(F.inline(F.array(F.struct(*_typed(F.col("_v"))))))
 
 
-def parse_documents(docs: DataFrame, doc_col: str = "doc", source_col: str = "source",
-                    layout: str = "lines") -> tuple[DataFrame, DataFrame]:
-    """Parse JSON documents into typed events and rejects.
+def parse_tagged(docs: DataFrame, doc_col: str = "doc", source_col: str = "source",
+                 layout: str = "lines") -> DataFrame:
+    """Parse JSON documents into one frame of (source, record, reason, 21
+    typed event fields); ``reason`` is NULL for a loadable event.
 
     ``layout='lines'``: one event object per document; ``'array'``: one JSON
     array of events per document. Each document is parsed once into a
     VARIANT; the one-element explode is a plan boundary that keeps the
-    optimizer from copying the parse into every later field check. Returns
-    (events, rejects); rejects carry the source, the raw text and a reason.
+    optimizer from copying the parse into every later field check.
+    Rejected documents/rows carry the source, the raw text and a reason.
     """
     # The text reader keeps invalid UTF-8 bytes as they are: such a document
     # is rejected, not silently repaired.
@@ -98,34 +99,60 @@ def parse_documents(docs: DataFrame, doc_col: str = "doc", source_col: str = "so
         rows = rows.select("source", F.to_json("_e").alias("_record"), "_e")
     else:
         rows = good.select("source", F.col("_doc").alias("_record"), F.col("_v").alias("_e"))
+    # inline() of a one-row array is a second boundary: each field is read
+    # from the VARIANT once, as text, and leaves as a plain attribute, so the
+    # casts, checks and filters below stay small for constraint inference.
     v = F.col("_e")
-    # inline() of a one-row array is a second boundary: the typed fields
-    # leave it as plain attributes, so the checks and filters below stay
-    # small for constraint inference.
-    typed = rows.select("source", "_record", F.inline(F.array(F.struct(
-        *_typed(v), F.array_compact(F.array(*[
-            F.when(_field(v, n).isNotNull() & F.isnull(t), F.lit(n))
-            for (n, typ), t in zip(S.EVENT_FIELDS, _typed(v)) if not isinstance(typ, T.StringType)
-        ])).alias("_bad")))))
-    not_null = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in S.NOT_NULL_COLUMNS]))
-    typed = typed.withColumn("_null", not_null)
-    reason = (F.when(F.size("_bad") > 0, F.concat(F.lit("bad_field:"), F.array_join("_bad", ",")))
-              .when(F.size("_null") > 0, F.concat(F.lit("not_null:"), F.array_join("_null", ","))))
-    typed = typed.withColumn("_reason", reason)
-    events = typed.filter(F.col("_reason").isNull()).select(*S.EVENT_COLUMNS)
-    row_rejects = typed.filter(F.col("_reason").isNotNull()).select(
-        "source", F.col("_record").alias("record"), F.col("_reason").alias("reason"))
-    return events, bad_docs.unionByName(row_rejects)
+    text = rows.select("source", "_record", F.inline(F.array(F.struct(
+        *[_field(v, n).alias(f"_s_{n}") for n in S.EVENT_COLUMNS]))))
+    typed_cols, bad = [], []
+    for n, typ in S.EVENT_FIELDS:
+        raw = F.col(f"_s_{n}")
+        if isinstance(typ, T.StringType):
+            typed_cols.append(raw.alias(n))
+        else:
+            typed_cols.append(raw.try_cast(typ).alias(n))
+            bad.append(F.when(raw.isNotNull() & raw.try_cast(typ).isNull(), F.lit(n)))
+    bad_arr = F.array_compact(F.array(*bad))
+    null_arr = F.array_compact(F.array(*[F.when(F.col(f"_s_{c}").isNull(), F.lit(c)) for c in S.NOT_NULL_COLUMNS]))
+    reason = (F.when(F.size(bad_arr) > 0, F.concat(F.lit("bad_field:"), F.array_join(bad_arr, ",")))
+              .when(F.size(null_arr) > 0, F.concat(F.lit("not_null:"), F.array_join(null_arr, ","))))
+    # Third boundary: typed fields and the reason leave as plain attributes.
+    typed = text.select("source", "_record", F.inline(F.array(F.struct(*typed_cols, reason.alias("reason")))))
+    rows_out = typed.select("source", F.col("_record").alias("record"), "reason", *S.EVENT_COLUMNS)
+    docs_out = bad_docs.select("source", "record", "reason",
+                               *[F.lit(None).cast(t).alias(n) for n, t in S.EVENT_FIELDS])
+    return rows_out.unionByName(docs_out)
+
+
+def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(events, rejects) of a tagged parse; persist ``tagged`` first to split
+    one parse pass into both outputs."""
+    events = tagged.filter(F.col("reason").isNull()).select(*S.EVENT_COLUMNS)
+    rejects = tagged.filter(F.col("reason").isNotNull()).select("source", "record", "reason")
+    return events, rejects
 
 
-def read_landing(spark: SparkSession, path: str, layout: str = "lines") -> tuple[DataFrame, DataFrame]:
-    """Read a landing folder (gzip and other codecs are detected by suffix)."""
+def parse_documents(docs: DataFrame, doc_col: str = "doc", source_col: str = "source",
+                    layout: str = "lines") -> tuple[DataFrame, DataFrame]:
+    """Parse JSON documents into typed events and rejects (see
+    ``parse_tagged``)."""
+    return split_tagged(parse_tagged(docs, doc_col, source_col, layout))
+
+
+def landing_documents(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
+    """(doc, source) rows of a landing folder (gzip and other codecs are
+    detected by suffix)."""
     if layout == "array":
         docs = spark.read.text(path, wholetext=True)
     else:
         docs = spark.read.text(path).filter(F.trim("value") != "")
-    docs = docs.select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("source"))
-    return parse_documents(docs, layout=layout)
+    return docs.select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("source"))
+
+
+def read_landing(spark: SparkSession, path: str, layout: str = "lines") -> tuple[DataFrame, DataFrame]:
+    """(events, rejects) of a landing folder."""
+    return parse_documents(landing_documents(spark, path, layout), layout=layout)
 
 
 def apply_defaults(events: DataFrame, loaded_at: dt.datetime, batch_id: str) -> DataFrame:

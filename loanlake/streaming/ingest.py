@@ -50,18 +50,22 @@ def make_batch_loader(spark: SparkSession, raw_path: str, rejects_path: str | No
     def load(docs: DataFrame, batch_id: int) -> None:
         if docs.isEmpty():          # C6/C7: nothing arrived, nothing to do
             return
-        events, rejects = landing.parse_documents(docs, layout=layout)
-        now = clock()
-        if fact_path:
-            from loanlake.plans.pipeline import load_stamp
-            now = load_stamp(spark, fact_path, now)
-        raw = landing.apply_defaults(events, loaded_at=now, batch_id=str(batch_id))
-        counts = merge.load_batch(spark, raw, raw_path, batch_id=str(batch_id))
+        tagged = landing.parse_tagged(docs, layout=layout).persist()     # one parse pass per batch
+        try:
+            events, rejects = landing.split_tagged(tagged)
+            now = clock()
+            if fact_path:
+                from loanlake.plans.pipeline import load_stamp
+                now = load_stamp(spark, fact_path, now)
+            raw = landing.apply_defaults(events, loaded_at=now, batch_id=str(batch_id))
+            counts = merge.load_batch(spark, raw, raw_path, batch_id=str(batch_id))
+            if rejects_path:
+                rejects.write.mode("overwrite").json(f"{rejects_path}/batch={batch_id}")
+        finally:
+            tagged.unpersist()
         if fact_path:
             from loanlake.plans.pipeline import refresh_step
             refresh_step(spark, raw_path, fact_path, now, f"stream-{batch_id}")
-        if rejects_path:
-            rejects.write.mode("overwrite").json(f"{rejects_path}/batch={batch_id}")
         if audit_path:
             (spark.createDataFrame([counts]).withColumn("logged_at", F.current_timestamp())
              .write.mode("overwrite").json(f"{audit_path}/batch={batch_id}"))

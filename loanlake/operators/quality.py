@@ -75,16 +75,18 @@ def range_violations(df: DataFrame, rules: dict[str, Column] | None = None) -> D
 def orphan_summary(name: str, child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Q4: child rows whose key has no parent. Child keys are first reduced
     to (key, rows) by a combinable count, so a hot key is one row before the
-    anti-join shuffle; NULL keys are not orphans."""
+    join shuffle; parent keys are deduplicated the same way. One LEFT join on
+    the key (both sides hash-partitioned once) marks orphans, one global
+    aggregate counts them. NULL keys are not orphans."""
     ck = child.filter(F.col(child_key).isNotNull()).groupBy(F.col(child_key).alias("_k")).agg(
         F.count(F.lit(1)).alias("_n"))
-    pk = parent.select(F.col(parent_key).alias("_k")).distinct()
-    orphans = ck.join(pk, "_k", "left_anti")
-    return (ck.select(F.col("_n"), F.lit(0).cast("bigint").alias("_o"), F.lit(0).alias("_ok"))
-            .unionByName(orphans.select(F.lit(0).cast("bigint").alias("_n"), F.col("_n").alias("_o"),
-                                        F.lit(1).alias("_ok")))
-            .agg(F.sum("_n").alias("child_rows"), F.sum("_o").alias("orphan_rows"),
-                 F.sum("_ok").cast("bigint").alias("orphan_keys"))
+    pk = parent.filter(F.col(parent_key).isNotNull()).groupBy(F.col(parent_key).alias("_k")).agg(
+        F.lit(True).alias("_p"))
+    orphan = F.col("_p").isNull()
+    return (ck.join(pk, "_k", "left")
+            .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("child_rows"),
+                 F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)).cast("bigint").alias("orphan_rows"),
+                 F.count(F.when(orphan, 1)).alias("orphan_keys"))
             .select(F.lit(name).alias("relationship"), "child_rows", "orphan_rows", "orphan_keys"))
 
 

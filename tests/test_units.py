@@ -126,3 +126,11 @@ def test_schema_violations_metadata_only(spark):
     got = quality.schema_violations(df, S.RAW_SCHEMA)
     kinds = {(c, k) for c, k, _ in got}
     assert ("credit_score", "type_mismatch") in kinds and ("loan_id", "missing_column") in kinds
+
+
+def test_orphan_summary_with_orphans(spark):
+    from loanlake.operators import quality
+    child = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,)] + [(9,)] * 50, "k bigint")
+    parent = spark.createDataFrame([(1,), (1,), (2,)], "p bigint")
+    r = quality.orphan_summary("c->p", child, "k", parent, "p").first()
+    assert (r["child_rows"], r["orphan_rows"], r["orphan_keys"]) == (54, 51, 2)

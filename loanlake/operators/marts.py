@@ -66,10 +66,17 @@ def loan_portfolio(stg: DataFrame, run_ts: dt.datetime = DEFAULT_RUN_TS,
     src = stg.withColumn("_is_payment", F.col("event_type") == "PAYMENT")
     w = windowed(src, [delinquency_spec(), payment_spec()], max_rows_per_key=max_rows_per_key,
                  chunk_rows=chunk_rows)
+    return fact_select(w, stg.columns, run_ts)
+
+
+def fact_select(w: DataFrame, stg_columns: list[str], run_ts: dt.datetime = DEFAULT_RUN_TS) -> DataFrame:
+    """Fact columns from staging rows carrying the window outputs
+    (max_dpd_30d, max_dpd_90d, _dpd_prev, delinquency_count_12m,
+    cumulative_payments, on_time_payments_12m, _is_payment); C2 last."""
     on_pay = F.col("_is_payment")
     flags = C.payment_flags()
     out = w.select(
-        *[c for c in stg.columns],
+        *stg_columns,
         "max_dpd_30d", "max_dpd_90d",
         (F.col("days_past_due") - F.col("_dpd_prev")).alias("dpd_delta"),
         "delinquency_count_12m",

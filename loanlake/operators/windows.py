@@ -179,21 +179,27 @@ def _hot_spec(hot: DataFrame, spec: Spec, n_rows: int, chunk_rows: int) -> DataF
 
 
 def windowed(df: DataFrame, specs: list[Spec], max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY,
-             chunk_rows: int = DEFAULT_CHUNK_ROWS, then: list[Spec] | None = None) -> DataFrame:
+             chunk_rows: int = DEFAULT_CHUNK_ROWS, then: list[Spec] | None = None,
+             known_hot: list | None = None) -> DataFrame:
     """Add the window columns of ``specs`` to ``df``; ``then`` specs run
     afterwards on the same routing and may read the columns ``specs`` made.
 
     All specs must share the leading key columns (hot keys are detected on
     them, once). With no hot key the plan is exactly the built-in window, and
     later specs partitioned by a superset of the key reuse its exchange.
+    ``known_hot`` skips detection when the caller has the counts already.
     """
     then = then or []
     specs_all = specs + then
     common = [c for c in specs[0].key if all(c in s.key for s in specs_all)]
     if not common:
         raise ValueError("window specs need a common key")
-    hot_keys = find_hot_keys(df, common, max_rows_per_key)
-    found = hot_keys.limit(MAX_BROADCAST_KEYS + 1).collect()
+    if known_hot is not None:
+        # Caller already knows the per-key row counts (rows with the key
+        # columns and ``_n``); no detection job.
+        found = known_hot
+    else:
+        found = find_hot_keys(df, common, max_rows_per_key).limit(MAX_BROADCAST_KEYS + 1).collect()
     if not found:
         out = _plain(df, specs)
         return _plain(out, then) if then else out

@@ -477,3 +477,5 @@ select event_id, payment_amount, monthly_payment,
 from stg"""
 
 ORACLE["dimension_merge"] = ORACLE["dim_loan_attributes"]
+
+ORACLE["incremental_state_refresh"] = FACT

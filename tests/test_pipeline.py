@@ -23,23 +23,24 @@ def cfg(scratch, land, **kw):
                                    audit_path=os.path.join(scratch, "audit"), **kw)
 
 
-@pytest.mark.parametrize("by_date", [False, True])
-def test_two_runs_then_replay(spark, scratch, by_date):
+@pytest.mark.parametrize("by_date,with_state", [(False, False), (True, False), (False, True)])
+def test_two_runs_then_replay(spark, scratch, by_date, with_state):
+    state_root = os.path.join(scratch, "state") if with_state else None
     raw = fixtures.loan_events(spark, SF_SMALL)
     cut = ts_ntz_lit(dt.datetime(2024, 1, 15, 12))
     l1, l2 = os.path.join(scratch, "land1"), os.path.join(scratch, "land2")
     landing.write_landing(raw.filter(F.col("loaded_at") < cut), l1)
     landing.write_landing(raw.filter(F.col("loaded_at") >= cut), l2)
     a = pipeline.run_pipeline(spark, cfg(scratch, l1, batch_id="r1", as_of=dt.datetime(2024, 1, 15, 12),
-                                         raw_by_event_date=by_date))
+                                         raw_by_event_date=by_date, state_root=state_root))
     old_part = os.path.join(scratch, "fact", "event_date=2024-01-05")
     before = sorted((f, os.path.getmtime(os.path.join(old_part, f))) for f in os.listdir(old_part))
     b = pipeline.run_pipeline(spark, cfg(scratch, l2, batch_id="r2", as_of=dt.datetime(2024, 1, 31),
-                                         raw_by_event_date=by_date))
+                                         raw_by_event_date=by_date, state_root=state_root))
     after = sorted((f, os.path.getmtime(os.path.join(old_part, f))) for f in os.listdir(old_part))
     assert before == after                                   # partitions before the new data untouched
     c = pipeline.run_pipeline(spark, cfg(scratch, l2, batch_id="r3", as_of=dt.datetime(2024, 1, 31),
-                                         raw_by_event_date=by_date))
+                                         raw_by_event_date=by_date, state_root=state_root))
     assert c["rows_inserted"] == 0 and c["rows_skipped"] == b["rows_inserted"]       # replay is a no-op
     loaded = read_raw(spark, os.path.join(scratch, "raw"))
     good = raw.filter("borrower_id is not null")

@@ -43,3 +43,18 @@ def test_late_events_fall_back_exactly(spark):
     refreshed = target.filter(~F.col("event_date").isin(dates)).unionByName(out)
     assert rows(refreshed.drop("dbt_updated_at")) == rows(full.drop("dbt_updated_at"))
     assert rows(new_state) == rows(loan_state.initial_state(moved))
+
+
+def test_state_refresh_with_hot_loans(spark):
+    """Every loan routed as hot: known-hot in-order path and split fallback."""
+    s = staging.stage_loans(fixtures.loan_events(spark, SF_SMALL))
+    cut = dt.datetime(2024, 1, 15, 12)
+    before = s.filter(F.col("loaded_at") < ts_ntz_lit(cut))
+    target = marts.loan_portfolio(before).cache()
+    state = loan_state.initial_state(before).cache()
+    since = before.agg(F.max("loaded_at")).first()[0]
+    out, dates, new_state = loan_state.refresh_with_state(s, target, state, since, max_rows_per_key=5)
+    full = marts.loan_portfolio(s)
+    refreshed = target.filter(~F.col("event_date").isin(dates)).unionByName(out)
+    assert rows(refreshed.drop("dbt_updated_at")) == rows(full.drop("dbt_updated_at"))
+    assert rows(new_state) == rows(loan_state.initial_state(s))

@@ -479,3 +479,12 @@ from stg"""
 ORACLE["dimension_merge"] = ORACLE["dim_loan_attributes"]
 
 ORACLE["incremental_state_refresh"] = FACT
+
+# Message encoding (A1, B5): key = tenant, value = the 21 event fields as a
+# compact JSON object, nulls written, timestamp as ISO text with microseconds.
+_JSON_FIELDS = ", ".join(
+    f"'{c}': strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f')" if c == "event_timestamp"
+    else f"'{c}': cast({c} as varchar)" if c in ("origination_date", "maturity_date")
+    else f"'{c}': {c}"
+    for c in [x.strip() for x in EVENT_COLS.split(",")])
+ORACLE["publish_records"] = f"{LE} select tenant_id as key, to_json({{{_JSON_FIELDS}}}) as value from le"

@@ -488,3 +488,5 @@ _JSON_FIELDS = ", ".join(
     else f"'{c}': {c}"
     for c in [x.strip() for x in EVENT_COLS.split(",")])
 ORACLE["publish_records"] = f"{LE} select tenant_id as key, to_json({{{_JSON_FIELDS}}}) as value from le"
+
+ORACLE["load_stats_sql"] = ORACLE["load_stats_24h"]

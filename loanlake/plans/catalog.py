@@ -459,3 +459,27 @@ def q_incremental_state_refresh(spark, sf_dir):
     since = before.agg(F.max("loaded_at")).first()[0]
     rows, dates, _ = loan_state.refresh_with_state(s, target, state, since)
     return target.filter(~F.col("event_date").isin(dates)).unionByName(rows)
+
+
+LOAD_STATS_SQL = """
+SELECT
+    DATE_TRUNC('hour', loaded_at)   AS load_hour,
+    event_type,
+    tenant_id,
+    COUNT(*)                        AS event_count,
+    AVG(original_balance)           AS avg_balance,
+    SUM(original_balance)           AS total_balance,
+    AVG(credit_score)               AS avg_credit_score,
+    AVG(days_past_due)              AS avg_dpd
+FROM raw_loan_events
+WHERE loaded_at >= DATEADD(HOUR, -24, TIMESTAMP_NTZ '{as_of}')
+GROUP BY 1, 2, 3
+ORDER BY 1 DESC, 4 DESC
+"""
+
+
+@register("load_stats_sql")         # G1-G6 as SQL text over the registered raw view (A9, A11)
+def q_load_stats_sql(spark, sf_dir):
+    _raw(spark, sf_dir).createOrReplaceTempView("raw_loan_events")
+    df = spark.sql(LOAD_STATS_SQL.format(as_of=AS_OF.strftime("%Y-%m-%d %H:%M:%S")))
+    return df.withColumn("load_hour", F.col("load_hour").cast("timestamp_ntz"))

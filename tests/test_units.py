@@ -134,3 +134,25 @@ def test_orphan_summary_with_orphans(spark):
     parent = spark.createDataFrame([(1,), (1,), (2,)], "p bigint")
     r = quality.orphan_summary("c->p", child, "k", parent, "p").first()
     assert (r["child_rows"], r["orphan_rows"], r["orphan_keys"]) == (54, 51, 2)
+
+
+def test_clustered_write_splits_a_hot_partition_value(spark, scratch):
+    import os
+    from loanlake.plans.tables import clustered
+    from loanlake.sources import landing
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 10 == 0, F.lit("2024-01-02")).otherwise(F.lit("2024-01-01")).cast("date")
+        .alias("event_date"), (F.col("id") % 3).cast("string").alias("tenant_id"), F.col("id").alias("loan_id"))
+    out = os.path.join(scratch, "fact")
+    # AQE would merge these tiny range partitions into one; at scale they stay apart.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        clustered(df, "event_date", ["tenant_id", "loan_id"]).write.partitionBy("event_date").parquet(out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    hot = [f for f in os.listdir(os.path.join(out, "event_date=2024-01-01")) if f.endswith(".parquet")]
+    assert len(hot) > 1                                   # 90% of rows on one date: several writers
+    assert spark.read.parquet(out).count() == 20000
+    landing.write_scratch(df, os.path.join(scratch, "scratch"))
+    landing.write_scratch(df.limit(5), os.path.join(scratch, "scratch"))   # full overwrite (A7)
+    assert spark.read.parquet(os.path.join(scratch, "scratch")).count() == 5

@@ -24,21 +24,25 @@ def upper_columns(df: DataFrame) -> DataFrame:
 
 
 def register_models(spark: SparkSession, raw: DataFrame, as_of: dt.datetime = DEFAULT_AS_OF,
-                    fact: DataFrame | None = None) -> dict[str, DataFrame]:
+                    fact: DataFrame | None = None, build_fact: bool = True) -> dict[str, DataFrame]:
+    """Register the model views. Building the lazy fact runs its hot-key
+    check (one narrow job); pass a written ``fact`` or ``build_fact=False``
+    to skip it."""
     stg = staging.stage_loans(raw, as_of)
-    fct = fact if fact is not None else marts.loan_portfolio(stg)
+    fct = fact if fact is not None else (marts.loan_portfolio(stg) if build_fact else None)
     models = {
         "raw_loan_events": raw,
         "stg_loans": stg,
-        "fct_loan_portfolio": fct,
         "stg_payments": marts.stg_payments(stg),
         "stg_delinquency": marts.stg_delinquency(stg),
         "int_loan_metrics": marts.loan_metrics_latest(stg),
         "int_payment_agg": marts.payment_agg_monthly(stg),
         "fct_delinquency_dashboard": marts.delinquency_dashboard(stg),
         "dim_loan_attributes": marts.dim_loan_attributes(stg),
-        "executive_portfolio": marts.executive_portfolio(fct),
     }
+    if fct is not None:
+        models["fct_loan_portfolio"] = fct
+        models["executive_portfolio"] = marts.executive_portfolio(fct)
     for name, df in models.items():
         df.createOrReplaceTempView(name)
     return models

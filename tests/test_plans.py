@@ -55,3 +55,18 @@ def test_fact_completeness_filter_after_windows(spark):
     df = marts.loan_portfolio(staging.stage_loans(fixtures.loan_events(spark, SF_SMALL)))
     p = df._jdf.queryExecution().optimizedPlan().toString()
     assert p.index("is_complete_record") < p.index("Window")   # printed top-down: filter above window
+
+
+def test_small_batch_merge_streams_the_target(spark, scratch):
+    from loanlake.operators import merge
+    raw = fixtures.loan_events(spark, SF_SMALL)
+    path = os.path.join(scratch, "target")
+    raw.select("event_id").write.parquet(path)
+    target = spark.read.parquet(path)
+    batch = raw.limit(50)
+    p = plan(merge.new_rows(batch, target, batch_key_count=50))
+    assert "BroadcastHashJoin" in p and "LeftSemi" in p
+    # the target scan feeds the semi-join directly: no shuffle of the target's keys
+    scan_side = p[p.index("LeftSemi"):]
+    first_scan = scan_side.index("FileScan parquet")
+    assert "Exchange hashpartitioning(event_id" not in scan_side[:first_scan]

@@ -42,7 +42,7 @@ def landing_stream(spark: SparkSession, landing_dir: str, layout: str = "lines",
 
 def make_batch_loader(spark: SparkSession, raw_path: str, rejects_path: str | None = None,
                       audit_path: str | None = None, layout: str = "lines", clock=None,
-                      fact_path: str | None = None):
+                      fact_path: str | None = None, state_root: str | None = None):
     """The foreachBatch function: parse, quarantine, merge, audit - and, with
     ``fact_path``, refresh the fact's touched partitions in the same batch."""
     clock = clock or (lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
@@ -65,7 +65,7 @@ def make_batch_loader(spark: SparkSession, raw_path: str, rejects_path: str | No
             tagged.unpersist()
         if fact_path:
             from loanlake.plans.pipeline import refresh_step
-            refresh_step(spark, raw_path, fact_path, now, f"stream-{batch_id}")
+            refresh_step(spark, raw_path, fact_path, now, f"stream-{batch_id}", state_root=state_root)
         if audit_path:
             (spark.createDataFrame([counts]).withColumn("logged_at", F.current_timestamp())
              .write.mode("overwrite").json(f"{audit_path}/batch={batch_id}"))
@@ -76,12 +76,13 @@ def make_batch_loader(spark: SparkSession, raw_path: str, rejects_path: str | No
 def start_ingest(spark: SparkSession, landing_dir: str, raw_path: str, checkpoint: str,
                  rejects_path: str | None = None, audit_path: str | None = None, layout: str = "lines",
                  max_files_per_trigger: int | None = None, available_now: bool = False,
-                 interval: str = "15 minutes", purge: bool = False, clock=None, fact_path: str | None = None):
+                 interval: str = "15 minutes", purge: bool = False, clock=None, fact_path: str | None = None,
+                 state_root: str | None = None):
     """Start the ingest query. ``available_now`` drains what is there and
     stops (one scheduled run); otherwise a micro-batch every ``interval``."""
     docs = landing_stream(spark, landing_dir, layout, max_files_per_trigger, purge)
     w = (docs.writeStream.foreachBatch(make_batch_loader(spark, raw_path, rejects_path, audit_path, layout, clock,
-                                                         fact_path))
+                                                         fact_path, state_root))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()

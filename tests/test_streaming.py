@@ -4,6 +4,8 @@ ends with the same raw table as a batch dedup (I1-I3, H4)."""
 import datetime as dt
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from loanlake import schema as S
@@ -73,12 +75,14 @@ def test_dedup_within_watermark_drops_copies(spark, scratch):
     assert out.count() == out.select("event_id").distinct().count()
 
 
-def test_stream_keeps_fact_current(spark, scratch):
+@pytest.mark.parametrize("with_state", [False, True])
+def test_stream_keeps_fact_current(spark, scratch, with_state):
     from loanlake.operators import marts, staging
     land, rawp, ck, fact = (os.path.join(scratch, x) for x in ("landing", "raw", "ckpt", "fact"))
     raw = shuffled_landing(spark, land, n_files=3)
     q = ingest.start_ingest(spark, land, rawp, ck, max_files_per_trigger=1, available_now=True,
-                            clock=lambda: dt.datetime(2024, 2, 1), fact_path=fact)   # frozen clock
+                            clock=lambda: dt.datetime(2024, 2, 1), fact_path=fact,   # frozen clock
+                            state_root=os.path.join(scratch, "state") if with_state else None)
     q.awaitTermination(900)
     loaded = spark.read.parquet(rawp)
     assert loaded.count() == raw.count()

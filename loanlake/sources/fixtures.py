@@ -21,7 +21,7 @@ def spread(df: DataFrame) -> DataFrame:
     input already has more splits than cores and passes through untouched,
     so this never adds a shuffle at scale."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if df.rdd.getNumPartitions() < cores:         # split count of the planned scan; no data is read
         return df.repartition(cores)
     return df
 

@@ -99,3 +99,26 @@ def test_scd2_split_equals_plain(spark):
     a = history.scd2(df, max_rows_per_key=10_000)
     b = history.scd2(df, max_rows_per_key=500)
     assert rows(a) == rows(b)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(seed=st.integers(0, 10_000), before=st.integers(1, 40), after=st.integers(0, 15),
+       chunk=st.integers(50, 300), hot_share=st.floats(0.3, 0.95))
+def test_split_equals_plain_property(spark, seed, before, after, chunk, hot_share):
+    rnd = random.Random(seed)
+    n = 1200
+    rows_ = [("HOT" if rnd.random() < hot_share else f"K{rnd.randint(0, 20)}", rnd.randint(0, 60), i,
+              rnd.choice([0, 0, 30, 90, 200]), float(rnd.randint(0, 9))) for i in range(n)]
+    df = spark.createDataFrame(rows_, "k string, d int, t int, dpd int, amt double")
+    d = F.col("dpd")
+    spec = [W.Spec(["k"], ["d", "t"], rows=[
+        W.Rows("mx", "max", d, before), W.Rows("sm", "sum", F.col("amt"), before, after),
+        W.Rows("lg", "lag", d, 1, default=-1), W.Rows("ld", "lead", d, 0, max(after, 1), default=-2)],
+        running=[W.RunningSum("cum", F.col("amt"), "d")])]
+    plain_out = W.windowed(df, spec, max_rows_per_key=10 ** 9)
+    split_out = W.windowed(df, spec, max_rows_per_key=max(1, int(n * 0.2)), chunk_rows=max(chunk, before + after + 2))
+    assert rows(split_out.select(*plain_out.columns)) == rows(plain_out)

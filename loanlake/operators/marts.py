@@ -222,6 +222,15 @@ def merge_dimension(previous: DataFrame | None, stg_new: DataFrame) -> DataFrame
         .select(*fresh.columns)
 
 
+def fact_base(stg: DataFrame, run_ts: dt.datetime = DEFAULT_RUN_TS) -> DataFrame:
+    """The fact's rows and window-free columns (complete events + risk
+    score), for consumers that need no window metric - no window job, no
+    hot-key check."""
+    return stg.filter(F.col("is_complete_record")).select(
+        *stg.columns, C.composite_risk_score().alias("composite_risk_score"),
+        C.ts_ntz_lit(run_ts).alias("dbt_updated_at"))
+
+
 def executive_portfolio(fact: DataFrame) -> DataFrame:
     """Tenant x month over the fact. The mean risk score is summed in
     whole cents so the figure does not depend on summation order."""

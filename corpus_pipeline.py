@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loanlake.llm.jaccard_join import keep_one_each
 from loanlake.llm.langid import UNKNOWN, language_id
 from loanlake.llm.linededup import dedup_lines
 from loanlake.llm.mixing import mix_documents
@@ -34,6 +35,11 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return kept.select(*docs.columns)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that Jaccard links connect stays."""
+    return keep_one_each(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mix_documents(docs)
 
@@ -43,7 +49,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("language_id", keep_known_languages), ("line_dedup", remove_repeated_lines),
-          ("mixing", mix_sources), ("packing", pack)]
+          ("near_copies", drop_near_copies), ("mixing", mix_sources), ("packing", pack)]
 
 #: Language profiles, random draws and token ids have no SQL form; tests compare with brute force.
 ORACLE_SQL = None

@@ -133,3 +133,10 @@ def spaced(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     place = np.arange(len(part)) + np.repeat(np.arange(len(lens)), lens)
     out[place] = part
     return out, np.concatenate([[0], np.cumsum(lens + 1)])
+
+
+def ranges(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All positions of the ranges [a, b), one behind the other."""
+    n = b - a
+    upto = np.cumsum(n)
+    return np.arange(int(upto[-1]) if len(n) else 0) + np.repeat(a - (upto - n), n)

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from .ann import nearest
+from .jaccard_join import jaccard_components
 from .langid import language_id
 from .linededup import dedup_lines
 from .mixing import mix_report
 from .packing import pack_documents
 from .quality import quality_rules
 from .sharding import shard_documents
+from .suffix_dedup import remove_repeats
+from .toxicity import score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +29,18 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_jaccard_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_documents(spark, sf_dir))
+
+
+def op2_recurrent_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
+def op3_collision_counting_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_divergence_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_documents(spark, sf_dir))
 
@@ -46,10 +61,16 @@ def op8_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_documents(spark, sf_dir)).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op9_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_documents(spark, sf_dir))
+
+
 def op10_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op4_divergence_quality, op5_hash_tree_shards, op6_hypergeometric_mix,
-                                   op7_rank_order_langid, op8_line_windows, op10_harmonic_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_jaccard_trie_join, op2_recurrent_toxicity, op3_collision_counting_ann, op4_divergence_quality,
+    op5_hash_tree_shards, op6_hypergeometric_mix, op7_rank_order_langid, op8_line_windows,
+    op9_difference_cover_dedup, op10_harmonic_packing)}
 ORACLE: dict[str, str] = {}

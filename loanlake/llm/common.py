@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -25,6 +26,14 @@ def stable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Like ``stable``, as a Parquet table in the same folder. For loops: what the
+    optimizer infers about a checkpoint grows from round to round, about a table it doesn't."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str], amount: str | None = None,
              index: str = "idx", before: str = "before") -> DataFrame:
     """Add the gapless position of each row in its group (``index``, from 0) and,

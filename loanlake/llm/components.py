@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stable
+from .common import written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -17,14 +17,14 @@ def components(edges: DataFrame) -> DataFrame:
     that were written first, so a hub's edges can be dealt to many tasks.
     """
     a, b = F.col("a"), F.col("b")
-    e = stable(edges.where(a != b).select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct())
+    e = written(edges.where(a != b).select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct())
     sign = None
     while True:
-        parent = stable(e.groupBy("hi").agg(F.min("lo").alias("m")))
+        parent = written(e.groupBy("hi").agg(F.min("lo").alias("m")))
         tied = (e.join(parent, "hi").where("lo > m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
                 .unionByName(parent.select("hi", F.col("m").alias("lo"))))
         up = parent.select(F.col("hi").alias("_at"), F.col("m").alias("_up"))
-        e = stable(tied.join(up, tied["lo"] == up["_at"], "left")
+        e = written(tied.join(up, tied["lo"] == up["_at"], "left")
                    .select("hi", F.coalesce("_up", "lo").alias("lo")).distinct())
         now = e.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if tuple(now) == sign:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, mix64, ranges, span_hashes, spaced, stable, word_spans
+from .common import WORD, mix64, ranges, span_hashes, spaced, stable, word_spans, written
 from .components import components
 from .exchange import BLOCK_BYTES, block_ids, block_texts, frequency, shared_prints, text_blocks
 
@@ -242,7 +242,7 @@ def trie_links(sizes: np.ndarray, tokens: list[np.ndarray], label: np.ndarray |
 
 
 def _tries(groups: DataFrame, keys: list[str]) -> DataFrame:
-    """Links within each group of (rep, n, tokens[, component]) rows, as (a, b) of reps."""
+    """(a, b) reps that connect what links connect within each group of (rep, n, tokens[, component]) rows."""
     def join(table: pa.Table) -> pa.Table:
         reps = table.column("rep").to_numpy()
         keep = np.unique(reps, return_index=True)[1]
@@ -252,9 +252,18 @@ def _tries(groups: DataFrame, keys: list[str]) -> DataFrame:
         sizes = table.column("n").to_numpy()[keep]
         tokens = [np.frombuffer(table.column("tokens")[int(i)].as_py(), "<u8") for i in keep]
         label = table.column("component").to_numpy()[keep] if "component" in table.column_names else None
-        links = trie_links(sizes, tokens, label) if len(keep) > 1 else []
-        return pa.table({"a": pa.array([int(reps[i]) for i, _ in links], pa.int64()),
-                         "b": pa.array([int(reps[j]) for _, j in links], pa.int64())})
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        for i, j in trie_links(sizes, tokens, label) if len(keep) > 1 else []:
+            a, b = sorted((find(int(reps[i])), find(int(reps[j]))))
+            root[b] = a
+        # a star around the least of each component
+        return pa.table({"a": pa.array(list(root), pa.int64()), "b": pa.array([find(x) for x in root], pa.int64())})
 
     return groups.groupBy(*keys).applyInArrow(join, "a long, b long")
 
@@ -290,7 +299,7 @@ def _links(reps: DataFrame, chunk_shingles: int) -> DataFrame:
     keys = chunks.select("key", F.col("key").alias("rep"), F.explode(
         F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1)).alias("chunk"))
     first = dealt.select("key", "rep", "chunk").unionByName(keys).distinct()
-    edges = stable(_tries(first.join(payload, "rep"), ["key", "chunk"]))
+    edges = written(_tries(first.join(payload, "rep"), ["key", "chunk"]))
     split = dealt.where("chunks > 1")
     if split.isEmpty():
         return edges
@@ -316,7 +325,7 @@ def _links(reps: DataFrame, chunk_shingles: int) -> DataFrame:
         "key", "task", "at.own", "at.owner", "at.cell")
     joined = placed.join(sides, ["key", "own", "owner", "cell"]).select("task", "rep", "component")
     more = _tries(joined.join(payload, "rep"), ["task"])
-    return stable(edges.unionByName(more))
+    return written(edges.unionByName(more))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES,

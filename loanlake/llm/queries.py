@@ -9,6 +9,7 @@ from .jaccard_join import jaccard_components
 from .langid import language_id
 from .linededup import dedup_lines
 from .mixing import mix_report
+from .oracle import ORACLE
 from .packing import pack_documents
 from .quality import quality_rules
 from .sharding import shard_documents
@@ -73,4 +74,5 @@ QUERIES = {f.__name__: f for f in (
     op1_jaccard_trie_join, op2_recurrent_toxicity, op3_collision_counting_ann, op4_divergence_quality,
     op5_hash_tree_shards, op6_hypergeometric_mix, op7_rank_order_langid, op8_line_windows,
     op9_difference_cover_dedup, op10_harmonic_packing)}
-ORACLE: dict[str, str] = {}
+
+__all__ = ["ORACLE", "QUERIES", "tokenizer_path"]

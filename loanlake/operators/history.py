@@ -1,4 +1,4 @@
-"""History (SCD type 2), masking and the load audit log (Q9-Q11)."""
+"""History (SCD type 2) and masking (Q9-Q10)."""
 
 from __future__ import annotations
 
@@ -41,8 +41,3 @@ def mask_borrowers(df: DataFrame, col: str = "borrower_id", keep: int = 4) -> Da
     masked = F.concat(F.substring(c, 1, keep), F.repeat(F.lit("*"), F.greatest(F.length(c) - keep, F.lit(0))))
     return df.withColumn(f"{col}_hash", F.sha2(c, 256)).withColumn(f"{col}_masked", masked).drop(col)
 
-
-def append_audit(spark, audit_rows: list[dict], path: str) -> None:
-    """Q11: append one audit row per load (batch id, counters, time)."""
-    if audit_rows:
-        spark.createDataFrame(audit_rows).write.mode("append").json(path)

@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 
 from loanlake.functions.columns import ts_ntz_lit
 from loanlake.operators import marts
-
-BROADCAST_KEYS = 2_000_000
+from loanlake.session import ensure_checkpoint_dir
 
 
 def max_event_date(target: DataFrame):
@@ -36,9 +35,30 @@ def new_since_max_date(stg: DataFrame, target: DataFrame, full_build_when_empty:
     return stg.filter(F.col("event_date") > F.lit(m))
 
 
-def _keys_join(df: DataFrame, keys: DataFrame, key: str, how: str, n_keys: int) -> DataFrame:
-    k = F.broadcast(keys) if n_keys <= BROADCAST_KEYS else keys
-    return df.join(k, key, how)
+def first_changes(fresh: DataFrame) -> DataFrame:
+    """(loan_id, _d0, _all): the earliest date of each loan's new events, and
+    whether one of them has none. A NULL date sorts first, so such an event
+    moves every window of its loan."""
+    return fresh.groupBy("loan_id").agg(F.min("event_date").alias("_d0"),
+                                        F.max(F.col("event_date").isNull()).alias("_all"))
+
+
+def is_rebuilt():
+    """Whether a row joined with ``first_changes`` (left) can have changed."""
+    return F.coalesce(F.col("_all") | (F.col("event_date") >= F.col("_d0")), F.lit(False))
+
+
+def in_dates(dates: list):
+    """Rows of these event dates; None stands for rows without a date."""
+    known = [d for d in dates if d is not None]
+    cond = F.col("event_date").isin(known) if known else F.lit(False)
+    return cond | F.col("event_date").isNull() if None in dates else cond
+
+
+def event_dates(df: DataFrame) -> list:
+    """The event dates of ``df``, None last: one value per calendar day, so
+    bounded by the calendar and safe to collect."""
+    return sorted((r[0] for r in df.select("event_date").distinct().collect()), key=lambda d: (d is None, d))
 
 
 def refresh_fact(stg: DataFrame, target: DataFrame | None, since=None, **fact_kwargs) -> DataFrame:
@@ -50,8 +70,7 @@ def refresh_fact(stg: DataFrame, target: DataFrame | None, since=None, **fact_kw
     ``loaded_at`` high-water mark) - late and same-day events included.
     Without ``since`` they are found by anti-join on event_id; incomplete
     events never reach the fact, so their loans are then always recomputed
-    (still exact, only more work). The affected-loan key set is counted
-    before it is broadcast.
+    (still exact, only more work).
     """
     if target is None:
         return marts.loan_portfolio(stg, **fact_kwargs)
@@ -59,14 +78,9 @@ def refresh_fact(stg: DataFrame, target: DataFrame | None, since=None, **fact_kw
         fresh = stg.filter(F.col("loaded_at") > ts_ntz_lit(since))
     else:
         fresh = stg.join(target.select("event_id"), "event_id", "left_anti")
-    affected = fresh.select("loan_id").distinct().persist()
-    n = affected.count()
-    if n == 0:
-        return target
-    history = _keys_join(stg, affected, "loan_id", "left_semi", n)
-    rebuilt = marts.loan_portfolio(history, **fact_kwargs)
-    kept = _keys_join(target, affected, "loan_id", "left_anti", n)
-    return kept.unionByName(rebuilt.select(*target.columns))
+    affected = fresh.select("loan_id").distinct()
+    rebuilt = marts.loan_portfolio(stg.join(affected, "loan_id", "left_semi"), **fact_kwargs)
+    return target.join(affected, "loan_id", "left_anti").unionByName(rebuilt.select(*target.columns))
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -91,35 +105,28 @@ def upsert(target: DataFrame, source: DataFrame, key: str, order: list[str]) ->
     return tgt.join(src.select(key), key, "left_anti").unionByName(src)
 
 
-def changed_partitions(stg: DataFrame, target: DataFrame, since, inclusive: bool = False, **fact_kwargs):
+def changed_partitions(stg: DataFrame, target: DataFrame, since, **fact_kwargs):
     """Rows of the fact's ``event_date`` partitions that a refresh changes.
 
     Every fact window looks backwards (ROWS frames, LAG, running totals whose
     RANGE peers share a date), so a loan's rows dated before its earliest new
     event cannot change. Per affected loan L with earliest new date d0(L):
-    rows on/after d0(L) are rebuilt from L's history; every other row of the
-    touched dates is carried over from the target (partition-pruned read).
-    Returns (rows for the touched dates, list of touched dates); the caller
-    overwrites exactly those partitions. With in-order feeds that is the
-    current day, not the table. ``inclusive`` also treats rows loaded
-    exactly at ``since`` as new (recomputing them is harmless; it guards
-    against two loads stamped with the same time).
+    rows on/after d0(L) are rebuilt from L's history - all of them if a new
+    event has no date, which sorts first; every other row of the touched
+    dates is carried over from the target (partition-pruned read). Returns
+    (rows for the touched dates, list of touched dates); the caller
+    overwrites exactly those partitions (None: the rows without a date).
+    With in-order feeds that is the current day, not the table.
     """
-    newer = (F.col("loaded_at") >= ts_ntz_lit(since)) if inclusive else (F.col("loaded_at") > ts_ntz_lit(since))
-    fresh = stg.filter(newer) if since is not None else \
+    fresh = stg.filter(F.col("loaded_at") > ts_ntz_lit(since)) if since is not None else \
         stg.join(target.select("event_id"), "event_id", "left_anti")
-    affected = fresh.groupBy("loan_id").agg(F.min("event_date").alias("_d0")).persist()
-    n = affected.count()
-    if n == 0:
-        return None, []
-    history = _keys_join(stg, affected.select("loan_id"), "loan_id", "left_semi", n)
-    rebuilt = _keys_join(marts.loan_portfolio(history, **fact_kwargs), affected, "loan_id", "inner", n) \
-        .filter(F.col("event_date") >= F.col("_d0")).drop("_d0").persist()
-    # One value per calendar day: bounded by the calendar, safe to collect.
-    dates = sorted(r[0] for r in rebuilt.select("event_date").distinct().collect())
+    ensure_checkpoint_dir(stg.sparkSession)
+    affected = first_changes(fresh).checkpoint()
+    history = stg.join(affected.select("loan_id"), "loan_id", "left_semi")
+    rebuilt = marts.loan_portfolio(history, **fact_kwargs).join(affected, "loan_id").filter(is_rebuilt()) \
+        .drop("_d0", "_all").checkpoint()
+    dates = event_dates(rebuilt)
     if not dates:
         return None, []
-    touched = target.filter(F.col("event_date").isin(dates))
-    kept = _keys_join(touched, affected, "loan_id", "left", n) \
-        .filter(F.col("_d0").isNull() | (F.col("event_date") < F.col("_d0"))).drop("_d0")
+    kept = target.filter(in_dates(dates)).join(affected, "loan_id", "left").filter(~is_rebuilt()).drop("_d0", "_all")
     return kept.unionByName(rebuilt.select(*kept.columns)), dates

@@ -21,17 +21,17 @@ idempotent.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row as _Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanlake.operators import marts
+from loanlake.operators import incremental, marts
 from loanlake.operators.windows import DEFAULT_MAX_ROWS_PER_KEY, Rows, RunningSum, Spec, windowed
+from loanlake.session import ensure_checkpoint_dir
 
 TAIL_ROWS = 365
 PAY_TAIL_ROWS = 12
 ORDER = ["_seq", "event_date", "event_timestamp", "event_id"]
-BROADCAST_KEYS = 2_000_000
 
 STATE_SCHEMA = T.StructType([
     T.StructField("loan_id", T.StringType()),
@@ -67,7 +67,7 @@ def _specs() -> list[Spec]:
 
 
 def build_state(rows: DataFrame, base_paid: DataFrame | None = None,
-                max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY, known_hot: list | None = None) -> DataFrame:
+                max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY, known_hot: DataFrame | None = None) -> DataFrame:
     """State per loan from window-input rows (real rows, optionally preceded
     by context rows). The last 365 / 12 rows are found with LEAD over a
     bounded frame (skew-safe via ``windowed``) and collected per loan - at
@@ -92,7 +92,7 @@ def build_state(rows: DataFrame, base_paid: DataFrame | None = None,
     last = real.groupBy("loan_id").agg(
         F.max(F.struct("event_date", "event_timestamp", "event_id")).alias("_l"),
         F.max(F.when(F.col("_is_payment"), F.col("event_date"))).alias("pay_last_date"),
-        F.sum(F.when(F.col("_is_payment"), F.col("_amt"))).alias("_paid"))
+        F.sum(F.when(F.col("_is_payment"), F.col("_amt")).cast("decimal(28,2)")).alias("_paid"))
     out = last.join(tail, "loan_id", "left").join(pay_tail, "loan_id", "left")
     if base_paid is not None:
         out = out.join(base_paid, "loan_id", "left")
@@ -105,7 +105,8 @@ def build_state(rows: DataFrame, base_paid: DataFrame | None = None,
         F.coalesce("tail", F.array().cast("array<int>")).alias("tail"),
         F.coalesce("pay_last_date", "_base_pay_date").alias("pay_last_date"),
         F.coalesce("pay_tail", F.array().cast("array<int>")).alias("pay_tail"),
-        (F.coalesce("_paid", F.lit(0.0)) + F.coalesce("_base", F.lit(0.0))).alias("paid_total"))
+        (F.coalesce("_paid", F.lit(0)) + F.coalesce(F.col("_base").cast("decimal(28,2)"), F.lit(0)))
+        .cast("double").alias("paid_total"))
 
 
 def initial_state(stg: DataFrame, **kw) -> DataFrame:
@@ -134,12 +135,14 @@ def refresh_with_state(stg: DataFrame, target: DataFrame, state: DataFrame, sinc
     """One bounded refresh. Returns (rows for the touched event_date
     partitions, touched dates, new full state) or (None, [], state)."""
     from loanlake.functions.columns import ts_ntz_lit
-    # New rows are read once and reused by routing, windows and state.
-    fresh = _inputs(stg.filter(F.col("loaded_at") > ts_ntz_lit(since))).persist()
+    # New rows are read once and reused by routing, windows and state; what
+    # later steps join with is written first, so no plan carries another's.
+    ensure_checkpoint_dir(stg.sparkSession)
+    fresh = _inputs(stg.filter(F.col("loaded_at") > ts_ntz_lit(since))).checkpoint()
     summary = fresh.groupBy("loan_id").agg(
         F.min(F.struct("event_date", "event_timestamp", "event_id")).alias("_first"),
         F.min(F.when(F.col("_is_payment"), F.col("event_date"))).alias("_first_pay"),
-        F.min("event_date").alias("_d0"),
+        F.min("event_date").alias("_d0"), F.max(F.col("event_date").isNull()).alias("_all"),
         F.count(F.when(F.col("event_date").isNull() | F.col("event_timestamp").isNull(), 1)).alias("_nulls"),
         F.count(F.lit(1)).alias("_new"))
     s = summary.join(state, "loan_id", "left")
@@ -149,46 +152,44 @@ def refresh_with_state(stg: DataFrame, target: DataFrame, state: DataFrame, sinc
                                                F.col("last_id").alias("event_id")))
                    & (F.col("_first_pay").isNull() | F.col("pay_last_date").isNull()
                       | (F.col("_first_pay") > F.col("pay_last_date")))))
-    routed = s.select("loan_id", "_d0", "_new", (in_order & (F.col("_nulls") == 0)).alias("_ok")).persist()
-    n = routed.count()
-    if n == 0:
+    routed = s.select("loan_id", "_d0", "_all", "_new", (in_order & (F.col("_nulls") == 0)).alias("_ok")).checkpoint()
+    if routed.isEmpty():
         return None, [], state
-    k = (lambda df: F.broadcast(df)) if n <= BROADCAST_KEYS else (lambda df: df)
     ok_keys = routed.filter("_ok").select("loan_id")
-    fb = routed.filter(~F.col("_ok")).select("loan_id", "_d0")
+    late = routed.filter(~F.col("_ok")).select("loan_id", "_d0", "_all")
+    touched_state = state.join(ok_keys, "loan_id", "left_semi").checkpoint()
 
     # In-order loans: context rows from the state + new rows, same specs.
-    new_rows = fresh.join(k(ok_keys), "loan_id", "left_semi")
-    ctx = _context(state.join(k(ok_keys), "loan_id", "left_semi"), new_rows)
+    new_rows = fresh.join(ok_keys, "loan_id", "left_semi")
+    rows_in = new_rows.unionByName(_context(touched_state, new_rows)).checkpoint()
     # Rows per in-order loan = its new rows + at most 377 context rows, so
-    # the routing counts already tell which loans are hot (bounded list).
-    ctx_rows = TAIL_ROWS + PAY_TAIL_ROWS
-    hot_ok = [r.asDict() for r in routed.filter(F.col("_ok") & (F.col("_new") + ctx_rows > max_rows_per_key))
-              .select("loan_id", (F.col("_new") + ctx_rows).alias("_n")).collect()]
-    w = windowed(ctx.unionByName(new_rows), _specs(), max_rows_per_key=max_rows_per_key,
-                 known_hot=[_Row(**h) for h in hot_ok])
-    base = state.select("loan_id", F.col("paid_total").alias("_base"),
-                        F.col("pay_last_date").alias("_base_pay_date"))
-    w_real = (w.filter(F.col("_seq") == 0).join(k(base.join(k(ok_keys), "loan_id", "left_semi")), "loan_id", "left")
-              .withColumn("cumulative_payments", F.col("_cum") + F.coalesce("_base", F.lit(0.0))))
+    # the routing counts already tell which loans are hot.
+    n_rows = F.col("_new") + TAIL_ROWS + PAY_TAIL_ROWS
+    hot = routed.filter(F.col("_ok") & (n_rows > max_rows_per_key)).select("loan_id", n_rows.alias("_n"))
+    w = windowed(rows_in, _specs(), max_rows_per_key=max_rows_per_key, known_hot=hot)
+    base = touched_state.select("loan_id", F.col("paid_total").alias("_base"),
+                                F.col("pay_last_date").alias("_base_pay_date"))
+    paid = F.col("_cum").cast("decimal(28,2)") + F.coalesce(F.col("_base").cast("decimal(28,2)"), F.lit(0))
+    w_real = (w.filter(F.col("_seq") == 0).join(base, "loan_id", "left")
+              .withColumn("cumulative_payments", paid.cast("double")))
     ok_fact = marts.fact_select(w_real, stg.columns)
-    ok_state = build_state(new_rows.unionByName(ctx), base.join(k(ok_keys), "loan_id", "left_semi"),
-                           max_rows_per_key=max_rows_per_key, known_hot=[_Row(**h) for h in hot_ok])
-
-    # Fallback loans: full-history recompute, rows on/after their first new date.
-    history = stg.join(k(fb.select("loan_id")), "loan_id", "left_semi")
-    fb_fact = marts.loan_portfolio(history).join(k(fb), "loan_id").filter(F.col("event_date") >= F.col("_d0")) \
-        .drop("_d0")
-    fb_state = initial_state(history, max_rows_per_key=max_rows_per_key)
-
-    rebuilt = ok_fact.unionByName(fb_fact).persist()
-    dates = sorted(r[0] for r in rebuilt.select("event_date").distinct().collect())
-    new_ids = rebuilt.select("event_id")
-    touched = target.filter(F.col("event_date").isin(dates)) if dates else target.limit(0)
-    kept = (touched.join(k(fb), "loan_id", "left")
-            .filter(F.col("_d0").isNull() | (F.col("event_date") < F.col("_d0"))).drop("_d0")
-            .join(new_ids, "event_id", "left_anti"))
-    rows = kept.unionByName(rebuilt.select(*kept.columns)) if dates else None
-    new_state = (state.join(k(routed.select("loan_id")), "loan_id", "left_anti")
-                 .unionByName(ok_state.select(*state.columns)).unionByName(fb_state.select(*state.columns)))
-    return rows, dates, new_state
+    ok_state = build_state(rows_in, base, max_rows_per_key=max_rows_per_key, known_hot=hot)
+
+    # Loans with late or undated events: full-history recompute, rows that can have changed.
+    rebuilt, new_state = ok_fact, ok_state.select(*state.columns)
+    if not late.isEmpty():
+        history = stg.join(late.select("loan_id"), "loan_id", "left_semi").checkpoint()
+        late_fact = marts.loan_portfolio(history, max_rows_per_key=max_rows_per_key).join(late, "loan_id").filter(
+            incremental.is_rebuilt())
+        rebuilt = rebuilt.unionByName(late_fact.select(*ok_fact.columns))
+        late_state = initial_state(history, max_rows_per_key=max_rows_per_key)
+        new_state = new_state.unionByName(late_state.select(*state.columns))
+    rebuilt = rebuilt.checkpoint()
+    new_state = state.join(routed.select("loan_id"), "loan_id", "left_anti").unionByName(new_state)
+    dates = incremental.event_dates(rebuilt)
+    if not dates:
+        return None, [], new_state
+    kept = (target.filter(incremental.in_dates(dates)).join(late, "loan_id", "left")
+            .filter(~incremental.is_rebuilt()).drop("_d0", "_all")
+            .join(rebuilt.select("event_id"), "event_id", "left_anti"))
+    return kept.unionByName(rebuilt.select(*kept.columns)), dates, new_state

@@ -24,6 +24,7 @@ DEFAULT_RUN_TS = dt.datetime(2024, 1, 31, 0, 0, 0)
 # Deterministic order inside a loan (event_date alone leaves ties).
 EVENT_ORDER = ["event_date", "event_timestamp", "event_id"]
 
+# The output contract of the fact (names and order).
 FACT_COLUMNS = [
     "event_id", "loan_id", "borrower_id", "tenant_id", "event_date", "event_month", "event_timestamp",
     "loan_type", "loan_purpose", "origination_date", "maturity_date", "loan_term_months", "loan_age_years",
@@ -97,7 +98,8 @@ def loan_portfolio_daily(stg: DataFrame, run_ts: dt.datetime = DEFAULT_RUN_TS,
 
     Every complete event receives its loan-day's context: the delinquency
     window state after the day's last event, and the day's payment summary
-    (count, amount, running total, on-time count after the last payment).
+    (count, amount, running total; ratio, flags and on-time count of the last
+    payment).
     That is a LEFT join to one row per loan-day; it is computed as peer
     aggregates over (loan_id, event_date) - same values, no join, and for
     ordinary loans no exchange beyond the one on loan_id. Hot loans take
@@ -105,13 +107,15 @@ def loan_portfolio_daily(stg: DataFrame, run_ts: dt.datetime = DEFAULT_RUN_TS,
     whole to one task.
     """
     src = stg.withColumn("_is_payment", F.col("event_type") == "PAYMENT")
-    pay, day = F.col("_is_payment"), "event_date"
+    pay, day, flags = F.col("_is_payment"), "event_date", C.payment_flags()
     day_spec = Spec(["loan_id"], EVENT_ORDER, peers=[
         PeerAgg("d_max_dpd_30d", "last", F.col("max_dpd_30d"), day),
         PeerAgg("d_max_dpd_90d", "last", F.col("max_dpd_90d"), day),
         PeerAgg("d_delinquency_count_12m", "last", F.col("delinquency_count_12m"), day),
         PeerAgg("d_dpd_delta", "last", F.col("days_past_due") - F.col("_dpd_prev"), day),
         PeerAgg("day_payment_count", "count", F.when(pay, 1), day),
+        PeerAgg("d_payment", "last", F.when(pay, F.struct(
+            C.payment_ratio().alias("payment_ratio"), *[e.alias(n) for n, e in flags.items()])), day),
         PeerAgg("day_paid", "sum", F.when(pay, F.col("payment_amount")), day),
         PeerAgg("d_cumulative_payments", "max", F.when(pay, F.col("cumulative_payments")), day),
         PeerAgg("d_on_time_payments_12m", "last", F.when(pay, F.col("on_time_payments_12m")), day),
@@ -125,6 +129,7 @@ def loan_portfolio_daily(stg: DataFrame, run_ts: dt.datetime = DEFAULT_RUN_TS,
         F.col("d_dpd_delta").alias("dpd_delta"), F.col("d_delinquency_count_12m").alias("delinquency_count_12m"),
         F.when(has_pay, F.col("day_payment_count")).alias("day_payment_count"),
         F.when(has_pay, F.col("day_paid")).alias("day_paid"),
+        *[F.col(f"d_payment.{n}").alias(n) for n in ("payment_ratio", *flags)],
         F.col("d_cumulative_payments").alias("cumulative_payments"),
         F.col("d_on_time_payments_12m").alias("on_time_payments_12m"),
         C.composite_risk_score().alias("composite_risk_score"),

@@ -14,33 +14,38 @@ from pyspark.sql import functions as F
 
 from loanlake import schema as S
 
-# Batches up to this many distinct keys probe the target through a broadcast
-# hash of their keys; larger ones use a shuffled anti-join.
-BROADCAST_BATCH_KEYS = 2_000_000
+# Batches whose keys take up to this many bytes probe the target through a
+# broadcast hash of their keys; larger ones use a shuffled anti-join.
+BROADCAST_BATCH_BYTES = 64 << 20
+
+
+def _dedup_counted(batch: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
+    rest = [c for c in batch.columns if c != key and c not in order]
+    best = F.max(F.struct(*order, *rest)).alias("_b")
+    return (batch.groupBy(key).agg(best, F.count(F.lit(1)).alias("_copies"))
+            .select(key, *[F.col(f"_b.{c}").alias(c) for c in (*order, *rest)], "_copies")
+            .select(*batch.columns, "_copies"))
 
 
 def dedup_latest(batch: DataFrame, key: str = "event_id",
                  order: tuple[str, ...] = ("event_timestamp", "loaded_at")) -> DataFrame:
     """One row per key: the greatest (order..., remaining columns) wins, so
     the choice is deterministic even between identical timestamps (F4)."""
-    rest = [c for c in batch.columns if c != key and c not in order]
-    best = F.max(F.struct(*order, *rest)).alias("_b")
-    return batch.groupBy(key).agg(best).select(key, *[F.col(f"_b.{c}").alias(c) for c in (*order, *rest)]) \
-        .select(*batch.columns)
+    return _dedup_counted(batch, key, order).drop("_copies")
 
 
 def new_rows(batch: DataFrame, target_keys: DataFrame, key: str = "event_id",
-             batch_key_count: int | None = None) -> DataFrame:
+             batch_key_bytes: int | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is absent from ``target_keys``.
 
-    The target can be huge and the batch small: when the batch key count is
-    known to be under BROADCAST_BATCH_KEYS, the target is first cut down to
+    The target can be huge and the batch small: when the batch keys are
+    known to take under BROADCAST_BATCH_BYTES, the target is first cut down to
     the keys it shares with the batch (semi-join against the broadcast batch
     keys, so the target is streamed, never shuffled), and the batch is then
     anti-joined against that small match set.
     """
     tk = target_keys.select(key)
-    if batch_key_count is not None and batch_key_count <= BROADCAST_BATCH_KEYS:
+    if batch_key_bytes is not None and batch_key_bytes <= BROADCAST_BATCH_BYTES:
         matched = tk.join(F.broadcast(batch.select(key)), key, "left_semi")
         return batch.join(matched, key, "left_anti")
     return batch.join(tk, key, "left_anti")
@@ -54,16 +59,17 @@ def merge_insert(batch: DataFrame, target: DataFrame, key: str = "event_id",
     skipped = batch rows - inserted, covering in-batch duplicates and keys
     already loaded.
     """
-    src = dedup_latest(batch, key) if dedup else batch
-    inserts = new_rows(src, target, key)
-    one, zero = F.lit(1), F.lit(0)
-    audit = (batch.select(one.alias("b"), zero.alias("i"))
-             .unionByName(inserts.select(zero.alias("b"), one.alias("i")))
-             .agg(F.sum("b").cast("bigint").alias("batch_rows"), F.sum("i").cast("bigint").alias("rows_inserted"))
-             .select(F.coalesce("batch_rows", F.lit(0).cast("bigint")).alias("batch_rows"),
-                     F.coalesce("rows_inserted", F.lit(0).cast("bigint")).alias("rows_inserted"))
+    counted = (_dedup_counted(batch, key, ("event_timestamp", "loaded_at")) if dedup
+               else batch.withColumn("_copies", F.lit(1).cast("bigint")))
+    # One join tells new keys from known ones; counters and inserts both read it.
+    known = target.select(F.col(key).alias("_known")).distinct()
+    tagged = counted.join(known, F.col(key) == F.col("_known"), "left")
+    zero = F.lit(0).cast("bigint")
+    audit = (tagged.agg(F.sum("_copies").alias("batch_rows"), F.count(F.when(F.col("_known").isNull(), 1)).alias("rows_inserted"))
+             .select(F.coalesce("batch_rows", zero).alias("batch_rows"), F.coalesce("rows_inserted", zero).alias("rows_inserted"))
              .withColumn("rows_skipped", F.col("batch_rows") - F.col("rows_inserted")))
-    return inserts, audit
+    src = dedup_latest(batch, key) if dedup else batch
+    return new_rows(src, target, key), audit
 
 
 def load_batch(spark, batch: DataFrame, target_path: str, batch_id: str,
@@ -85,7 +91,7 @@ def load_batch(spark, batch: DataFrame, target_path: str, batch_id: str,
     seen, wrote = Observation("batch"), Observation("inserted")
     src = dedup_latest(batch.observe(seen, F.count(F.lit(1)).alias("n"))).persist()
     try:
-        n_src = src.count()
+        key_bytes = src.agg(F.sum(F.octet_length("event_id") + 16)).first()[0] or 0
         cols = [f.name for f in S.RAW_SCHEMA.fields]
         if by_event_date:
             src_d = src.withColumn("event_date", F.col("event_timestamp").cast("date"))
@@ -96,13 +102,13 @@ def load_batch(spark, batch: DataFrame, target_path: str, batch_id: str,
             if None in dates:
                 in_dates = in_dates | F.col("event_date").isNull()
             keyed = target.filter(in_dates)
-            inserts = (new_rows(src_d, keyed, batch_key_count=n_src)
+            inserts = (new_rows(src_d, keyed, batch_key_bytes=key_bytes)
                        .withColumn("batch_id", F.lit(batch_id)).select(*cols, "event_date"))
             writer = inserts.observe(wrote, F.count(F.lit(1)).alias("n")).write.mode("append") \
                 .partitionBy("event_date")
         else:
             target = read_or_empty(spark, target_path, S.RAW_SCHEMA)
-            inserts = (new_rows(src, target, batch_key_count=n_src)
+            inserts = (new_rows(src, target, batch_key_bytes=key_bytes)
                        .withColumn("batch_id", F.lit(batch_id)).select(*cols))
             writer = inserts.observe(wrote, F.count(F.lit(1)).alias("n")).write.mode("append")
         writer.parquet(target_path)

@@ -17,8 +17,9 @@ therefore routes rows in two ways:
   computed from per-(key, peer) subtotals, which partial aggregation shrinks
   before any shuffle.
 
-The hot-key list is bounded by (rows / max_rows_per_key) and is checked
-before it is broadcast.
+The hot keys are a table of at most rows / max_rows_per_key rows, joined like
+any other (NULL is a key); Catalyst decides by its size whether to broadcast it.
+Money is summed as decimal cents, so both ways give the same bits.
 """
 
 from __future__ import annotations
@@ -33,7 +34,6 @@ from loanlake.session import ensure_checkpoint_dir
 
 DEFAULT_MAX_ROWS_PER_KEY = 2_000_000
 DEFAULT_CHUNK_ROWS = 1_000_000
-MAX_BROADCAST_KEYS = 100_000
 
 _AGGS = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.count}
 
@@ -70,8 +70,8 @@ class Rows:
 @dataclass
 class RunningSum:
     """SUM(expr) OVER (PARTITION BY key ORDER BY peer) with the default frame
-    RANGE UNBOUNDED PRECEDING .. CURRENT ROW: rows with equal ``peer`` share
-    one total."""
+    RANGE UNBOUNDED PRECEDING .. CURRENT ROW: rows with equal ``peer`` (NULL
+    first) share one total. ``expr`` is money, summed in whole cents."""
     name: str
     expr: Column
     peer: str
@@ -101,20 +101,45 @@ class Spec:
                 max([r.halo_after() for r in self.rows] or [0]))
 
 
+def _cents(expr: Column) -> Column:
+    return expr.cast("decimal(28,2)")
+
+
+def _agg(fn: str, expr: Column) -> Column:
+    """An aggregate whose value does not depend on the order of its rows."""
+    return F.sum(_cents(expr)) if fn == "sum" else _AGGS[fn](expr)
+
+
+def _plain_value(fn: str, value: Column) -> Column:
+    return value.cast("double") if fn == "sum" else value
+
+
+def match_keys(df: DataFrame, other: DataFrame, cols: list[str], how: str) -> DataFrame:
+    """Join on equal key columns where NULL equals NULL; the columns of ``df``
+    first, then the other columns of ``other``."""
+    right = other.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(cols)],
+                         *[c for c in other.columns if c not in cols])
+    cond = F.lit(True)
+    for i, c in enumerate(cols):
+        cond = cond & df[c].eqNullSafe(F.col(f"_k{i}"))
+    return df.join(right, cond, how).drop(*[f"_k{i}" for i in range(len(cols))])
+
+
 def _plain(df: DataFrame, specs: list[Spec]) -> DataFrame:
     cols = []
     for s in specs:
         w = Window.partitionBy(*s.key).orderBy(*s.order)
         cols += [r.over(w).alias(r.name) for r in s.rows]
         for rs in s.running:
-            cols.append(F.sum(rs.expr).over(Window.partitionBy(*s.key).orderBy(rs.peer)).alias(rs.name))
+            total = _agg("sum", rs.expr).over(Window.partitionBy(*s.key).orderBy(rs.peer))
+            cols.append(_plain_value("sum", total).alias(rs.name))
         for pa in s.peers:
             wp = Window.partitionBy(*s.key, pa.peer)
             if pa.fn == "last":
                 full = wp.orderBy(*s.order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
                 cols.append(F.last(pa.expr, ignorenulls=True).over(full).alias(pa.name))
             else:
-                cols.append(_AGGS[pa.fn](pa.expr).over(wp).alias(pa.name))
+                cols.append(_plain_value(pa.fn, _agg(pa.fn, pa.expr).over(wp)).alias(pa.name))
     return df.select("*", *cols)
 
 
@@ -162,55 +187,54 @@ def _hot_spec(hot: DataFrame, spec: Spec, n_rows: int, chunk_rows: int) -> DataF
     for rs in spec.running:
         # Subtotals per (key, peer): partial aggregation shrinks the hot key
         # map-side; the peer column (a date) bounds the rows per key.
-        day = (out.groupBy(*spec.key, rs.peer).agg(F.sum(rs.expr).alias("_s"))
-               .withColumn(rs.name, F.sum("_s").over(Window.partitionBy(*spec.key).orderBy(rs.peer)))
-               .drop("_s"))
-        out = out.join(day, [*spec.key, rs.peer], "left")
+        upto = F.sum("_s").over(Window.partitionBy(*spec.key).orderBy(rs.peer))
+        day = (out.groupBy(*spec.key, rs.peer).agg(_agg("sum", rs.expr).alias("_s"))
+               .withColumn(rs.name, _plain_value("sum", upto)).drop("_s"))
+        out = match_keys(out, day.checkpoint(), [*spec.key, rs.peer], "left")
+    aggs: dict[str, list[Column]] = {}
     for pa in spec.peers:
         # Peer groups of a hot key: combinable subtotals per (key, peer).
         if pa.fn == "last":
             agg = F.max(F.when(pa.expr.isNotNull(), F.struct(*[F.col(o) for o in spec.order],
                                                              pa.expr.alias("_v"))))["_v"]
         else:
-            agg = _AGGS[pa.fn](pa.expr)
-        grp = out.groupBy(*spec.key, pa.peer).agg(agg.alias(pa.name))
-        out = out.join(grp, [*spec.key, pa.peer], "left")
+            agg = _plain_value(pa.fn, _agg(pa.fn, pa.expr))
+        aggs.setdefault(pa.peer, []).append(agg.alias(pa.name))
+    for peer, cols in aggs.items():
+        # Written before the join, so that a hot loan-day is a plain exchange
+        # on both sides and AQE can deal its rows to many tasks.
+        grp = out.groupBy(*spec.key, peer).agg(*cols).checkpoint()
+        out = match_keys(out, grp, [*spec.key, peer], "left")
     return out
 
 
 def windowed(df: DataFrame, specs: list[Spec], max_rows_per_key: int = DEFAULT_MAX_ROWS_PER_KEY,
              chunk_rows: int = DEFAULT_CHUNK_ROWS, then: list[Spec] | None = None,
-             known_hot: list | None = None) -> DataFrame:
+             known_hot: DataFrame | None = None) -> DataFrame:
     """Add the window columns of ``specs`` to ``df``; ``then`` specs run
     afterwards on the same routing and may read the columns ``specs`` made.
 
     All specs must share the leading key columns (hot keys are detected on
     them, once). With no hot key the plan is exactly the built-in window, and
     later specs partitioned by a superset of the key reuse its exchange.
-    ``known_hot`` skips detection when the caller has the counts already.
+    ``known_hot`` (a frame of the key columns and ``_n``) skips detection
+    when the caller has the counts already.
     """
     then = then or []
     specs_all = specs + then
     common = [c for c in specs[0].key if all(c in s.key for s in specs_all)]
     if not common:
         raise ValueError("window specs need a common key")
-    if known_hot is not None:
-        # Caller already knows the per-key row counts (rows with the key
-        # columns and ``_n``); no detection job.
-        found = known_hot
-    else:
-        found = find_hot_keys(df, common, max_rows_per_key).limit(MAX_BROADCAST_KEYS + 1).collect()
-    if not found:
+    ensure_checkpoint_dir(df.sparkSession)
+    keys = known_hot if known_hot is not None else find_hot_keys(df, common, max_rows_per_key).checkpoint()
+    n_hot_rows = keys.agg(F.sum("_n")).first()[0]
+    if not n_hot_rows:
         out = _plain(df, specs)
         return _plain(out, then) if then else out
-    if len(found) > MAX_BROADCAST_KEYS:
-        raise ValueError("too many hot keys to broadcast; raise max_rows_per_key")
-    n_hot_rows = sum(r["_n"] for r in found)
-    keys = df.sparkSession.createDataFrame(found).select(*common)
-    cold = _plain(df.join(F.broadcast(keys), common, "left_anti"), specs)
+    cold = _plain(match_keys(df, keys.select(*common), common, "left_anti"), specs)
     if then:
         cold = _plain(cold, then)
-    hot = df.join(F.broadcast(keys), common, "left_semi")
+    hot = match_keys(df, keys.select(*common), common, "left_semi")
     for s in specs_all:
         hot = _hot_spec(hot, s, n_hot_rows, chunk_rows)
     return cold.unionByName(hot.select(*cold.columns))
@@ -231,16 +255,16 @@ _COMBINE = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.sum}
 
 def _calendar_plain(df: DataFrame, key: list[str], date_col: str, aggs: list[Calendar]) -> DataFrame:
     order = F.unix_date(F.col(date_col))
-    return df.select("*", *[_AGGS[a.fn](a.expr).over(
-        Window.partitionBy(*key).orderBy(order).rangeBetween(-a.days, 0)).alias(a.name) for a in aggs])
+    return df.select("*", *[_plain_value(a.fn, _agg(a.fn, a.expr).over(
+        Window.partitionBy(*key).orderBy(order).rangeBetween(-a.days, 0))).alias(a.name) for a in aggs])
 
 
 def _calendar_by_day(df: DataFrame, key: list[str], date_col: str, aggs: list[Calendar]) -> DataFrame:
-    day = df.groupBy(*key, date_col).agg(*[_AGGS[a.fn](a.expr).alias(f"_d{i}") for i, a in enumerate(aggs)])
+    day = df.groupBy(*key, date_col).agg(*[_agg(a.fn, a.expr).alias(f"_d{i}") for i, a in enumerate(aggs)])
     order = F.unix_date(F.col(date_col))
-    cols = [_COMBINE[a.fn](f"_d{i}").over(Window.partitionBy(*key).orderBy(order).rangeBetween(-a.days, 0))
-            .alias(a.name) for i, a in enumerate(aggs)]
-    return df.join(day.select(*key, date_col, *cols), [*key, date_col], "left")
+    cols = [_plain_value(a.fn, _COMBINE[a.fn](f"_d{i}").over(
+        Window.partitionBy(*key).orderBy(order).rangeBetween(-a.days, 0))).alias(a.name) for i, a in enumerate(aggs)]
+    return match_keys(df, day.select(*key, date_col, *cols).checkpoint(), [*key, date_col], "left")
 
 
 def calendar_windowed(df: DataFrame, key: list[str], date_col: str, aggs: list[Calendar],
@@ -251,13 +275,12 @@ def calendar_windowed(df: DataFrame, key: list[str], date_col: str, aggs: list[C
     a key-day shares one frame, so for hot keys the frames are computed once
     per key-day from day subtotals - combined map-side, hence safe for a key
     with a third of all rows - and joined back; rows per key in that day
-    window are bounded by the calendar, not by the data."""
-    found = find_hot_keys(df, key, max_rows_per_key).limit(MAX_BROADCAST_KEYS + 1).collect()
-    if not found:
+    window are bounded by the calendar, not by the data. Rows without a date
+    frame each other."""
+    ensure_checkpoint_dir(df.sparkSession)
+    keys = find_hot_keys(df, key, max_rows_per_key).select(*key).checkpoint()
+    if keys.isEmpty():
         return _calendar_plain(df, key, date_col, aggs)
-    if len(found) > MAX_BROADCAST_KEYS:
-        return _calendar_by_day(df, key, date_col, aggs)
-    keys = df.sparkSession.createDataFrame(found).select(*key)
-    cold = _calendar_plain(df.join(F.broadcast(keys), key, "left_anti"), key, date_col, aggs)
-    hot = _calendar_by_day(df.join(F.broadcast(keys), key, "left_semi"), key, date_col, aggs)
+    cold = _calendar_plain(match_keys(df, keys, key, "left_anti"), key, date_col, aggs)
+    hot = _calendar_by_day(match_keys(df, keys, key, "left_semi"), key, date_col, aggs)
     return cold.unionByName(hot.select(*cold.columns))

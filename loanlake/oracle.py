@@ -147,7 +147,11 @@ pr as (
   from w where {PAY}),
 pm as (
   select loan_id, event_date, count(*) as day_payment_count, sum(payment_amount) as day_paid,
-    max(cum_pay) as cumulative_payments, max(case when rn_pay = 1 then on_time end) as on_time_payments_12m
+    max(cum_pay) as cumulative_payments, max(case when rn_pay = 1 then on_time end) as on_time_payments_12m,
+    any_value({rnd('payment_amount / nullif(monthly_payment, 0)', 4)}) filter (where rn_pay = 1) as payment_ratio,
+    any_value(payment_amount >= monthly_payment) filter (where rn_pay = 1) as is_full_payment,
+    any_value(payment_amount > monthly_payment) filter (where rn_pay = 1) as is_overpayment,
+    any_value(payment_amount < monthly_payment and payment_amount > 0) filter (where rn_pay = 1) as is_partial_payment
   from pr group by loan_id, event_date)
 select sl.event_id, sl.loan_id, sl.borrower_id, sl.tenant_id, sl.event_type, sl.loan_type, sl.loan_purpose,
   sl.origination_date, sl.maturity_date, sl.loan_term_months, sl.loan_age_years, sl.original_balance,
@@ -157,7 +161,8 @@ select sl.event_id, sl.loan_id, sl.borrower_id, sl.tenant_id, sl.event_type, sl.
   sl.dti_pct, sl.is_high_dti, sl.is_valid, sl.is_complete_record, sl.event_timestamp, sl.event_date,
   sl.event_month, sl.loaded_at,
   dw.max_dpd_30d, dw.max_dpd_90d, dw.dpd_delta, dw.delinquency_count_12m,
-  pm.day_payment_count, pm.day_paid, pm.cumulative_payments, pm.on_time_payments_12m,
+  pm.day_payment_count, pm.day_paid, pm.payment_ratio, pm.is_full_payment, pm.is_overpayment, pm.is_partial_payment,
+  pm.cumulative_payments, pm.on_time_payments_12m,
   {rnd("cast(sl.credit_score as double) / 850.0 * 40 + (case when sl.ltv_ratio < 0.80 then 30 else 10 end) + (case when sl.dti_ratio < 0.36 then 20 else 5 end) + (case when sl.days_past_due = 0 then 10 else 0 end)", 2)} as composite_risk_score,
   {RUN_TS} as dbt_updated_at
 from stg sl
@@ -489,4 +494,50 @@ _JSON_FIELDS = ", ".join(
     for c in [x.strip() for x in EVENT_COLS.split(",")])
 ORACLE["publish_records"] = f"{LE} select tenant_id as key, to_json({{{_JSON_FIELDS}}}) as value from le"
 
-ORACLE["load_stats_sql"] = ORACLE["load_stats_24h"]
+ORACLE["portfolio_by_bucket_sql"] = f"""with fact as ({FACT}),
+pay as ({BASE} select event_id from stg where {PAY})
+select f.tenant_id, f.delinquency_bucket, count(distinct f.loan_id) as loans, max(f.max_dpd_90d) as worst_dpd,
+  count(p.event_id) as payments
+from fact f left join pay p on f.event_id = p.event_id group by 1, 2"""
+
+# ---------------------------------------------------------------------------
+# NULL keys and dates (first in every order), money as decimal cents
+# ---------------------------------------------------------------------------
+ORACLE["payment_windows_cents"] = """
+with h as (
+  select case when l_suppkey % 7 <> 0 then concat('LN-S', cast(l_suppkey as varchar)) end as loan_id,
+    case when l_orderkey % 61 <> 0 then cast(l_shipdate as date) end as event_date,
+    l_orderkey as tie1, l_linenumber as tie2, cast(cast(l_extendedprice as decimal(18,2)) as double) as payment_amount
+  from lineitem)
+select loan_id, event_date, tie1, tie2, payment_amount,
+  cast(sum(cast(payment_amount as decimal(18,2))) over (partition by loan_id order by event_date nulls first) as double)
+    as cumulative_payments,
+  count(case when payment_amount >= 25000 then 1 end) over (partition by loan_id
+    order by event_date nulls first, tie1, tie2, payment_amount rows between 12 preceding and current row) as on_time_payments_12m
+from h"""
+ORACLE["payment_windows_cents_split"] = ORACLE["payment_windows_cents"]
+
+_UNDATED = FACT
+for _old, _new in (("  ts as event_timestamp", "  case when event_id % 61 <> 0 then ts end as event_timestamp"),
+                   (f"order by {ORD}", "order by event_date nulls first, event_timestamp nulls first, event_id"),
+                   ("order by event_date) as cum_pay", "order by event_date nulls first) as cum_pay")):
+    _UNDATED = _UNDATED.replace(_old, _new)
+ORACLE["incremental_undated_refresh"] = _UNDATED
+ORACLE["incremental_undated_state"] = _UNDATED
+
+# ---------------------------------------------------------------------------
+# Names, audit columns, replays, sharper checks
+# ---------------------------------------------------------------------------
+ORACLE["upper_case_names"] = f"""{BASE}
+select event_id as "EVENT_ID", loan_id as "LOAN_ID", delinquency_bucket as "DELINQUENCY_BUCKET" from stg"""
+ORACLE["raw_audit_columns"] = f"""{LE}
+select {EVENT_COLS.replace('days_past_due', '0 as days_past_due')}, {AS_OF_TS} as loaded_at, 'batch-1' as batch_id from le"""
+ORACLE["replayed_merge"] = f"""{LE}
+select count(*) as batch_rows, cast(0 as bigint) as rows_inserted, count(*) as rows_skipped from le"""
+ORACLE["empty_batch_counts"] = """select cast(0 as bigint) as batch_rows, cast(0 as bigint) as rows_inserted,
+  cast(0 as bigint) as rows_skipped"""
+ORACLE["check_orphans"] = """select 'orders.o_custkey->customer' as relationship, count(*) as child_rows,
+  count(case when o_custkey not in (select c_custkey from customer where c_custkey % 7 <> 0) then 1 end) as orphan_rows,
+  count(distinct case when o_custkey not in (select c_custkey from customer where c_custkey % 7 <> 0) then o_custkey end) as orphan_keys
+from orders where o_custkey is not null"""
+ORACLE["freshness_stale"] = ORACLE["freshness"].replace(AS_OF_TS, "timestamp '2024-03-31 00:00:00'")

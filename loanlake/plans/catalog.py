@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlake.functions import columns as C
-from loanlake.operators import history, incremental, marts, merge, quality, staging, stats, windows
+from loanlake.operators import history, incremental, loan_state, marts, merge, quality, staging, stats, windows
+from loanlake.plans import views
+from loanlake.session import ensure_checkpoint_dir
 from loanlake.sources import fixtures, landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -301,7 +303,7 @@ def q_load_stats_hourly(spark, sf_dir):
 @register("incremental_new_rows")   # C5: event_date > MAX(target.event_date)
 def q_incremental_new_rows(spark, sf_dir):
     s = stg(spark, sf_dir)
-    target = marts.loan_portfolio(_before_cut(s))
+    target = marts.fact_base(_before_cut(s))                 # the bound needs no window column
     return incremental.new_since_max_date(s, target)
 
 
@@ -449,37 +451,107 @@ def q_dimension_merge(spark, sf_dir):
     return marts.merge_dimension(previous, later)
 
 
+def _refreshed_from_state(s, before):
+    """The fact after a state refresh, from the fact and state of a previous run."""
+    ensure_checkpoint_dir(s.sparkSession)
+    target = marts.loan_portfolio(before).checkpoint()
+    state = loan_state.initial_state(before).checkpoint()
+    since = before.agg(F.max("loaded_at")).first()[0]
+    rows, dates, _ = loan_state.refresh_with_state(s, target, state, since)
+    return target.filter(~F.coalesce(incremental.in_dates(dates), F.lit(False))).unionByName(rows)
+
+
 @register("incremental_state_refresh")  # bounded refresh from per-loan state: refreshed fact == full build
 def q_incremental_state_refresh(spark, sf_dir):
-    from loanlake.operators import loan_state
     s = stg(spark, sf_dir)
+    return _refreshed_from_state(s, _before_cut(s))
+
+
+@register("portfolio_by_bucket_sql")  # SQL text over the registered model views (A9, A11)
+def q_portfolio_by_bucket_sql(spark, sf_dir):
+    views.register_models(spark, _raw(spark, sf_dir))
+    return spark.sql("""
+        select f.tenant_id, f.delinquency_bucket, count(distinct f.loan_id) as loans,
+               max(f.max_dpd_90d) as worst_dpd, count(p.event_id) as payments
+        from fct_loan_portfolio f left join stg_payments p on f.event_id = p.event_id
+        group by f.tenant_id, f.delinquency_bucket""")
+
+
+# ---------------------------------------------------------------------------
+# NULL keys and dates, amounts in cents: every path gives the same bits
+# ---------------------------------------------------------------------------
+CENT_KEYS = ["loan_id", "event_date", "tie1", "tie2", "payment_amount"]
+
+
+def _cents(spark, sf_dir, **kw):
+    spec = marts.payment_spec(keys=("loan_id",), order=["event_date", "tie1", "tie2", "payment_amount"])
+    out = windows.windowed(fixtures.payments_in_cents(spark, sf_dir), [spec], **kw)
+    return out.select(*CENT_KEYS, "cumulative_payments", "on_time_payments_12m")
+
+
+@register("payment_windows_cents")  # G11-G12
+def q_payment_windows_cents(spark, sf_dir):
+    return _cents(spark, sf_dir)
+
+
+@register("payment_windows_cents_split")  # G11-G12, every loan a hot key
+def q_payment_windows_cents_split(spark, sf_dir):
+    return _cents(spark, sf_dir, max_rows_per_key=100, chunk_rows=1000)
+
+
+def _undated(spark, sf_dir):
+    return staging.stage_loans(fixtures.undated_events(spark, sf_dir))
+
+
+@register("incremental_undated_refresh")  # H1 with NULL timestamps: refresh == full build
+def q_incremental_undated_refresh(spark, sf_dir):
+    s = _undated(spark, sf_dir)
     before = _before_cut(s)
-    target = marts.loan_portfolio(before).persist()          # the fact and state a previous run left
-    state = loan_state.initial_state(before).persist()
-    since = before.agg(F.max("loaded_at")).first()[0]
-    rows, dates, _ = loan_state.refresh_with_state(s, target, state, since)
-    return target.filter(~F.col("event_date").isin(dates)).unionByName(rows)
-
-
-LOAD_STATS_SQL = """
-SELECT
-    DATE_TRUNC('hour', loaded_at)   AS load_hour,
-    event_type,
-    tenant_id,
-    COUNT(*)                        AS event_count,
-    AVG(original_balance)           AS avg_balance,
-    SUM(original_balance)           AS total_balance,
-    AVG(credit_score)               AS avg_credit_score,
-    AVG(days_past_due)              AS avg_dpd
-FROM raw_loan_events
-WHERE loaded_at >= DATEADD(HOUR, -24, TIMESTAMP_NTZ '{as_of}')
-GROUP BY 1, 2, 3
-ORDER BY 1 DESC, 4 DESC
-"""
+    target = marts.loan_portfolio(before)
+    rows, dates = incremental.changed_partitions(s, target, before.agg(F.max("loaded_at")).first()[0])
+    return target.filter(~F.coalesce(incremental.in_dates(dates), F.lit(False))).unionByName(rows)
+
+
+@register("incremental_undated_state")  # the same from per-loan state
+def q_incremental_undated_state(spark, sf_dir):
+    s = _undated(spark, sf_dir)
+    before = _before_cut(s)
+    return _refreshed_from_state(s, before)
+
+
+@register("upper_case_names")       # B2
+def q_upper_case_names(spark, sf_dir):
+    return views.upper_columns(stg(spark, sf_dir).select("event_id", "loan_id", "delinquency_bucket"))
+
+
+@register("raw_audit_columns")      # A8, B3: defaults and audit columns of a load
+def q_raw_audit_columns(spark, sf_dir):
+    events = _raw(spark, sf_dir).drop("loaded_at", "days_past_due")
+    return landing.apply_defaults(events, AS_OF, "batch-1")
+
+
+@register("replayed_merge")         # H4: a batch merged again inserts nothing
+def q_replayed_merge(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    inserts, _ = merge.merge_insert(raw, _before_cut(raw))
+    _, audit = merge.merge_insert(raw, _before_cut(raw).select("event_id").unionByName(inserts.select("event_id")))
+    return audit
+
+
+@register("empty_batch_counts")     # C7: an empty batch gives zeros
+def q_empty_batch_counts(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    _, audit = merge.merge_insert(raw.filter(F.col("event_id").isNull()), raw)
+    return audit
+
+
+@register("check_orphans")          # Q4 with a parent table that lacks every seventh key
+def q_check_orphans(spark, sf_dir):
+    parent = fixtures.read_table(spark, sf_dir, "customer", ["c_custkey"]).filter("c_custkey % 7 <> 0")
+    return quality.orphan_summary("orders.o_custkey->customer", fixtures.read_table(spark, sf_dir, "orders", ["o_custkey"]),
+                                  "o_custkey", parent, "c_custkey")
 
 
-@register("load_stats_sql")         # G1-G6 as SQL text over the registered raw view (A9, A11)
-def q_load_stats_sql(spark, sf_dir):
-    _raw(spark, sf_dir).createOrReplaceTempView("raw_loan_events")
-    df = spark.sql(LOAD_STATS_SQL.format(as_of=AS_OF.strftime("%Y-%m-%d %H:%M:%S")))
-    return df.withColumn("load_hour", F.col("load_hour").cast("timestamp_ntz"))
+@register("freshness_stale")        # Q7 seen a month later: the stale branch
+def q_freshness_stale(spark, sf_dir):
+    return quality.freshness(_raw(spark, sf_dir), AS_OF + dt.timedelta(days=60))

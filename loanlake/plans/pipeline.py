@@ -1,8 +1,10 @@
 """One scheduled run, end to end.
 
-extract (landing folder) -> row-count gate -> validate -> load (merge into
-raw) -> staging (lazy) -> fact refresh -> post-build tests -> audit row. Any
-failed stage raises and stops the chain.
+extract (landing files not loaded yet) -> rejects -> row-count gate ->
+validate -> load (merge into raw) -> staging (lazy) -> fact refresh ->
+post-build tests -> audit row. Any failed stage raises and stops the chain;
+the files of a run that failed before or in its load are read again by the
+next one (the merge skips rows that made it).
 
 The fact is a parquet table partitioned by event_date. The first run builds
 it; later runs rewrite only the dates whose rows can change (see
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from loanlake import schema as S
 from loanlake.functions.columns import ts_ntz_lit
 from loanlake.operators import incremental, loan_state, marts, merge, quality, staging
-from loanlake.plans.tables import (VersionedTable, clustered, exists, overwrite_partitions, read_marker,
+from loanlake.plans.tables import (VersionedTable, clustered, finish_swap, overwrite_partitions, read_marker,
                                    read_raw, write_marker)
 from loanlake.session import ensure_checkpoint_dir
 from loanlake.sources import landing
@@ -78,7 +80,8 @@ def fact_tests(fact):
     """Post-build tests on the fact (unique / not_null / accepted values)."""
     findings = {
         "unique_event_id": quality.uniqueness_summary("fact(event_id)", fact.select("event_id"), ["event_id"]),
-        "not_null": quality.null_counts(fact, ["event_id", "loan_id", "borrower_id", "tenant_id", "event_date"]),
+        # an event without a timestamp is legal, so event_date may be NULL
+        "not_null": quality.null_counts(fact, ["event_id", "loan_id", "borrower_id", "tenant_id"]),
         "accepted": quality.accepted_value_violations(fact, FACT_DOMAINS),
     }
     return quality.gate(findings, {"unique_event_id": "duplicate_keys", "not_null": "null_count",
@@ -106,38 +109,39 @@ def refresh_step(spark: SparkSession, raw_path: str, fact_path: str, as_of: dt.d
     stg = staging.stage_loans(raw, as_of=as_of)
     sort_cols = ["tenant_id", "loan_id"]
     watermark_path = fact_path.rstrip("/") + "_watermark.json"
+    built_path = fact_path.rstrip("/") + "_built.json"
     high = raw.agg(F.max("loaded_at")).first()[0]            # everything up to here is in the fact after this run
     state_tbl = VersionedTable(spark, state_root) if state_root else None
     new_state = None
-    if not exists(spark, fact_path):
-        fact = incremental.refresh_fact(stg, None, **fact_kwargs)               # H1: first run, full build
-        clustered(fact, "event_date", sort_cols).write.partitionBy("event_date").parquet(fact_path)
+    finish_swap(spark, fact_path)                            # a run that died in its swap is completed first
+    staging_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fact-stage-{batch_id}-{uuid.uuid4().hex}"
+    if read_marker(spark, built_path) is None:
+        # H1: first run, full build; a folder left by a build that died has no marker and is replaced.
+        fact = incremental.refresh_fact(stg, None, **fact_kwargs)
+        clustered(fact, "event_date", sort_cols).write.mode("overwrite").partitionBy("event_date").parquet(fact_path)
+        write_marker(spark, built_path, {"batch_id": batch_id})
         dates = None
         if state_tbl is not None:
             new_state = loan_state.initial_state(stg)
     elif state_tbl is not None and state_tbl.pointer():
         # Bounded refresh: state + new rows for in-order loans, full history
         # only for loans with late events.
-        ptr = state_tbl.pointer()
-        since = dt.datetime.fromisoformat(ptr["loaded_at"])
+        since = dt.datetime.fromisoformat(state_tbl.pointer()["loaded_at"])
         rows, dates, new_state = loan_state.refresh_with_state(stg, spark.read.parquet(fact_path),
                                                                state_tbl.read(), since)
         if rows is not None:
-            staging_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fact-stage-{batch_id}-{uuid.uuid4().hex}"
             overwrite_partitions(spark, rows, fact_path, "event_date", sort_cols, staging_dir)
     else:
-        target = spark.read.parquet(fact_path)
-        mark = read_marker(spark, watermark_path)
         # The watermark moves only after a refresh fully succeeded, so a run
-        # that died mid-swap is redone (idempotently) by the next one.
+        # that died earlier is redone (idempotently) by the next one.
+        mark = read_marker(spark, watermark_path)
         since = dt.datetime.fromisoformat(mark["loaded_at"]) if mark else None
-        rows, dates = incremental.changed_partitions(stg, target, since, **fact_kwargs)
+        rows, dates = incremental.changed_partitions(stg, spark.read.parquet(fact_path), since, **fact_kwargs)
         if rows is not None:
-            staging_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fact-stage-{batch_id}-{uuid.uuid4().hex}"
             overwrite_partitions(spark, rows, fact_path, "event_date", sort_cols, staging_dir)
     fact_now = spark.read.parquet(fact_path)
     if dates:
-        fact_now = fact_now.filter(F.col("event_date").isin(dates))             # test what was rewritten
+        fact_now = fact_now.filter(incremental.in_dates(dates))                 # test what was rewritten
     result = fact_tests(fact_now)
     if not result.passed:
         raise QualityGateError(f"post-build tests failed: {result.failures[:5]}")
@@ -167,30 +171,56 @@ def update_dimension(spark: SparkSession, raw_path: str, dim_root: str, as_of: d
     return written.get["rows"]
 
 
+def loaded_files_path(raw_path: str) -> str:
+    """The table of landing files whose rows the raw table holds."""
+    return raw_path.rstrip("/") + "_files"
+
+
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
     now = load_stamp(spark, cfg.fact_path, cfg.as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     batch_id = cfg.batch_id or now.strftime("%Y%m%dT%H%M%S")
+    files = landing.new_files(spark, cfg.landing_dir, loaded_files_path(cfg.raw_path))
+    if not files and not refresh_pending(spark, cfg):       # C6: nothing new -> skip downstream
+        return {"batch_id": batch_id, "status": "skipped", "rows_inserted": 0}
+    counts, warnings = load_files(spark, cfg, files, now, batch_id) if files else (
+        {"batch_id": batch_id, "batch_rows": 0, "rows_inserted": 0, "rows_skipped": 0}, [])
+    if not counts["batch_rows"] and not refresh_pending(spark, cfg):
+        return {"batch_id": batch_id, "status": "skipped", "rows_inserted": 0}
+    dates = refresh_step(spark, cfg.raw_path, cfg.fact_path, now, batch_id, state_root=cfg.state_root,
+                         **cfg.fact_kwargs)
+    loans = update_dimension(spark, cfg.raw_path, cfg.dim_root, now) if cfg.dim_root else None
+    audit = {**counts, "status": "loaded", "fact_dates_rewritten": len(dates) if dates is not None else -1,
+             "dimension_loans": loans if loans is not None else -1,
+             "run_at": now.isoformat(),
+             "warnings": ";".join(f"{w['rule']}={w['violations']}" for w in warnings)}
+    spark.createDataFrame([audit]).write.mode("append").json(cfg.audit_path)
+    return audit
+
+
+def refresh_pending(spark: SparkSession, cfg: PipelineConfig) -> bool:
+    """Whether rows were loaded that no finished refresh has covered."""
+    loaded = read_marker(spark, cfg.raw_path.rstrip("/") + "_loaded.json")
+    covered = read_marker(spark, cfg.fact_path.rstrip("/") + "_watermark.json")
+    stamp = dt.datetime.fromisoformat
+    return loaded is not None and (covered is None or stamp(covered["loaded_at"]) < stamp(loaded["loaded_at"]))
+
+
+def load_files(spark: SparkSession, cfg: PipelineConfig, files: list[str], now: dt.datetime,
+               batch_id: str) -> tuple[dict, list]:
+    """Parse, quarantine, check and merge landing files; (counters, warnings)."""
     # One parse pass, persisted, feeds the gate, the rejects and the load.
-    tagged = landing.parse_tagged(landing.landing_documents(spark, cfg.landing_dir, cfg.layout),
-                                  layout=cfg.layout).persist()
+    tagged = landing.parse_tagged(landing.landing_documents(spark, files, cfg.layout), layout=cfg.layout).persist()
     events, rejects = landing.split_tagged(tagged)
     try:
-        if events.isEmpty() and rejects.isEmpty():          # C6: nothing new -> skip downstream
-            return {"batch_id": batch_id, "status": "skipped", "rows_inserted": 0}
+        rejects.write.mode("overwrite").json(f"{cfg.rejects_path}/batch={batch_id}")
         failures, warnings = validate_batch(events, rejects, cfg.max_reject_share, cfg.critical_rules)
         if failures:
             raise QualityGateError(f"{len(failures)} validation failures: {failures[:5]}")
-        rejects.write.mode("overwrite").json(f"{cfg.rejects_path}/batch={batch_id}")
         raw_batch = landing.apply_defaults(events, loaded_at=now, batch_id=batch_id)
         counts = merge.load_batch(spark, raw_batch, cfg.raw_path, batch_id, by_event_date=cfg.raw_by_event_date)
+        if counts["rows_inserted"]:
+            write_marker(spark, cfg.raw_path.rstrip("/") + "_loaded.json", {"loaded_at": now.isoformat()})
+        landing.mark_loaded(spark, files, loaded_files_path(cfg.raw_path), batch_id)
     finally:
         tagged.unpersist()
-    dates = refresh_step(spark, cfg.raw_path, cfg.fact_path, now, batch_id, state_root=cfg.state_root,
-                         **cfg.fact_kwargs)
-    loans = update_dimension(spark, cfg.raw_path, cfg.dim_root, now) if cfg.dim_root else None
-    audit = {**counts, "status": "loaded", "fact_dates_rewritten": len(dates) if dates is not None else -1,
-             "dimension_loans": loans if loans is not None else -1,
-             "run_at": now.isoformat(),
-             "warnings": ";".join(f"{w['rule']}={w['violations']}" for w in warnings)}
-    spark.createDataFrame([audit]).write.mode("append").json(cfg.audit_path)
-    return audit
+    return counts, warnings

@@ -53,17 +53,28 @@ def _read_text(spark, path: str) -> str | None:
 
 
 def _write_text(spark, path: str, text: str) -> None:
-    """Write a small file via temp + rename so readers never see half of it."""
+    """Write a small file beside its place, then rename it over the old one in
+    one step: a reader sees the old text or the new one, never none."""
     fs, p = _fs(spark, path)
-    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + f".tmp-{uuid.uuid4().hex}")
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(path + f".tmp-{uuid.uuid4().hex}")
     out = fs.create(tmp, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.valueOf("OVERWRITE")
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(tmp), fs.makeQualified(p), how)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def read_marker(spark: SparkSession, path: str) -> dict | None:
@@ -114,6 +125,8 @@ class VersionedTable:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
         _write_text(self.spark, f"{self.root}/_CURRENT", json.dumps({"path": path, **(meta or {})}, default=str))
+        if n > 1:                       # the version before stays for readers that still follow it
+            remove(self.spark, f"{self.root}/v={n - 2}")
         return path
 
 
@@ -122,19 +135,34 @@ def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str, partitio
     """Replace only the ``partition_col`` partitions present in ``df``.
 
     ``df`` usually reads the same table, and a path cannot be overwritten
-    while it is read, so the new partitions are first written to a staging
-    folder (under the shared checkpoint dir), then swapped in with dynamic
-    partition overwrite. Each replaced partition is committed as a unit."""
+    while it is read, so the new partitions are first written whole to a
+    staging folder (under the shared checkpoint dir). A marker beside the
+    table names that folder until the swap is over: after a crash at any
+    point ``finish_swap`` brings the table to the staged state."""
     clustered(df, partition_col, sort_cols).write.mode("overwrite").partitionBy(partition_col).parquet(staging_dir)
-    staged = spark.read.parquet(staging_dir)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        # Staged files are already clustered: each holds one partition value,
-        # so the swap is a plain copy without another shuffle.
-        staged.write.mode("overwrite").partitionBy(partition_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    write_marker(spark, swap_marker(path), {"staging": staging_dir, "partition": partition_col})
+    finish_swap(spark, path)
+
+
+def swap_marker(path: str) -> str:
+    return path.rstrip("/") + "_swap.json"
+
+
+def finish_swap(spark: SparkSession, path: str) -> bool:
+    """Swap in staged partitions that a marker names, if there is one; doing
+    it again changes nothing. Run before anything reads the table."""
+    mark = read_marker(spark, swap_marker(path))
+    if mark is None:
+        return False
+    schema = spark.read.parquet(path).schema
+    staged = spark.read.schema(schema).parquet(mark["staging"])
+    # Staged files are already clustered: each holds one partition value,
+    # so the swap is a plain copy without another shuffle.
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(mark["partition"]).parquet(path))
+    remove(spark, swap_marker(path))
+    remove(spark, mark["staging"])
+    return True
 
 
 def clustered(df: DataFrame, partition_col: str, sort_cols: list[str]) -> DataFrame:

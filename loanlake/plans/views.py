@@ -25,9 +25,10 @@ def upper_columns(df: DataFrame) -> DataFrame:
 
 def register_models(spark: SparkSession, raw: DataFrame, as_of: dt.datetime = DEFAULT_AS_OF,
                     fact: DataFrame | None = None, build_fact: bool = True) -> dict[str, DataFrame]:
-    """Register the model views. Building the lazy fact runs its hot-key
-    check (one narrow job); pass a written ``fact`` or ``build_fact=False``
-    to skip it."""
+    """Register the model views. Building the lazy fact runs its hot-key check,
+    a scan of the raw table with one combinable shuffle; pass a written
+    ``fact`` or ``build_fact=False`` to skip it. The executive view needs no
+    window and reads the fact's base rows."""
     stg = staging.stage_loans(raw, as_of)
     fct = fact if fact is not None else (marts.loan_portfolio(stg) if build_fact else None)
     models = {
@@ -42,7 +43,7 @@ def register_models(spark: SparkSession, raw: DataFrame, as_of: dt.datetime = DE
     }
     if fct is not None:
         models["fct_loan_portfolio"] = fct
-        models["executive_portfolio"] = marts.executive_portfolio(fct)
+        models["executive_portfolio"] = marts.executive_portfolio(fact if fact is not None else marts.fact_base(stg))
     for name, df in models.items():
         df.createOrReplaceTempView(name)
     return models

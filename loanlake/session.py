@@ -8,22 +8,19 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, app: str = "loanlake", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, app: str = "loanlake", shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    """A session with AQE on and the UI off. On a cluster pass ``master=None``
-    and let the submit environment decide everything else."""
+    """A session for ``master`` (None: as submitted). On a cluster it sets only
+    what the caller passes, so submitted settings survive; a local master gets
+    laptop defaults."""
     b = SparkSession.builder.appName(app)
+    conf = {}
     if master:
         b = b.master(master)
-    conf = {
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.session.timeZone": "UTC",
-        "spark.ui.enabled": "false",
-        "spark.sql.execution.arrow.pyspark.enabled": "true",
-    }
+        if master.startswith("local"):
+            conf = {"spark.sql.session.timeZone": "UTC", "spark.ui.enabled": "false"}
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

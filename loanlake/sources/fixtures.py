@@ -15,17 +15,6 @@ from pyspark.sql import functions as F
 BASE_DATE = "2014-01-15"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the session has
-    cores (a small file holding one parquet row group is one task). A large
-    input already has more splits than cores and passes through untouched,
-    so this never adds a shuffle at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:         # split count of the planned scan; no data is read
-        return df.repartition(cores)
-    return df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
@@ -88,10 +77,24 @@ def loan_events_from(events: DataFrame) -> DataFrame:
 
 
 def loan_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spread before the per-row work (JSON, rounding, dates) so it runs on
-    every core even when the source is one unsplittable row group."""
-    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts", "event_type", "props"])
-    return loan_events_from(spread(ev))
+    return loan_events_from(read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts", "event_type", "props"]))
+
+
+def undated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loan events, every 61st without an event timestamp."""
+    number = F.substring("event_id", 4, 20).cast("long")
+    return loan_events(spark, sf_dir).withColumn(
+        "event_timestamp", F.when(number % 61 != 0, F.col("event_timestamp")))
+
+
+def payments_in_cents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments in cents from ``lineitem``, some without a date or a loan."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice"])
+    return li.select(
+        F.when(F.col("l_suppkey") % 7 != 0, F.concat(F.lit("LN-S"), F.col("l_suppkey").cast("string"))).alias("loan_id"),
+        F.when(F.col("l_orderkey") % 61 != 0, F.col("l_shipdate").cast("date")).alias("event_date"),
+        F.col("l_orderkey").alias("tie1"), F.col("l_linenumber").alias("tie2"),
+        F.round("l_extendedprice", 2).alias("payment_amount"), F.lit(25000.0).alias("monthly_payment"))
 
 
 def loan_history(spark: SparkSession, sf_dir: str) -> DataFrame:

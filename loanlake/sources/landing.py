@@ -1,9 +1,9 @@
 """Landing files, message encoding and the dead-letter sink.
 
 Landing layout written here is JSON Lines under ``ds=<date>`` folders: lines
-split across tasks, unlike one big JSON array. Array files (one JSON array per
-file, the upstream producer's layout) are read as whole documents; keep them
-moderate in size, since one file is one task.
+split across tasks, unlike one big JSON array. An array file (one JSON array per
+file, the upstream producer's layout) is read by one task and taken apart
+element by element, up to the 2 GB a string can hold.
 
 Parsing never trusts a document: ``try_parse_json`` yields NULL for malformed
 text and for duplicate object keys, and such documents are quarantined whole.
@@ -75,36 +75,35 @@ def parse_tagged(docs: DataFrame, doc_col: str = "doc", source_col: str = "sourc
     typed event fields); ``reason`` is NULL for a loadable event.
 
     ``layout='lines'``: one event object per document; ``'array'``: one JSON
-    array of events per document. Each document is parsed once into a
-    VARIANT; the one-element explode is a plan boundary that keeps the
-    optimizer from copying the parse into every later field check.
-    Rejected documents/rows carry the source, the raw text and a reason.
+    array of events per document, taken apart into the text of its elements.
+    Each event is parsed once into a VARIANT; the one-element explode is a
+    plan boundary that keeps the optimizer from copying the parse into every
+    later field check. One projection gives events and rejects: rejected
+    documents or elements carry the source, the raw text and a reason.
     """
     # The text reader keeps invalid UTF-8 bytes as they are: such a document
     # is rejected, not silently repaired.
     utf8_ok = F.is_valid_utf8(F.col(doc_col))
-    parsed = docs.select(F.col(source_col).alias("source"), F.col(doc_col).alias("_doc"),
-                         F.explode(F.array(F.when(utf8_ok, F.try_parse_json(F.col(doc_col))))).alias("_v"),
-                         utf8_ok.alias("_utf8"))
-    bad_docs = parsed.filter(F.col("_v").isNull()).select(
-        "source", F.col("_doc").alias("record"),
-        F.when(F.col("_utf8"), F.lit("malformed_json")).otherwise(F.lit("invalid_utf8")).alias("reason"))
-    good = parsed.filter(F.col("_v").isNotNull())
+    whole = docs.select(F.col(source_col).alias("source"), F.col(doc_col).alias("_doc"),
+                        F.when(~utf8_ok, F.lit("invalid_utf8")).alias("_bad"))
     if layout == "array":
-        arr = F.try_variant_get("_v", "$", "array<variant>")
-        not_array = good.filter(arr.isNull()).select(
-            "source", F.col("_doc").alias("record"), F.lit("not_an_array").alias("reason"))
-        bad_docs = bad_docs.unionByName(not_array)
-        rows = good.select("source", F.explode(arr).alias("_e"))
-        rows = rows.select("source", F.to_json("_e").alias("_record"), "_e")
-    else:
-        rows = good.select("source", F.col("_doc").alias("_record"), F.col("_v").alias("_e"))
+        # An array is taken apart as text first: no VARIANT has to hold a whole file.
+        is_array = F.startswith(F.ltrim("_doc", F.lit(" \t\r\n")), F.lit("["))
+        parts = F.when(F.col("_bad").isNull() & is_array, F.from_json("_doc", "array<string>"))
+        one = F.struct(F.col("_doc").alias("_e"), F.coalesce("_bad", F.when(
+            ~is_array & F.try_parse_json("_doc").isNotNull(), F.lit("not_an_array")).otherwise(F.lit("malformed_json"))).alias("_bad"))
+        each = F.transform(parts, lambda e: F.struct(F.coalesce(e, F.lit("null")).alias("_e"), F.lit(None).cast("string").alias("_bad")))
+        # the document itself must not ride along with each of its elements
+        whole = whole.select("source", F.inline(F.coalesce(each, F.array(one)))).withColumnRenamed("_e", "_doc")
+    rows = whole.select("source", F.col("_doc").alias("_record"), "_bad", F.explode(F.array(
+        F.when(F.col("_bad").isNull(), F.try_parse_json("_doc")))).alias("_e"))
     # inline() of a one-row array is a second boundary: each field is read
     # from the VARIANT once, as text, and leaves as a plain attribute, so the
     # casts, checks and filters below stay small for constraint inference.
     v = F.col("_e")
+    bad_doc = F.coalesce("_bad", F.when(v.isNull(), F.lit("malformed_json"))).alias("_bad_doc")
     text = rows.select("source", "_record", F.inline(F.array(F.struct(
-        *[_field(v, n).alias(f"_s_{n}") for n in S.EVENT_COLUMNS]))))
+        bad_doc, *[_field(v, n).alias(f"_s_{n}") for n in S.EVENT_COLUMNS]))))
     typed_cols, bad = [], []
     for n, typ in S.EVENT_FIELDS:
         raw = F.col(f"_s_{n}")
@@ -115,14 +114,12 @@ def parse_tagged(docs: DataFrame, doc_col: str = "doc", source_col: str = "sourc
             bad.append(F.when(raw.isNotNull() & raw.try_cast(typ).isNull(), F.lit(n)))
     bad_arr = F.array_compact(F.array(*bad))
     null_arr = F.array_compact(F.array(*[F.when(F.col(f"_s_{c}").isNull(), F.lit(c)) for c in S.NOT_NULL_COLUMNS]))
-    reason = (F.when(F.size(bad_arr) > 0, F.concat(F.lit("bad_field:"), F.array_join(bad_arr, ",")))
+    reason = (F.when(F.col("_bad_doc").isNotNull(), F.col("_bad_doc"))
+              .when(F.size(bad_arr) > 0, F.concat(F.lit("bad_field:"), F.array_join(bad_arr, ",")))
               .when(F.size(null_arr) > 0, F.concat(F.lit("not_null:"), F.array_join(null_arr, ","))))
     # Third boundary: typed fields and the reason leave as plain attributes.
     typed = text.select("source", "_record", F.inline(F.array(F.struct(*typed_cols, reason.alias("reason")))))
-    rows_out = typed.select("source", F.col("_record").alias("record"), "reason", *S.EVENT_COLUMNS)
-    docs_out = bad_docs.select("source", "record", "reason",
-                               *[F.lit(None).cast(t).alias(n) for n, t in S.EVENT_FIELDS])
-    return rows_out.unionByName(docs_out)
+    return typed.select("source", F.col("_record").alias("record"), "reason", *S.EVENT_COLUMNS)
 
 
 def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -140,9 +137,40 @@ def parse_documents(docs: DataFrame, doc_col: str = "doc", source_col: str = "so
     return split_tagged(parse_tagged(docs, doc_col, source_col, layout))
 
 
-def landing_documents(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
-    """(doc, source) rows of a landing folder (gzip and other codecs are
-    detected by suffix)."""
+def new_files(spark: SparkSession, path: str, loaded_path: str) -> list[str]:
+    """Landing files (hidden ones apart) that ``loaded_path`` does not list.
+    Names only, as any scan of the folder lists them on the driver."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, folders = [], [root] if fs.exists(root) else []
+    while folders:
+        for status in fs.listStatus(folders.pop()):
+            name = status.getPath().getName()
+            if name.startswith(("_", ".")):
+                continue
+            if status.isDirectory():
+                folders.append(status.getPath())
+            else:
+                found.append(status.getPath().toString())
+    if not found:
+        return []
+    listed = spark.createDataFrame([(f,) for f in found], "file string")
+    known = jvm.org.apache.hadoop.fs.Path(loaded_path)
+    if known.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(known):
+        listed = listed.join(spark.read.schema("file string, batch_id string").parquet(loaded_path), "file", "left_anti")
+    return sorted(r["file"] for r in listed.collect())
+
+
+def mark_loaded(spark: SparkSession, files: list[str], loaded_path: str, batch_id: str) -> None:
+    """Add files to the table of loaded ones."""
+    rows = [(f, batch_id) for f in files]
+    spark.createDataFrame(rows, "file string, batch_id string").coalesce(1).write.mode("append").parquet(loaded_path)
+
+
+def landing_documents(spark: SparkSession, path: str | list[str], layout: str = "lines") -> DataFrame:
+    """(doc, source) rows of a landing folder or of given files (gzip and
+    other codecs are detected by suffix)."""
     if layout == "array":
         docs = spark.read.text(path, wholetext=True)
     else:

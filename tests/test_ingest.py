@@ -149,3 +149,20 @@ def test_load_batch_by_event_date_prunes_and_stays_exact(spark, scratch):
     day = batch.filter("cast(event_timestamp as date) = date'2024-01-05'")
     again = merge.load_batch(spark, day, target, "b3", by_event_date=True)
     assert again["rows_inserted"] == 0 and again["rows_skipped"] == day.count()
+
+
+def test_large_array_file_loads_in_full(spark, scratch):
+    """One array file of about 200 MiB: no limit of a single VARIANT applies."""
+    import os
+    n, path = 480_000, os.path.join(scratch, "big.json")
+    with open(path, "w") as f:
+        f.write("[")
+        for i in range(n):
+            f.write((",\n" if i else "") + '{"event_id": "E%d", "loan_id": "L%d", "borrower_id": "B", "tenant_id": "t", '
+                    '"event_type": "PAYMENT", "payment_amount": %d.25, "loan_purpose": "%s"}' % (i, i % 97, i % 1000, "x" * 300))
+        f.write(', {"event_id": "dup", "event_id": "dup"}, 7]')
+    assert os.path.getsize(path) > 200 << 20
+    events, rejects = landing.read_landing(spark, path, layout="array")
+    assert events.count() == n
+    assert sorted(r["reason"] for r in rejects.select("reason").collect()) == [
+        "malformed_json", "not_null:event_id,loan_id,borrower_id,tenant_id,event_type"]

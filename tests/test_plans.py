@@ -64,7 +64,7 @@ def test_small_batch_merge_streams_the_target(spark, scratch):
     raw.select("event_id").write.parquet(path)
     target = spark.read.parquet(path)
     batch = raw.limit(50)
-    p = plan(merge.new_rows(batch, target, batch_key_count=50))
+    p = plan(merge.new_rows(batch, target, batch_key_bytes=2000))
     assert "BroadcastHashJoin" in p and "LeftSemi" in p
     # the target scan feeds the semi-join directly: no shuffle of the target's keys
     scan_side = p[p.index("LeftSemi"):]

@@ -29,9 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ranges, stable
+from .common import stable
 
-PROJECTIONS, THRESHOLD, BETA, LEAST, WIDEN, SEED = 128, 0.5, 0.12, 400, 1.3, 41
+PROJECTIONS, THRESHOLD, BETA, LEAST, WIDEN, SEED = 96, 0.5, 0.12, 400, 1.3, 41
 SHARD_ROWS, QUERY_ROWS = 8192, 256
 
 
@@ -73,7 +73,7 @@ class Index:
         order = np.argsort(p, axis=0, kind="stable")
         self.shift = self.gap * np.arange(self.m)
         self.places = (np.take_along_axis(p, order, axis=0) + self.shift).T.ravel()
-        self.order = order.T.astype(np.int32).ravel()
+        self.order = order.T.astype(np.intp).ravel()
         self.base = self.n * np.arange(self.m)
 
     def candidates(self, q: np.ndarray, threshold: int, wanted: int, width: float, widen: float) -> np.ndarray:
@@ -87,8 +87,8 @@ class Index:
             b = np.minimum(np.searchsorted(self.places, at + width), self.base + self.n)
             a, b = np.minimum(a, lo), np.maximum(b, hi)
             # only what the windows have grown by
-            grown = ranges(np.concatenate([a, hi]), np.concatenate([lo, b]))
-            counts += np.bincount(self.order[grown], minlength=self.n)
+            grown = [self.order[i:j] for x, y in ((a, lo), (hi, b)) for i, j in zip(x.tolist(), y.tolist(), strict=True)]
+            counts += np.bincount(np.concatenate(grown), minlength=self.n)
             lo, hi = a, b
             found = np.flatnonzero(counts >= threshold)
             if len(found) >= wanted or int((hi - lo).min()) == self.n:
@@ -128,7 +128,7 @@ def nearest(table: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_i
                 scaled = q_matrix * np.sqrt(most / (q_matrix ** 2).sum(axis=1))[:, None]
                 places = scaled @ directions[:dim]
                 wanted = min(len(ids), max(least, k + 1, round(beta * len(ids))))
-                near, width = round(threshold * projections), 0.25 * np.sqrt(most / (dim + 1))
+                near, width = round(threshold * projections), 0.4 * np.sqrt(most / (dim + 1))
                 out = []
                 for qid, q, place in zip(q_ids.tolist(), q_matrix, places, strict=True):
                     got = index.candidates(place, near, wanted, width, widen)

@@ -35,7 +35,7 @@ def text_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int =
                     pa.array([ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()], pa.binary()),
                     pa.array([ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes()], pa.binary()),
                     pa.array([np.diff(offsets[lo:hi + 1]).astype("<i8").tobytes()], pa.binary()),
-                    pa.array([zlib.compress(buf[offsets[lo]:offsets[hi]].tobytes(), 1)], pa.binary()),
+                    pa.array([zlib.compress(buf[offsets[lo]:offsets[hi]].tobytes(), 6)], pa.binary()),
                     pa.array([int(offsets[hi] - offsets[lo])])],
                     names=["ids", "nulls", "lens", "texts", "size"])
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -88,7 +89,7 @@ class Encoder:
     def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
         got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         lens = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for x in got for i in x), np.uint32, int(lens.sum()))
+        flat = np.fromiter(chain.from_iterable(got), np.uint32, int(lens.sum()))
         slots = len(self.starts) - 1 + np.arange(len(got))
         self.ids = np.concatenate([self.ids, flat])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lens)])
@@ -112,7 +113,7 @@ class Encoder:
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(part))
         hashes = span_hashes(part, starts, ends)
-        distinct, first = np.unique(hashes, return_index=True)
+        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.hashes) > REMEMBERED:
             self._forget()
         new = ~self._known(distinct)
@@ -120,7 +121,7 @@ class Encoder:
             blob, at = part.tobytes(), first[new]
             self._learn(distinct[new], [blob[s:e].decode("utf-8", "replace")
                                         for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
-        slot = self.slots[np.searchsorted(self.hashes, hashes)]
+        slot = self.slots[np.searchsorted(self.hashes, distinct)][which]
         lens = np.diff(self.starts)[slot]
         upto = np.cumsum(lens)
         where = np.arange(int(upto[-1])) + np.repeat(self.starts[slot] - (upto - lens), lens)
@@ -142,7 +143,7 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY
         encoder = Encoder(tokenizer_path)
         for batch in batches:
             buf, offsets = utf8(batch.column(1))
-            for lo, hi in slices(offsets, 2 << 20):
+            for lo, hi in slices(offsets, 3 << 20):
                 flat, counts = encoder.encode(buf, offsets[lo:hi + 1])
                 at, rows, spans, ids = 0, [], [], []
                 for row, n in enumerate(counts.tolist(), lo):

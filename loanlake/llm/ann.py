@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import stable
 
-PROJECTIONS, THRESHOLD, BETA, LEAST, WIDEN, SEED = 96, 0.5, 0.12, 400, 1.3, 41
+PROJECTIONS, THRESHOLD, BETA, LEAST, WIDEN, SEED = 72, 0.5, 0.12, 400, 1.3, 41
 SHARD_ROWS, QUERY_ROWS = 8192, 256
 
 

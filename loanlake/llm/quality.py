@@ -32,11 +32,10 @@ CLASSES = (r"[\p{Ll}]", r"[\x20\x09-\x0D]", r"[\p{Lu}]", r"[0-9]", r"[.,;:!?'\"(
 MIN_WORDS, MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 50, 0.28, 0.45
 
 
-def _repeat_words(words: Column) -> Column:
-    """Words inside three-word windows that occur twice or more in the text."""
-    marks = F.transform(F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0))),
-                        lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
-    return marks
+def _window_hashes(words: Column) -> Column:
+    """A hash of each three-word window, in order."""
+    return F.transform(F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0))),
+                       lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -52,7 +51,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     for k, c in enumerate(CLASSES[1:], 1):
         d = d.withColumn("next", F.regexp_replace("rest", c + "+", "")).withColumn(
             f"c{k}", F.char_length("rest") - F.char_length("next")).withColumn("rest", F.col("next")).drop("next")
-    d = d.withColumn("hashes", _repeat_words(F.col("words"))).withColumn(
+    d = d.withColumn("hashes", _window_hashes(F.col("words"))).withColumn(
         "common", F.array_join(F.transform(
             F.filter("words", lambda w: F.lower(w).isin(list(COMMON_WORDS))),
             lambda w: F.char(F.array_position(F.lit(list(COMMON_WORDS)), F.lower(w)) + 63)), ""))

@@ -6,8 +6,8 @@ from collections import defaultdict
 
 import pytest
 
-from test_jaccard_join import brute
-from test_linededup import plain
+from .test_jaccard_join import brute
+from .test_linededup import plain
 
 pipeline = pytest.importorskip("corpus_pipeline")
 

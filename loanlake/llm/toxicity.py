@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import crc_mod, mix64, ranges, slices, span_hashes, spaced, utf8
 
 WINDOW, STRIDE, HIDDEN, EMBED, BITS = 128, 64, 8, 4, 16
-SAMPLE, MAX_WINDOWS, EPOCHS, BATCH = 1500, 8, 10, 128
+SAMPLE, MAX_WINDOWS, EPOCHS, BATCH = 1500, 16, 14, 128
 
 
 def words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -194,14 +194,26 @@ def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return owner, first[:-1][owner] + k * STRIDE, np.clip(n[owner] - k * STRIDE, 0, WINDOW)
 
 
-def _log_odds(bucket: np.ndarray, doc: np.ndarray, label: np.ndarray) -> np.ndarray:
+def _coded(text: bytes) -> tuple[np.ndarray, ...]:
+    """Of a document's windows (one a line): word buckets, the two gram buckets of each
+    byte inside words, bytes of each word, words of each window."""
+    lines = text.split(b"\n")
+    raw = np.frombuffer(b"".join(lines) or b" ", np.uint8)
+    low, starts, ends, first = words(raw, np.concatenate([[0], np.cumsum([len(x) for x in lines])]) if len(lines) > 1
+                                     else np.array([0, len(raw)]))
+    word, short, long = codes(low, starts, ends)
+    inside = ranges(starts, ends)
+    return (word.astype(np.uint16), short[inside].astype(np.uint16), long[inside].astype(np.uint16),
+            (ends - starts).astype(np.int32), np.diff(first))
+
+
+def _log_odds(buckets: list[np.ndarray], label: np.ndarray) -> np.ndarray:
     """Shrunken log-odds of label 1 by bucket, each document counted once."""
-    pairs = np.unique(bucket.astype(np.int64) * len(label) + doc)
-    b, y = pairs // len(label), label[pairs % len(label)]
-    one = np.bincount(b, y, 1 << BITS)
-    rest = np.bincount(b, minlength=1 << BITS) - one
+    counts = np.zeros((2, 1 << BITS))
+    for b, y in zip(buckets, label, strict=True):
+        counts[int(y), np.unique(b)] += 1
     rate = label.mean()
-    return np.log((one + 5 * rate) / (rest + 5 * (1 - rate)) * (1 - rate) / rate).astype(np.float32)
+    return np.log((counts[1] + 5 * rate) / (counts[0] + 5 * (1 - rate)) * (1 - rate) / rate).astype(np.float32)
 
 
 def train(texts: list[bytes], labels: np.ndarray, share: float | None = None, epochs: int = EPOCHS,
@@ -209,23 +221,31 @@ def train(texts: list[bytes], labels: np.ndarray, share: float | None = None, ep
     """``texts``: the chosen windows of a document, one a line. ``share``: of label 1 among
     all documents, where the sample has another."""
     net, rng = Network(seed), np.random.default_rng(seed)
-    lines = [line for t in texts for line in t.split(b"\n")]
-    doc = np.repeat(np.arange(len(texts)), [t.count(b"\n") + 1 for t in texts])
-    raw = np.frombuffer(b"".join(lines) or b" ", np.uint8)
-    text, starts, ends, first = words(raw, np.concatenate([[0], np.cumsum([len(x) for x in lines])]))
-    word, short, long = codes(text, starts, ends)
-    in_doc = doc[np.searchsorted(first[1:], np.arange(len(starts)), side="right")]
-    at_byte, inside = np.repeat(in_doc, ends - starts), ranges(starts, ends)
-    net.words[:, 0] = _log_odds(word, in_doc, labels)
-    grams = np.concatenate([short[inside], long[inside]])
-    net.grams[:, 0] = _log_odds(grams, np.concatenate([at_byte, at_byte]), labels)
-    lens = np.minimum(np.diff(first), WINDOW)
+    corpus = [_coded(t) for t in texts]  # one document at a time: what is kept is a few bytes per byte of text
+    word, short, long, width, lens = (np.concatenate([c[k] for c in corpus]) for k in range(5))
+    doc = np.repeat(np.arange(len(texts)), [len(c[4]) for c in corpus])
+    first = np.concatenate([[0], np.cumsum(lens)])
+    at_byte = np.concatenate([[0], np.cumsum(width, dtype=np.int64)])
+    net.words[:, 0] = _log_odds([c[0] for c in corpus], labels)
+    net.grams[:, 0] = _log_odds([np.concatenate(c[1:3]) for c in corpus], labels)
+    del corpus
+
+    def read(part: np.ndarray) -> tuple:
+        """Inputs of some windows, and where they come from."""
+        span = ranges(first[part], first[part + 1])
+        inner = ranges(at_byte[span], at_byte[span + 1])
+        both = np.stack([net.grams[short[inner]], net.grams[long[inner]]])
+        if not len(span):
+            return np.zeros((0, 2 * EMBED), np.float32), span, inner, both
+        cut = np.cumsum(width[span], dtype=np.int64) - width[span]
+        return np.concatenate([net.words[word[span]], np.maximum.reduceat(both.max(axis=0), cut, axis=0)], axis=1), span, inner, both
 
     def logits() -> np.ndarray:
-        x = net.inputs(text, starts, ends)
-        return np.concatenate([net.run(x[ranges(first[a:b], first[a:b] + lens[a:b])],
-                                       np.cumsum(lens[a:b]) - lens[a:b], lens[a:b]).astype(np.float64)
-                               for a, b in ((i, min(i + 2048, len(lens))) for i in range(0, len(lens), 2048))])
+        out = []
+        for lo in range(0, len(lens), 512):
+            part = np.arange(lo, min(lo + 512, len(lens)))
+            out.append(net.run(read(part)[0], np.cumsum(lens[part]) - lens[part], lens[part]).astype(np.float64))
+        return np.concatenate(out)
 
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.dense.items()}
     seen = [np.full((1 << BITS, 1), 1e-3, np.float32) for _ in range(2)]
@@ -235,14 +255,9 @@ def train(texts: list[bytes], labels: np.ndarray, share: float | None = None, ep
         order = np.lexsort((-drawn, doc))
         chosen = order[np.concatenate([[True], doc[order][1:] != doc[order][:-1]])]
         for part in np.array_split(rng.permutation(chosen), max(1, len(chosen) // BATCH)):
-            span = ranges(first[part], first[part] + lens[part])
+            xs, span, inner, both = read(part)
             if not len(span):
                 continue
-            inner, width = ranges(starts[span], ends[span]), (ends - starts)[span]
-            both = np.stack([net.grams[short[inner]], net.grams[long[inner]]])
-            cut = np.cumsum(width) - width
-            top = np.maximum.reduceat(both.max(axis=0), cut, axis=0)
-            xs = np.concatenate([net.words[word[span]], top], axis=1)
             out, tape, pooled, total, xs = net.run(xs, np.cumsum(lens[part]) - lens[part], lens[part], keep=True)
             slope = ((_sigmoid(out) - labels[doc[part]]) / len(part)).astype(np.float32)
             grad, d_x = net.gradients(slope, tape, pooled, total, xs)
@@ -252,8 +267,8 @@ def train(texts: list[bytes], labels: np.ndarray, share: float | None = None, ep
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 net.dense[k] -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
-            owner = np.repeat(np.arange(len(span)), width)
-            from_top = (both == top[owner]) * d_x[owner, EMBED:]
+            owner = np.repeat(np.arange(len(span)), width[span])
+            from_top = (both == xs[owner, EMBED:]) * d_x[owner, EMBED:]
             for table, rows, d, past in ((net.words, word[span], d_x[:, :EMBED], seen[0]),
                                          (net.grams, np.concatenate([short[inner], long[inner]]),
                                           from_top.reshape(-1, EMBED), seen[1])):

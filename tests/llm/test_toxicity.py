@@ -38,7 +38,7 @@ def test_windows_overlap_and_cover():
 def test_words_and_log_odds():
     text, starts, ends, first = words(np.frombuffer("Ab, CÉ1\n".encode() + b"x", np.uint8), np.array([0, 9, 10]))
     assert [text[a:b].tobytes().decode() for a, b in zip(starts, ends)] == ["ab", "cÉ1", "x"] and first.tolist() == [0, 2, 3]
-    odds = _log_odds(np.array([1, 1, 2, 2, 1]), np.array([0, 0, 1, 2, 3]), np.array([1.0, 0, 0, 1]))
+    odds = _log_odds([np.array([1, 1]), np.array([2]), np.array([2]), np.array([1])], np.array([1.0, 0, 0, 1]))
     assert odds[1] > 0 > odds[2] and odds[3] == 0
 
 

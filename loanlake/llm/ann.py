@@ -6,8 +6,8 @@ around its place in every sorted array it opens a window and counts, for each
 vector, the arrays whose window holds it. A vector reaching ``threshold``
 collisions is verified by its exact inner product (double precision). Virtual
 rehashing widens all windows of a query by a constant factor per round, without
-other hash tables, until it has verified ``beta`` of the shard and at least
-``least`` vectors.
+other hash tables, until it has verified ``few`` vectors per wanted neighbour and
+``beta`` of the shard, one law for shards of every size.
 
 Largest inner product becomes nearness by one more coordinate, sqrt(M^2 - |x|^2)
 with M the largest norm (0 for queries): distances then order like products.
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import stable
 
-PROJECTIONS, THRESHOLD, BETA, LEAST, WIDEN, SEED = 72, 0.5, 0.12, 400, 1.3, 41
+PROJECTIONS, THRESHOLD, BETA, FEW, WIDEN, SEED = 128, 0.5, 0.2, 4, 1.3, 41
 SHARD_ROWS, QUERY_ROWS = 8192, 256
 
 
@@ -97,7 +97,7 @@ class Index:
 
 
 def nearest(table: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
-            projections: int = PROJECTIONS, threshold: float = THRESHOLD, beta: float = BETA, least: int = LEAST,
+            projections: int = PROJECTIONS, threshold: float = THRESHOLD, beta: float = BETA, few: int = FEW,
             widen: float = WIDEN, seed: int = SEED, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank, vec_id and score of each query's nearest vectors; queries
     are the rows whose id is divisible by ``every``."""
@@ -127,7 +127,7 @@ def nearest(table: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_i
                 # queries are scaled to norm M, which changes no order
                 scaled = q_matrix * np.sqrt(most / (q_matrix ** 2).sum(axis=1))[:, None]
                 places = scaled @ directions[:dim]
-                wanted = min(len(ids), max(least, k + 1, round(beta * len(ids))))
+                wanted = min(len(ids), few * k + 1 + round(beta * len(ids)))
                 near, width = round(threshold * projections), 0.4 * np.sqrt(most / (dim + 1))
                 out = []
                 for qid, q, place in zip(q_ids.tolist(), q_matrix, places, strict=True):

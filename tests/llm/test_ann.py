@@ -1,6 +1,9 @@
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 
-from loanlake.llm.ann import nearest
+from loanlake.llm.ann import SHARD_ROWS, nearest
+from loanlake.llm.queries import op3_collision_counting_ann
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -46,3 +49,38 @@ def test_small_and_odd_tables_are_exact(spark, clash):
     assert nearest(spark.createDataFrame([], SCHEMA)).count() == 0
     one = spark.createDataFrame([(20, [1.0, 2.0], 1), (21, [2.0, 1.0], 1)], SCHEMA)
     assert [tuple(x) for x in nearest(one).collect()] == [(20, 1, 21, 4.0)]
+
+
+def _recall(spark, folder):
+    table = pq.read_table(f"{folder}/embeddings.parquet")
+    ids, m = table["vec_id"].to_numpy(), np.array(table["embedding"].to_pylist(), np.float32).astype(np.float64)
+    got = {}
+    for r in op3_collision_counting_ann(spark, folder).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    asked = np.flatnonzero(ids % 20 == 0)
+    assert got.keys() == set(ids[asked].tolist())
+    hits = 0
+    for i in asked:
+        score = m @ m[i]
+        score[i] = -np.inf
+        hits += len(got[int(ids[i])] & set(ids[np.argsort(-score)[:20]].tolist()))
+    return hits / (20 * len(asked))
+
+
+def test_recall_with_the_query_s_own_defaults(spark, tmp_path):
+    source = pq.read_table("/root/testdata/sf0.1/embeddings.parquet")
+    small = _recall(spark, "/root/testdata/sf0.1")
+    print("recall on sf0.1:", small)
+    assert small >= 0.9
+    # several full default shards of vectors with the table's label means and spread
+    m, label = np.array(source["embedding"].to_pylist()), source["label"].to_numpy()
+    r, names = np.random.default_rng(7), np.unique(label)
+    mean, spread = (np.stack([f(m[label == x], axis=0) for x in names]) for f in (np.mean, np.std))
+    n = 3 * SHARD_ROWS
+    pick = r.integers(0, len(names), n)
+    made = (mean[pick] + spread[pick] * r.standard_normal((n, m.shape[1]))).astype(np.float32)
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": pa.array(list(made), pa.list_(pa.float32())),
+                             "label": names[pick]}), str(tmp_path / "embeddings.parquet"))
+    recall = _recall(spark, str(tmp_path))
+    print("recall on three shards:", recall)
+    assert recall >= 0.9

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from .common import slices, stable, utf8
 
 LOW = np.uint64(0xFFFFFFFF)
+#: The frequency class of hot hashes.
+HOT = 255
 BLOCK_BYTES = 2 << 20
 
 
@@ -59,17 +61,31 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
-def shared_prints(blocks: DataFrame, hashes_of: Callable[[np.ndarray, np.ndarray], np.ndarray], buckets: int) -> DataFrame:
-    """(block, heard): for each block its prints that the table has twice or more, by
-    bucket, with a frequency class (1 to 255, rising with the count)."""
+def _count_bytes(n: np.ndarray) -> np.ndarray:
+    """Counts of a block as bytes: exact up to 128, rising with the logarithm above."""
+    return np.where(n <= 128, n, np.minimum(255, 128 + np.ceil(8 * np.log2(np.maximum(n, 128) / 128)))).astype(np.uint8)
+
+
+def _counts(coded: np.ndarray) -> np.ndarray:
+    return np.where(coded <= 128, coded, 128 * 2.0 ** ((coded.astype(np.float64) - 128) / 8)).astype(np.int64)
+
+
+def shared_prints(blocks: DataFrame, hashes_of: Callable[..., np.ndarray], buckets: int, using: str | None = None,
+                  hot: int | None = None) -> DataFrame:
+    """(block, heard, n, n_hot): for each block its prints that the table has twice or
+    more, by bucket, with a frequency class (1 to 255, rising with the count), and how
+    many hashes of the block these are, hot ones apart. With ``hot`` the class is 1, or
+    ``HOT`` for more than so many hashes beyond two a block. ``hashes_of`` gets a block's
+    bytes, offsets and, if given, its value of the column ``using``."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                every = np.sort(hashes_of(*block_texts(batch, i)))
+                more = [batch.column(using)[i].as_py()] if using else []
+                every = np.sort(hashes_of(*block_texts(batch, i), *more))
                 if not len(every):
                     continue
                 edge = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-                distinct, n = every[edge], np.minimum(np.diff(np.append(edge, len(every))), 255)
+                distinct, n = every[edge], _count_bytes(np.diff(np.append(edge, len(every))))
                 cuts = np.searchsorted(bucket_of(distinct, buckets), np.arange(buckets + 1))
                 some = np.flatnonzero(np.diff(cuts))
                 low = (distinct & LOW).astype("<u4")
@@ -78,33 +94,40 @@ def shared_prints(blocks: DataFrame, hashes_of: Callable[[np.ndarray, np.ndarray
                     pa.array([batch.column("block")[i].as_py()] * len(some), pa.int64()),
                     pa.array(some.astype(np.int64)),
                     pa.array([low[a:b].tobytes() for a, b in spans], pa.binary()),
-                    pa.array([zlib.compress(n[a:b].astype(np.uint8).tobytes(), 1) for a, b in spans], pa.binary())],
+                    pa.array([zlib.compress(n[a:b].tobytes(), 1) for a, b in spans], pa.binary())],
                     names=["block", "bucket", "prints", "counts"])
 
     def count(table: pa.Table) -> pa.Table:
         prints = [np.frombuffer(x.as_py(), "<u4") for x in table.column("prints")]
-        counts = [np.frombuffer(zlib.decompress(x.as_py()), np.uint8) for x in table.column("counts")]
+        counts = [_counts(np.frombuffer(zlib.decompress(x.as_py()), np.uint8)) for x in table.column("counts")]
         key = (np.concatenate(prints).astype(np.uint64) << np.uint64(32)) | np.arange(sum(map(len, prints)), dtype=np.uint64)
         key = np.sort(key)
         at = (key & LOW).astype(np.int64)
         edge = np.flatnonzero(np.concatenate([[True], (key[1:] ^ key[:-1]) >> np.uint64(32) != 0]))
-        total = np.add.reduceat(np.concatenate(counts)[at].astype(np.int64), edge)
-        rank = np.where(total > 1, np.minimum(255, np.ceil(8 * np.log2(np.maximum(total, 1)))), 0).astype(np.uint8)
+        total = np.add.reduceat(np.concatenate(counts)[at], edge)
+        times = np.diff(np.append(edge, len(key)))
+        if hot is None:
+            rank = np.minimum(255, np.ceil(8 * np.log2(np.maximum(total, 1))))
+        else:
+            rank = np.where(total - 2 * times > hot, HOT, 1)
+        rank = np.where(total > 1, rank, 0).astype(np.uint8)
         freq = np.empty(len(key), np.uint8)
-        freq[at] = np.repeat(rank, np.diff(np.append(edge, len(key))))
+        freq[at] = np.repeat(rank, times)
         out, lo = [], 0
-        for p in prints:
+        for p, c in zip(prints, counts, strict=True):
             f = freq[lo:lo + len(p)]
-            out.append((p[f > 0].tobytes(), f[f > 0].tobytes()))
+            out.append((p[f > 0].tobytes(), f[f > 0].tobytes(), int(c[(f > 0) & (f < HOT)].sum()), int(c[f == HOT].sum())))
             lo += len(p)
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"),
-                         "prints": pa.array([x for x, _ in out], pa.binary()),
-                         "freqs": pa.array([x for _, x in out], pa.binary())})
+                         "prints": pa.array([x[0] for x in out], pa.binary()),
+                         "freqs": pa.array([x[1] for x in out], pa.binary()),
+                         "n": pa.array([x[2] for x in out], pa.int64()), "n_hot": pa.array([x[3] for x in out], pa.int64())})
 
-    sent = blocks.select("block", "lens", "texts").mapInArrow(send, "block long, bucket long, prints binary, counts binary")
-    back = sent.groupBy("bucket").applyInArrow(count, "block long, bucket long, prints binary, freqs binary")
+    sent = blocks.select("block", "lens", "texts", *([using] if using else [])).mapInArrow(send, "block long, bucket long, prints binary, counts binary")
+    back = sent.groupBy("bucket").applyInArrow(
+        count, "block long, bucket long, prints binary, freqs binary, n long, n_hot long")
     return back.where("octet_length(prints) > 0").groupBy("block").agg(
-        F.collect_list(F.struct("bucket", "prints", "freqs")).alias("heard"))
+        F.collect_list(F.struct("bucket", "prints", "freqs")).alias("heard"), F.sum("n").alias("n"), F.sum("n_hot").alias("n_hot"))
 
 
 def frequency(hashes: np.ndarray, heard: list[dict] | None, buckets: int) -> np.ndarray:

@@ -9,6 +9,14 @@ short string per run of windows with a common anchor, to the bucket of that anch
 hash. Copies of a string are folded per block, so a passage that is everywhere
 arrives once per block.
 
+An anchor is hot if its distinct strings, beyond two of each block, would be more than
+a bucket: text of ``GRAM`` bytes or more that many documents surround by words of their own.
+Its windows are named anew, by the least hash among their longer strings, which take
+in more of what surrounds the anchor: those that the table has once can't repeat, hot
+ones are named by still longer strings, up to the whole window, whose copies are one
+string per block. Each name is a function of the window and of counts over the table,
+so equal windows go the same way.
+
 A bucket sorts all suffixes of its strings by the difference-cover algorithm: name
 the triples at positions 1 and 2 modulo 3 in sorted order, recurse on the names
 (until a name covers ``need`` bytes), sort the remaining suffixes by first byte and
@@ -33,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import mix64, powers, ranges, span_hashes, stable
-from .exchange import BLOCK_BYTES, block_ids, block_texts, bucket_of, frequency, shared_prints, text_blocks
+from .exchange import BLOCK_BYTES, HOT, block_ids, block_texts, bucket_of, frequency, shared_prints, text_blocks
 
 NEED, GRAM = 200, 64
 #: Anchors of a counting bucket, string bytes of a sorting bucket.
@@ -166,13 +174,63 @@ def repeated_windows(strings: list[np.ndarray], need: int) -> list[np.ndarray]:
     return [mark[b:b + c] for b, c in zip(base.tolist(), counts.tolist(), strict=True)]
 
 
-def _strings(buf: np.ndarray, offsets: np.ndarray, heard: list[dict] | None, anchors: int, buckets: int, need: int, gram: int):
+def gram_lengths(need: int, gram: int) -> list[int]:
+    """The anchor lengths in turn, up to the whole window."""
+    out = [gram]
+    while out[-1] < need:
+        out.append(need if need - out[-1] < 32 else (out[-1] + need + 1) // 2)
+    return out
+
+
+def _runs_of(buf: np.ndarray, offsets: np.ndarray, windows: np.ndarray | None, need: int,
+             gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``anchor_runs`` of all windows, or of the given ones (rising) without reading the rest."""
+    if windows is None:
+        return anchor_runs(buf, offsets, need, gram)
+    edge = np.flatnonzero(np.concatenate([[True], np.diff(windows) != 1])[:len(windows)])
+    lo, hi = windows[edge], windows[np.append(edge[1:], len(windows))[:len(edge)] - 1] + need
+    place = ranges(lo, hi)
+    first, last, anchor = anchor_runs(buf[place], np.concatenate([[0], np.cumsum(hi - lo)]), need, gram)
+    return place[first], place[last], anchor
+
+
+def _leveled(buf: np.ndarray, offsets: np.ndarray, heard: list, anchors: list[int], need: int,
+             grams: list[int]) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray]], np.ndarray | None]:
+    """Runs that may repeat, by the length that names them, and the windows that wait
+    for the length after those (None: all windows)."""
+    out, windows = [], None
+    for level, (told, size) in enumerate(zip(heard, anchors, strict=True)):
+        first, last, anchor = _runs_of(buf, offsets, windows, need, grams[level])
+        freq = frequency(anchor, told, size)
+        over = freq == HOT
+        keep = (freq > 0) & ~over
+        out.append((first[keep], last[keep], mix64(anchor[keep] ^ np.uint64(level))))
+        windows = ranges(first[over], last[over] + 1)
+        if not len(windows):
+            break
+    return out, windows
+
+
+def _named(buf: np.ndarray, runs: tuple[np.ndarray, np.ndarray, np.ndarray], need: int) -> np.ndarray:
+    """Each run's anchor once per distinct string, but twice at least if it is there twice."""
+    first, last, anchor = runs
+    if not len(first):
+        return anchor
+    content = span_hashes(buf, first, last + need)
+    order = np.lexsort((content, anchor))
+    a, c = anchor[order], content[order]
+    other = np.concatenate([[True], a[1:] != a[:-1]])
+    keep = other | np.concatenate([[False], c[1:] != c[:-1]]) | np.concatenate([[False], other[:-1]])
+    return a[keep]
+
+
+def _strings(buf: np.ndarray, offsets: np.ndarray, heard: list, anchors: list[int], buckets: int, need: int,
+             grams: list[int]):
     """Runs that may repeat, and the distinct strings among them by bucket:
     (first, last, string of each run, run of each string, copies, bucket)."""
-    first, last, anchor = anchor_runs(buf, offsets, need, gram)
-    keep = frequency(anchor, heard, anchors) > 0
-    first, last, anchor = first[keep], last[keep], anchor[keep]
-    bucket = bucket_of(mix64(anchor), buckets).astype(np.int64)
+    runs, _ = _leveled(buf, offsets, heard, anchors, need, grams)
+    first, last, anchor = (np.concatenate([r[k] for r in runs]) for k in range(3))
+    bucket = bucket_of(anchor, buckets).astype(np.int64)
     # an order that depends on the strings alone: by bucket, then hash
     content = span_hashes(buf, first, last + need)
     order = np.lexsort((content, bucket))
@@ -183,24 +241,47 @@ def _strings(buf: np.ndarray, offsets: np.ndarray, heard: list[dict] | None, anc
     return first, last, string, run, np.bincount(string, minlength=len(run)), bucket[run]
 
 
-def remove_repeats(docs: DataFrame, need: int = NEED, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
-                   block_bytes: int = BLOCK_BYTES, with_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document, and with
-    ``with_text`` the kept bytes and the removed spans (start, end)."""
+def sent_strings(docs: DataFrame, need: int, gram: int, id_col: str, text_col: str, block_bytes: int, bucket_bytes: int):
+    """(blocks with what they heard of their anchors, the strings they send to the
+    buckets, and the rules by which a block finds its strings again)."""
     blocks = text_blocks(docs, id_col, text_col, block_bytes)
     size = int(blocks.agg(F.sum("size")).first()[0] or 0)
-    anchors = max(64, 2 * size // (need - gram + 1) // BUCKET_ANCHORS)
-    heard = stable(shared_prints(blocks, lambda buf, offsets: anchor_runs(buf, offsets, need, gram)[2], anchors))
-    shared = heard.select(F.explode("heard").alias("h")).agg(F.sum(F.octet_length("h.prints"))).first()[0] or 0
-    buckets = max(64, int(shared) // 4 * (need + (need - gram) // 2) // BUCKET_BYTES)
-    asked = stable(blocks.join(heard, "block", "left"))
+    grams = gram_lengths(need, gram)
+    hot = bucket_bytes // (need + (need - gram) // 2)
+    anchors, told, sent_bytes = [max(64, 2 * size // (need - gram + 1) // BUCKET_ANCHORS)], None, 0
+    for level, length in enumerate(grams):
+        def names(buf: np.ndarray, offsets: np.ndarray, heard: list | None = None, sizes=tuple(anchors), length=length) -> np.ndarray:
+            windows = _leveled(buf, offsets, heard, list(sizes[:-1]), need, grams)[1] if heard else None
+            return _named(buf, _runs_of(buf, offsets, windows, need, length), need)
+
+        last = length == need
+        asking = blocks.join(told.where("n_hot > 0"), "block") if level else blocks
+        heard = stable(shared_prints(asking, names, anchors[-1], "heard" if level else None, 1 << 62 if last else hot))
+        n, n_hot = (int(x or 0) for x in heard.agg(F.sum("n"), F.sum("n_hot")).first())
+        sent_bytes += n * (need + (need - length) // 2)
+        mine = heard.select("block", F.array("heard").alias("heard"), "n_hot")
+        if level:  # a block that didn't ask has nothing to look up
+            before = told.select("block", F.col("heard").alias("so_far"))
+            none = F.array(F.lit(None).cast(heard.schema["heard"].dataType))
+            mine = before.join(mine, "block", "left").select(
+                "block", F.concat("so_far", F.coalesce("heard", none)).alias("heard"), F.coalesce("n_hot", F.lit(0)).alias("n_hot"))
+        told = mine
+        if last or not n_hot:
+            break
+        # a hot string of the mean length has so many windows, and so many names at most
+        following = need - grams[level + 1] + 1
+        anchors.append(max(64, n_hot * (2 * (need - length + 1) // following + 1) // BUCKET_ANCHORS))
+    buckets = max(64, sent_bytes // bucket_bytes)
+    rules = (anchors, buckets, need, grams)
+    nothing = F.array_repeat(F.lit(None).cast(heard.schema["heard"].dataType), len(anchors))
+    asked = stable(blocks.join(told.drop("n_hot"), "block", "left").withColumn("heard", F.coalesce("heard", nothing)))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 buf, offsets = block_texts(batch, i)
                 first, last, _, run, copies, bucket = _strings(
-                    buf, offsets, batch.column("heard")[i].as_py(), anchors, buckets, need, gram)
+                    buf, offsets, batch.column("heard")[i].as_py(), *rules)
                 cuts = np.flatnonzero(np.concatenate([[True], np.diff(bucket) != 0])) if len(run) else []
                 rows = []
                 for a, b in zip(cuts, np.append(cuts[1:], len(run)) if len(run) else []):
@@ -213,6 +294,16 @@ def remove_repeats(docs: DataFrame, need: int = NEED, gram: int = GRAM, id_col:
                     pa.array([r[0] for r in rows], pa.int64()), *[pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)]],
                     names=["block", "bucket", "lens", "again", "flat"])
 
+    return asked, asked.select("block", "lens", "texts", "heard").mapInArrow(
+        send, "block long, bucket long, lens binary, again binary, flat binary"), rules
+
+
+def remove_repeats(docs: DataFrame, need: int = NEED, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
+                   block_bytes: int = BLOCK_BYTES, with_text: bool = False, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document, and with
+    ``with_text`` the kept bytes and the removed spans (start, end)."""
+    asked, sent, rules = sent_strings(docs, need, gram, id_col, text_col, block_bytes, bucket_bytes)
+
     def sort(table: pa.Table) -> pa.Table:
         strings: dict[bytes, int] = {}
         again: list[bool] = []
@@ -234,8 +325,6 @@ def remove_repeats(docs: DataFrame, need: int = NEED, gram: int = GRAM, id_col:
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "marks": pa.array(
             [zlib.compress(np.packbits(np.concatenate([packed[k] for k in mine])).tobytes(), 1) for mine in asked_by], pa.binary())})
 
-    sent = asked.select("block", "lens", "texts", "heard").mapInArrow(
-        send, "block long, bucket long, lens binary, again binary, flat binary")
     told = sent.groupBy("bucket").applyInArrow(sort, "block long, bucket long, marks binary").groupBy("block").agg(
         F.sort_array(F.collect_list(F.struct("bucket", "marks"))).alias("told"))
 
@@ -245,7 +334,7 @@ def remove_repeats(docs: DataFrame, need: int = NEED, gram: int = GRAM, id_col:
                 ids, null = block_ids(batch, i)
                 buf, offsets = block_texts(batch, i)
                 first, last, string, run, _, bucket = _strings(
-                    buf, offsets, batch.column("heard")[i].as_py(), anchors, buckets, need, gram)
+                    buf, offsets, batch.column("heard")[i].as_py(), *rules)
                 length = last[run] - first[run] + 1
                 parts = []
                 for x in batch.column("told")[i].as_py() or []:

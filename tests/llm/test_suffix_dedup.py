@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from loanlake.llm.suffix_dedup import remove_repeats, repeated_windows, suffix_ranks
+from loanlake.llm.suffix_dedup import remove_repeats, repeated_windows, sent_strings, suffix_ranks
 
 
 def brute(rows, need):
@@ -71,3 +71,24 @@ def test_repeated_windows_of_strings():
         got = repeated_windows([np.frombuffer(s, np.uint8) for s in strings], need)
         for s, g in zip(strings, got):
             assert g.tolist() == [seen[s[i:i + need]] > 1 for i in range(len(s) - need + 1)]
+
+
+def test_a_hot_anchor_is_split(spark):
+    r = random.Random(9)
+    own = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    short, long = own(45), own(150)
+    rows = [(i, own(70) + (short if i % 2 else long) + own(70)) for i in range(400)]
+    # the same words of their own around the passage, in pairs
+    rows += [(1000 + i, rows[i % 40][1][20:-25] + own(9)) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+    def largest(bucket_bytes):
+        _, sent, _ = sent_strings(docs, 60, 20, "doc_id", "text", 9000, bucket_bytes)
+        out = Counter()
+        for x in sent.select("bucket", "lens").collect():
+            out[x["bucket"]] += int(np.frombuffer(x["lens"], "<i4").sum())
+        return max(out.values())
+
+    assert largest(10 ** 9) > 10_000 and largest(1600) < 5_000, (largest(10 ** 9), largest(1600))
+    got = remove_repeats(docs, need=60, gram=20, block_bytes=9000, bucket_bytes=1600).collect()
+    assert sorted(map(tuple, got), key=repr) == brute(rows, 60)

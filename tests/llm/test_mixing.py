@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 
-from loanlake.llm.mixing import mix_documents, mix_report, split_quotas, targets
+from loanlake.llm.mixing import mix_blocks, mix_documents, mix_report, split_quotas, targets
 
 
 def n_words(t):
@@ -68,3 +68,40 @@ def test_documents_of_the_mix(odd_docs, odd_rows, no_docs):
         assert any(t.startswith(r["text"]) for t in texts[r["doc_id"]])
     assert got == {k: v for k, v in plan.items() if v}
     assert mix_documents(no_docs).count() == 0
+
+
+def test_blocks_meet_the_shards_quotas(spark, odd_docs):
+    long = [(1000 + i, f"w{i} " * n, "en", s, 1) for i, (s, n) in enumerate([("big", 20_000), ("z", 700), ("z", 90)])]
+    docs = odd_docs.unionByName(spark.createDataFrame(long, odd_docs.schema)).cache()
+    words, shards, rounds, taken = defaultdict(int), defaultdict(set), defaultdict(set), defaultdict(int)
+    for r in mix_blocks(docs).collect():
+        words[r["source"], r["block"]] += r["words"]
+        shards[r["source"], r["block"]].add(r["shard"])
+        taken[r["doc_id"]] += r["words"]
+        if r["doc_id"] == 1000:
+            rounds[r["round"]].add(r["shard"])
+    assert all(len(x) == 1 for x in shards.values()) and max(words.values()) == 64
+    names = sorted({s for s, _ in shards}, key=lambda s: (s is None, s))
+    quotas = [sum(s == n for s, _ in shards) for n in names]
+    assert all({b for s, b in shards if s == n} == set(range(q)) for n, q in zip(names, quotas))
+    got = np.zeros((8, len(names)), int)
+    for (s, _), at in shards.items():
+        got[at.pop(), names.index(s)] += 1
+    assert (got == split_quotas(quotas, 8, 17)).all() and np.ptp(got.sum(axis=1)) <= 1
+    assert all(len(x) == 8 for x in rounds.values())
+    report = mix_report(docs).collect()
+    once = [r for r in report if r["doc_id"] not in (None, 5, 300)]
+    for r in once:
+        assert (r["shard"] is None) == (r["taken"] == 0)
+        dealt = dict(x.split(":") for x in r["dealt"].split())
+        assert sum(map(int, dealt.values())) == taken[r["doc_id"]]
+    assert all(abs(r["taken"] - taken[r["doc_id"]]) < 1 for r in once if r["doc_id"] >= 1000)
+
+
+def test_rounds_go_to_several_shards_in_shuffled_order(spark, odd_docs):
+    docs = spark.createDataFrame([(i, f"w{i} " * 150, "en", "a" if i < 10 else "b", 1) for i in range(400)], odd_docs.schema)
+    ids = [r["doc_id"] for r in mix_documents(docs).collect()]
+    first = [i for i in ids if i < 10]
+    assert Counter(first) == Counter({i: 3 for i in range(10)})
+    places = [[k for k, x in enumerate(ids) if x == i] for i in range(10)]
+    assert sum(max(p) - min(p) > 50 for p in places) >= 5

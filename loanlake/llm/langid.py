@@ -31,7 +31,7 @@ _ROWS, _BYTES = 256, 1 << 20
 
 
 def _letters() -> np.ndarray:
-    return np.fromiter((chr(c).isalpha() for c in range(1 << 16)), bool, 1 << 16)
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
 def _grams(texts: list[str], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -41,7 +41,7 @@ def _grams(texts: list[str], letters: np.ndarray) -> tuple[np.ndarray, np.ndarra
     cp = np.frombuffer("".join(x + "\n" for x in low).encode("utf-32-le", "surrogatepass"), np.uint32)
     lens = np.fromiter((len(x) + 1 for x in low), np.int64, len(low))
     owner = np.repeat(np.arange(len(low), dtype=np.uint64), lens)
-    is_letter = np.where(cp < (1 << 16), letters[np.minimum(cp, 0xFFFF)], True)
+    is_letter = letters[cp]
     folded = np.where(is_letter, 1 + (cp ^ (cp >> np.uint32(10)) * np.uint32(389)) % np.uint32(1023), 0).astype(np.uint64)
     keep = is_letter.copy()
     keep[1:] |= is_letter[:-1]  # the first of several word ends stays

@@ -63,3 +63,13 @@ def test_distance_matches_brute_force(spark, odd_docs, odd_rows):
     for r in identify(odd_docs, profiles, top=40).collect():
         if (r["doc_id"], r["text"]) in want:
             assert (r["lang_pred"], round(r["score"], 9)) == want[r["doc_id"], r["text"]]
+
+
+def test_emoji_are_not_letters(spark, odd_docs):
+    texts = ["😀😀 🚀", "the 😀cat", "𝒜𝓁𝒻 𐐷"]
+    owner, _, n = _grams(texts, _letters())
+    for i, t in enumerate(texts):
+        assert sorted(n[owner == i].tolist()) == sorted(plain_grams(t).values())
+    more = odd_docs.unionByName(spark.createDataFrame([(900, texts[0], "en", "a", 4)], odd_docs.schema))
+    got = language_id(more).where("doc_id = 900").first()
+    assert (got["lang_pred"], got["score"]) == (UNKNOWN, 0.0)

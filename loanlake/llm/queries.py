@@ -11,6 +11,7 @@ from .linededup import dedup_lines
 from .mixing import mix_report
 from .oracle import ORACLE
 from .packing import pack_documents
+from .prefix_trie import ordered_turns, prefix_trie, share_heads
 from .quality import quality_rules
 from .sharding import shard_documents
 from .suffix_dedup import remove_repeats
@@ -70,9 +71,14 @@ def op10_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir), tokenizer_path())
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(*share_heads(ordered_turns(_table(spark, sf_dir, "conversations")))).drop("turn_digest")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_jaccard_trie_join, op2_recurrent_toxicity, op3_collision_counting_ann, op4_divergence_quality,
     op5_hash_tree_shards, op6_hypergeometric_mix, op7_rank_order_langid, op8_line_windows,
-    op9_difference_cover_dedup, op10_harmonic_packing)}
+    op9_difference_cover_dedup, op10_harmonic_packing,
+    op11_conversation_prefix_trie)}
 
 __all__ = ["ORACLE", "QUERIES", "tokenizer_path"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .alignment import align_tokenizers
 from .ann import nearest
 from .jaccard_join import jaccard_components
 from .langid import language_id
@@ -31,6 +32,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_jaccard_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_documents(spark, sf_dir))
 
@@ -75,10 +81,14 @@ def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
     return prefix_trie(*share_heads(ordered_turns(_table(spark, sf_dir, "conversations")))).drop("turn_digest")
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(_documents(spark, sf_dir), tokenizer_path(), piece_path())[0]
+
+
 QUERIES = {f.__name__: f for f in (
     op1_jaccard_trie_join, op2_recurrent_toxicity, op3_collision_counting_ann, op4_divergence_quality,
     op5_hash_tree_shards, op6_hypergeometric_mix, op7_rank_order_langid, op8_line_windows,
     op9_difference_cover_dedup, op10_harmonic_packing,
-    op11_conversation_prefix_trie)}
+    op11_conversation_prefix_trie, op12_cross_tokenizer_alignment)}
 
-__all__ = ["ORACLE", "QUERIES", "tokenizer_path"]
+__all__ = ["ORACLE", "QUERIES", "piece_path", "tokenizer_path"]

@@ -1,0 +1,110 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+import loanlake.llm.alignment as alignment
+from loanlake.llm.alignment import MEASURES, Tokenizers, _pieces, align_tokenizers
+from loanlake.llm.packing import white
+from loanlake.llm.queries import piece_path, tokenizer_path
+
+ODD = ["", "  two  spaces ", "it's  we'll nb em　x", "a \x1c b \x85 c", " lead", "trail ", "1 2  3\n\n 4 ", " ", "\n", "   ",
+       "<|endoftext|> x <s> </s> <unk> <0x41>", "日本 語 ab 😀😀 é è", "a ▁b", "▁", "\x00 x", "ﬁ ｆｕｌｌ", "x" * 300, "näive é"]
+
+
+@pytest.fixture(scope="module")
+def tools():
+    return Tokenizers(tokenizer_path(), piece_path())
+
+
+def links_of(tools, text):
+    """(A ids, B ids, groups, linked pairs) of a whole text, by comparing all byte ranges."""
+    if not text:
+        return None
+    a, b = tools.a.encode(" " + text, add_special_tokens=False).ids, tools.b.encode(text)
+    byte_of = {c: x for x, c in zip(*_gpt2())}
+    parts = [[bytes(byte_of[c] for c in tools.a.id_to_token(i)) for i in a],
+             [bytes([int(p[3:5], 16)]) if tools.b.is_byte(i) else p.replace("▁", " ").encode() for i in b for p in [tools.b.id_to_piece(i)]]]
+    if any(b"".join(p) != (" " + text).encode() for p in parts):
+        return None
+    (sa, ea), (sb, eb) = ((np.cumsum([0] + list(map(len, p)))[:-1], np.cumsum(list(map(len, p)))) for p in parts)
+    links = [(a[i], b[j]) for i in range(len(a)) for j in np.flatnonzero((sb < ea[i]) & (eb > sa[i]))]
+    cuts, groups = sorted(set(ea) & set(eb)), []
+    for lo, hi in zip([0] + cuts, cuts):
+        mine = [",".join(map(str, np.array(x)[(s >= lo) & (s < hi)].tolist())) for x, s in ((a, sa), (b, sb))]
+        groups.append("|".join(mine))
+    return a, b, groups, links
+
+
+def _gpt2():
+    own = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    rest = [x for x in range(256) if x not in own]
+    return own + rest, [chr(x) for x in own] + [chr(256 + k) for k in range(len(rest))]
+
+
+def brute(tools, rows):
+    known = {t: links_of(tools, t) for t in {t for _, t in rows}}
+    count = Counter(p for _, t in rows if known[t] for p in known[t][3])
+    most = Counter()
+    for (_, b), n in count.items():
+        most[b] = max(most[b], n)
+    out = []
+    for d, t in rows:
+        a, b, groups, links = known[t] or ([], [], [], [])
+        out.append((d, len(a), len(b), len(groups), len(links), sum(count[p] == most[p[1]] for p in links),
+                    sum(count[p] for p in links), hashlib.sha256(";".join(groups).encode()).hexdigest() if known[t] else ""))
+    return sorted(out, key=repr), {(a, b): (n, n == most[b]) for (a, b), n in count.items()}
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_pairs": 0, "block_bytes": 2000, "remembered": 50}, {"slice_bytes": 500, "block_bytes": 700}])
+def test_matches_brute_force(spark, tools, odd_rows, clash, options, monkeypatch):
+    monkeypatch.setattr(alignment, "BUCKET_PAIRS", 100)
+    rows = [(d, t and t[:9000]) for d, t, *_ in odd_rows] + [(400 + i, t) for i, t in enumerate(ODD)]
+    rows += [(1000 + i, "the same text, again and again") for i in range(80)] + [(2000, "▁ no tokens")] * 2
+    docs = clash(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    got, pairs = align_tokenizers(docs, tokenizer_path(), piece_path(), **options)
+    want, want_pairs = brute(tools, rows)
+    assert sorted((tuple(r[c] for c in ("doc_id", *MEASURES)) for r in got.collect()), key=repr) == want
+    assert {(r["a"], r["b"]): (r["n"], r["best"]) for r in pairs.collect()} == want_pairs
+
+
+def test_documents_of_the_tables(spark, tools):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got, _ = align_tokenizers(docs, tokenizer_path(), piece_path())
+    texts = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    short = {d for d, t in texts if t is None or len(t) < 3000}
+    # the whole tokenizers agree with the cuttings; counts need all texts
+    want = {d: links_of(tools, t) for d, t in texts if d in short}
+    for r in got.collect():
+        if r["doc_id"] in short:
+            a, b, groups, links = want[r["doc_id"]] or ([], [], [], [])
+            assert (r["n_a"], r["n_b"], r["n_groups"], r["n_links"]) == (len(a), len(b), len(groups), len(links))
+    assert len(got.collect()) == len(texts)
+
+
+def test_empty_tables(spark, no_docs):
+    got, pairs = align_tokenizers(no_docs, tokenizer_path(), piece_path())
+    assert got.count() == 0 and pairs.count() == 0
+    got, pairs = align_tokenizers(spark.createDataFrame([(1, None), (1, "")], "doc_id long, text string"), tokenizer_path(), piece_path())
+    assert sorted(map(tuple, got.collect())) == [(1, 0, 0, 0, 0, 0, 0, "")] * 2 and pairs.count() == 0
+
+
+def test_slices_end_before_lone_spaces():
+    r = random.Random(4)
+    for look in (40, 1 << 16):
+        raw = np.frombuffer("".join(r.choice(["a", "b", " ", " ", "　", "é", " ", "\n"]) for _ in range(5000)).encode(), np.uint8)
+        parts = list(_pieces(raw, 300, look))
+        assert np.concatenate(parts).tobytes() == raw.tobytes() and len(parts) > 5
+        space, at = white(raw), 0
+        for p in parts[:-1]:
+            at += len(p)
+            assert raw[at] == 32 and not space[at - 1] and not space[at + 1]
+    assert [len(p) for p in _pieces(np.full(1000, 97, np.uint8), 100, 50)] == [1000]
+
+
+def test_no_piece_joins_words(tools):
+    """What the cuttings rest on: no B piece has a space behind another character."""
+    pieces = [tools.b.id_to_piece(i) for i in range(tools.b.get_piece_size())]
+    assert not any("▁" in p.lstrip("▁") for p in pieces)

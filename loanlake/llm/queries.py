@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .alignment import align_tokenizers
 from .ann import nearest
+from .automaton_dedup import remove_passages
 from .jaccard_join import jaccard_components
 from .langid import language_id
 from .linededup import dedup_lines
@@ -85,10 +86,14 @@ def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return align_tokenizers(_documents(spark, sf_dir), tokenizer_path(), piece_path())[0]
 
 
+def op13_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_passages(_documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_jaccard_trie_join, op2_recurrent_toxicity, op3_collision_counting_ann, op4_divergence_quality,
     op5_hash_tree_shards, op6_hypergeometric_mix, op7_rank_order_langid, op8_line_windows,
     op9_difference_cover_dedup, op10_harmonic_packing,
-    op11_conversation_prefix_trie, op12_cross_tokenizer_alignment)}
+    op11_conversation_prefix_trie, op12_cross_tokenizer_alignment, op13_automaton_dedup)}
 
 __all__ = ["ORACLE", "QUERIES", "piece_path", "tokenizer_path"]

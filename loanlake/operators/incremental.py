@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from loanlake.functions.columns import ts_ntz_lit
 from loanlake.operators import marts
+from loanlake.plans.schema_record import synced
 from loanlake.session import ensure_checkpoint_dir
 
 
@@ -80,7 +81,8 @@ def refresh_fact(stg: DataFrame, target: DataFrame | None, since=None, **fact_kw
         fresh = stg.join(target.select("event_id"), "event_id", "left_anti")
     affected = fresh.select("loan_id").distinct()
     rebuilt = marts.loan_portfolio(stg.join(affected, "loan_id", "left_semi"), **fact_kwargs)
-    return target.join(affected, "loan_id", "left_anti").unionByName(rebuilt.select(*target.columns))
+    kept, rebuilt = synced(target.join(affected, "loan_id", "left_anti"), rebuilt)
+    return kept.unionByName(rebuilt)
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -93,7 +95,8 @@ def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 def sync_columns(target: DataFrame, source: DataFrame) -> DataFrame:
     """Schema sync (H3): target reshaped to the source's columns - new
-    columns arrive as NULL, columns the source dropped are removed."""
+    columns arrive as NULL, columns the source dropped are removed, types stay
+    the source's."""
     return target.unionByName(source.limit(0), allowMissingColumns=True).select(*source.columns)
 
 
@@ -115,7 +118,8 @@ def changed_partitions(stg: DataFrame, target: DataFrame, since, **fact_kwargs):
     event has no date, which sorts first; every other row of the touched
     dates is carried over from the target (partition-pruned read). Returns
     (rows for the touched dates, list of touched dates); the caller
-    overwrites exactly those partitions (None: the rows without a date).
+    overwrites exactly those partitions (None: the rows without a date). The
+    rows have the table's schema after a sync with the rebuilt ones (H3).
     With in-order feeds that is the current day, not the table.
     """
     fresh = stg.filter(F.col("loaded_at") > ts_ntz_lit(since)) if since is not None else \
@@ -123,10 +127,11 @@ def changed_partitions(stg: DataFrame, target: DataFrame, since, **fact_kwargs):
     ensure_checkpoint_dir(stg.sparkSession)
     affected = first_changes(fresh).checkpoint()
     history = stg.join(affected.select("loan_id"), "loan_id", "left_semi")
-    rebuilt = marts.loan_portfolio(history, **fact_kwargs).join(affected, "loan_id").filter(is_rebuilt()) \
-        .drop("_d0", "_all").checkpoint()
+    fact = marts.loan_portfolio(history, **fact_kwargs)
+    rebuilt = fact.join(affected, "loan_id").filter(is_rebuilt()).select(*fact.columns).checkpoint()
     dates = event_dates(rebuilt)
     if not dates:
         return None, []
     kept = target.filter(in_dates(dates)).join(affected, "loan_id", "left").filter(~is_rebuilt()).drop("_d0", "_all")
-    return kept.unionByName(rebuilt.select(*kept.columns)), dates
+    kept, rebuilt = synced(kept, rebuilt)
+    return kept.unionByName(rebuilt), dates

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from loanlake.operators import incremental, marts
 from loanlake.operators.windows import DEFAULT_MAX_ROWS_PER_KEY, Rows, RunningSum, Spec, windowed
+from loanlake.plans.schema_record import synced
 from loanlake.session import ensure_checkpoint_dir
 
 TAIL_ROWS = 365
@@ -192,4 +193,5 @@ def refresh_with_state(stg: DataFrame, target: DataFrame, state: DataFrame, sinc
     kept = (target.filter(incremental.in_dates(dates)).join(late, "loan_id", "left")
             .filter(~incremental.is_rebuilt()).drop("_d0", "_all")
             .join(rebuilt.select("event_id"), "event_id", "left_anti"))
-    return kept.unionByName(rebuilt.select(*kept.columns)), dates, new_state
+    kept, rebuilt = synced(kept, rebuilt)
+    return kept.unionByName(rebuilt), dates, new_state

@@ -36,6 +36,7 @@ FACT_COLUMNS = [
     "cumulative_payments", "on_time_payments_12m", "composite_risk_score", "is_valid", "is_complete_record",
     "loaded_at", "dbt_updated_at",
 ]
+NOT_IN_FACT = ("event_type",)
 
 
 def delinquency_spec(key="loan_id", order=None, dpd="days_past_due") -> Spec:
@@ -73,7 +74,8 @@ def loan_portfolio(stg: DataFrame, run_ts: dt.datetime = DEFAULT_RUN_TS,
 def fact_select(w: DataFrame, stg_columns: list[str], run_ts: dt.datetime = DEFAULT_RUN_TS) -> DataFrame:
     """Fact columns from staging rows carrying the window outputs
     (max_dpd_30d, max_dpd_90d, _dpd_prev, delinquency_count_12m,
-    cumulative_payments, on_time_payments_12m, _is_payment); C2 last."""
+    cumulative_payments, on_time_payments_12m, _is_payment); C2 last.
+    Staging columns beyond the contract follow it."""
     on_pay = F.col("_is_payment")
     flags = C.payment_flags()
     out = w.select(
@@ -88,7 +90,8 @@ def fact_select(w: DataFrame, stg_columns: list[str], run_ts: dt.datetime = DEFA
         C.composite_risk_score().alias("composite_risk_score"),
         C.ts_ntz_lit(run_ts).alias("dbt_updated_at"),
     ).filter(F.col("is_complete_record"))
-    return out.select(*FACT_COLUMNS)
+    more = [c for c in stg_columns if c not in FACT_COLUMNS and c not in NOT_IN_FACT and not c.startswith("_")]
+    return out.select(*FACT_COLUMNS, *more)
 
 
 def loan_portfolio_daily(stg: DataFrame, run_ts: dt.datetime = DEFAULT_RUN_TS,

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanlake import schema as S
 
@@ -72,6 +73,26 @@ def merge_insert(batch: DataFrame, target: DataFrame, key: str = "event_id",
     return new_rows(src, target, key), audit
 
 
+def _record_raw(spark, path: str, batch: DataFrame) -> None:
+    """Widen the raw table's schema record by the batch's extra fields, before
+    their first file is written. The raw table only grows: no column is dropped."""
+    from loanlake.plans.schema_record import Record, plain, plan_sync, read_record, write_record
+    from loanlake.plans.tables import read_marker
+    names = [f.name for f in S.RAW_SCHEMA.fields]
+    recorded = read_marker(spark, path.rstrip("/") + "_schema.json") is not None
+    old = read_record(spark, path) if recorded else Record(plain(S.RAW_SCHEMA))
+    extra = [f for f in batch.schema.fields if f.name not in names]
+    if not recorded and not extra:
+        return
+    both = T.StructType(old.schema.fields + [f for f in extra if f.name not in old.schema.names])
+    mine = {f.name: f for f in extra}
+    sync = plan_sync(old, T.StructType([mine.get(f.name, f) for f in both.fields]))
+    if sync.rewrite:
+        raise ValueError(f"the raw table holds another type of {list(sync.retyped)}")
+    if sync.changed:
+        write_record(spark, path, sync.record)
+
+
 def load_batch(spark, batch: DataFrame, target_path: str, batch_id: str,
                by_event_date: bool = False) -> dict:
     """Append the new rows of ``batch`` to the raw table at ``target_path``
@@ -93,6 +114,8 @@ def load_batch(spark, batch: DataFrame, target_path: str, batch_id: str,
     try:
         key_bytes = src.agg(F.sum(F.octet_length("event_id") + 16)).first()[0] or 0
         cols = [f.name for f in S.RAW_SCHEMA.fields]
+        cols += [c for c in batch.columns if c not in cols]
+        _record_raw(spark, target_path, batch)
         if by_event_date:
             src_d = src.withColumn("event_date", F.col("event_timestamp").cast("date"))
             # Distinct dates of one batch: bounded by the calendar.

@@ -19,10 +19,11 @@ from loanlake.functions import columns as C
 DEFAULT_AS_OF = dt.datetime(2024, 1, 31, 0, 0, 0)
 
 
-def stage_loans(raw: DataFrame, as_of: dt.datetime = DEFAULT_AS_OF) -> DataFrame:
+def stage_loans(raw: DataFrame, as_of: dt.datetime = DEFAULT_AS_OF, extra: tuple[str, ...] = ()) -> DataFrame:
     """Raw loan events -> staging rows. Every expression reads the *raw*
     column, even where the output reuses the name (rounded vs unrounded
-    flags, raw vs coalesced days past due)."""
+    flags, raw vs coalesced days past due). ``extra`` names raw columns
+    beyond the record that pass through (D13)."""
     as_of_date = F.lit(as_of.date())
     dpd = F.col("days_past_due")
     ltv, dti = F.col("ltv_ratio"), F.col("dti_ratio")
@@ -60,5 +61,5 @@ def stage_loans(raw: DataFrame, as_of: dt.datetime = DEFAULT_AS_OF) -> DataFrame
         "event_timestamp",
         F.col("event_timestamp").cast("date").alias("event_date"),
         F.date_trunc("month", "event_timestamp").cast("timestamp_ntz").alias("event_month"),
-        "loaded_at",
+        "loaded_at", *extra,
     )

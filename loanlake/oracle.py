@@ -484,6 +484,8 @@ from stg"""
 ORACLE["dimension_merge"] = ORACLE["dim_loan_attributes"]
 
 ORACLE["incremental_state_refresh"] = FACT
+ORACLE["schema_sync_refresh"] = ORACLE["schema_sync_state_refresh"] = FACT.replace(
+    "as dbt_updated_at", f"as dbt_updated_at, case when loaded_at >= {CUT} then lower(event_type) end as channel")
 
 # Message encoding (A1, B5): key = tenant, value = the 21 event fields as a
 # compact JSON object, nulls written, timestamp as ISO text with microseconds.

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from loanlake.functions import columns as C
 from loanlake.operators import history, incremental, loan_state, marts, merge, quality, staging, stats, windows
-from loanlake.plans import views
+from loanlake.plans import schema_record, views
 from loanlake.session import ensure_checkpoint_dir
 from loanlake.sources import fixtures, landing
 
@@ -315,6 +315,42 @@ def q_incremental_fact_refresh(spark, sf_dir):
     return incremental.refresh_fact(s, target, since=cut_mark)
 
 
+def _with_channel(df):
+    """Staging with a field that only events loaded from the cut on carry."""
+    return df.withColumn("channel", F.when(F.col("loaded_at") >= C.ts_ntz_lit(CUT), F.lower("event_type")))
+
+
+def _older_fact(before):
+    """The fact as an earlier release wrote it: without the field, with a
+    narrower score and with a column that is gone since."""
+    ensure_checkpoint_dir(before.sparkSession)
+    fact = marts.loan_portfolio(before).drop("channel").withColumn("credit_score", F.col("credit_score").cast("smallint"))
+    return fact.withColumn("legacy_flag", F.lit(True)).checkpoint()
+
+
+def _swapped(target, rows, dates):
+    rest = target.filter(~F.coalesce(incremental.in_dates(dates), F.lit(False)))
+    return schema_record.reshape(rest, rows.schema).unionByName(rows)
+
+
+@register("schema_sync_refresh")    # H3: added, dropped and widened column in a partition refresh == full build
+def q_schema_sync_refresh(spark, sf_dir):
+    s = _with_channel(stg(spark, sf_dir))
+    target = _older_fact(_before_cut(s))
+    since = _before_cut(s).agg(F.max("loaded_at")).first()[0]
+    rows, dates = incremental.changed_partitions(s, target, since)
+    return _swapped(target, rows, dates)
+
+
+@register("schema_sync_state_refresh")  # H3 in a refresh from per-loan state
+def q_schema_sync_state_refresh(spark, sf_dir):
+    s = _with_channel(stg(spark, sf_dir))
+    target, state = _older_fact(_before_cut(s)), loan_state.initial_state(_before_cut(s)).checkpoint()
+    since = _before_cut(s).agg(F.max("loaded_at")).first()[0]
+    rows, dates, _ = loan_state.refresh_with_state(s, target, state, since)
+    return _swapped(target, rows, dates)
+
+
 LATEST_COLS = ["loan_id", "event_timestamp", "event_id", "current_balance", "days_past_due", "delinquency_bucket"]
 
 

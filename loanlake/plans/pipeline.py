@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from loanlake import schema as S
 from loanlake.functions.columns import ts_ntz_lit
 from loanlake.operators import incremental, loan_state, marts, merge, quality, staging
+from loanlake.plans import schema_record
 from loanlake.plans.tables import (VersionedTable, clustered, finish_swap, overwrite_partitions, read_marker,
                                    read_raw, write_marker)
 from loanlake.session import ensure_checkpoint_dir
@@ -44,6 +45,9 @@ class PipelineConfig:
     raw_by_event_date: bool = False      # raw partitioned by event_date; key checks read the batch's dates
     state_root: str | None = None        # per-loan window state: refresh reads state + new rows only
     max_reject_share: float = 0.05
+    max_files: int = 10_000              # landing files of one run; later ones wait for the next
+    # Event fields beyond the record, (name, DDL type); the fact follows when they come and go (H3).
+    extra_fields: tuple[tuple[str, str], ...] = ()
     # Range rules that stop the run; the others are logged as warnings.
     critical_rules: tuple[str, ...] = ()
     fact_kwargs: dict = field(default_factory=dict)
@@ -100,13 +104,14 @@ def load_stamp(spark: SparkSession, fact_path: str, now: dt.datetime) -> dt.date
 
 
 def refresh_step(spark: SparkSession, raw_path: str, fact_path: str, as_of: dt.datetime, batch_id: str,
-                 state_root: str | None = None, **fact_kwargs) -> list | None:
+                 state_root: str | None = None, extra: tuple[str, ...] = (), **fact_kwargs) -> list | None:
     """Stage the raw table and bring the fact up to date (first run: full
-    build; later: only the touched event_date partitions), run the
-    post-build tests on what was written, then move the watermark. Returns
-    the rewritten dates (None after a full build)."""
+    build; later: only the touched event_date partitions, all of them if a
+    schema change needs it), run the post-build tests on what was written,
+    then move the watermark. ``extra`` names raw fields beyond the record that
+    the fact carries. Returns the rewritten dates (None after a full build)."""
     raw = read_raw(spark, raw_path)
-    stg = staging.stage_loans(raw, as_of=as_of)
+    stg = staging.stage_loans(raw, as_of=as_of, extra=tuple(c for c in extra if c in raw.columns))
     sort_cols = ["tenant_id", "loan_id"]
     watermark_path = fact_path.rstrip("/") + "_watermark.json"
     built_path = fact_path.rstrip("/") + "_built.json"
@@ -119,6 +124,7 @@ def refresh_step(spark: SparkSession, raw_path: str, fact_path: str, as_of: dt.d
         # H1: first run, full build; a folder left by a build that died has no marker and is replaced.
         fact = incremental.refresh_fact(stg, None, **fact_kwargs)
         clustered(fact, "event_date", sort_cols).write.mode("overwrite").partitionBy("event_date").parquet(fact_path)
+        schema_record.write_record(spark, fact_path, schema_record.Record(schema_record.plain(fact.schema)))
         write_marker(spark, built_path, {"batch_id": batch_id})
         dates = None
         if state_tbl is not None:
@@ -127,19 +133,20 @@ def refresh_step(spark: SparkSession, raw_path: str, fact_path: str, as_of: dt.d
         # Bounded refresh: state + new rows for in-order loans, full history
         # only for loans with late events.
         since = dt.datetime.fromisoformat(state_tbl.pointer()["loaded_at"])
-        rows, dates, new_state = loan_state.refresh_with_state(stg, spark.read.parquet(fact_path),
-                                                               state_tbl.read(), since)
+        target = schema_record.read_table(spark, fact_path)
+        rows, dates, new_state = loan_state.refresh_with_state(stg, target, state_tbl.read(), since)
         if rows is not None:
-            overwrite_partitions(spark, rows, fact_path, "event_date", sort_cols, staging_dir)
+            swap_in(spark, rows, dates, target, fact_path, sort_cols, staging_dir)
     else:
         # The watermark moves only after a refresh fully succeeded, so a run
         # that died earlier is redone (idempotently) by the next one.
         mark = read_marker(spark, watermark_path)
         since = dt.datetime.fromisoformat(mark["loaded_at"]) if mark else None
-        rows, dates = incremental.changed_partitions(stg, spark.read.parquet(fact_path), since, **fact_kwargs)
+        target = schema_record.read_table(spark, fact_path)
+        rows, dates = incremental.changed_partitions(stg, target, since, **fact_kwargs)
         if rows is not None:
-            overwrite_partitions(spark, rows, fact_path, "event_date", sort_cols, staging_dir)
-    fact_now = spark.read.parquet(fact_path)
+            swap_in(spark, rows, dates, target, fact_path, sort_cols, staging_dir)
+    fact_now = schema_record.read_table(spark, fact_path)
     if dates:
         fact_now = fact_now.filter(incremental.in_dates(dates))                 # test what was rewritten
     result = fact_tests(fact_now)
@@ -153,6 +160,15 @@ def refresh_step(spark: SparkSession, raw_path: str, fact_path: str, as_of: dt.d
     return dates
 
 
+def swap_in(spark: SparkSession, rows, dates: list, target, fact_path: str, sort_cols: list[str], staging_dir: str) -> None:
+    """Replace the touched partitions and publish the schema that they bring (H3)."""
+    sync = schema_record.plan_sync(schema_record.read_record(spark, fact_path), rows.schema)
+    if sync.rewrite:                     # the files can't express the change: every partition, once
+        rest = target.filter(~F.coalesce(incremental.in_dates(dates), F.lit(False)))
+        rows = schema_record.reshape(rest, sync.record.schema).unionByName(schema_record.reshape(rows, sync.record.schema))
+    overwrite_partitions(spark, rows, fact_path, "event_date", sort_cols, staging_dir, record=sync.record.to_json())
+
+
 def update_dimension(spark: SparkSession, raw_path: str, dim_root: str, as_of: dt.datetime) -> int:
     """Merge the events loaded since the dimension's own watermark into the
     loan dimension and publish it as a new version (the pointer carries the
@@ -179,7 +195,7 @@ def loaded_files_path(raw_path: str) -> str:
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
     now = load_stamp(spark, cfg.fact_path, cfg.as_of or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     batch_id = cfg.batch_id or now.strftime("%Y%m%dT%H%M%S")
-    files = landing.new_files(spark, cfg.landing_dir, loaded_files_path(cfg.raw_path))
+    files = landing.new_files(spark, cfg.landing_dir, loaded_files_path(cfg.raw_path), cfg.max_files)
     if not files and not refresh_pending(spark, cfg):       # C6: nothing new -> skip downstream
         return {"batch_id": batch_id, "status": "skipped", "rows_inserted": 0}
     counts, warnings = load_files(spark, cfg, files, now, batch_id) if files else (
@@ -187,9 +203,10 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
     if not counts["batch_rows"] and not refresh_pending(spark, cfg):
         return {"batch_id": batch_id, "status": "skipped", "rows_inserted": 0}
     dates = refresh_step(spark, cfg.raw_path, cfg.fact_path, now, batch_id, state_root=cfg.state_root,
-                         **cfg.fact_kwargs)
+                         extra=tuple(n for n, _ in cfg.extra_fields), **cfg.fact_kwargs)
     loans = update_dimension(spark, cfg.raw_path, cfg.dim_root, now) if cfg.dim_root else None
-    audit = {**counts, "status": "loaded", "fact_dates_rewritten": len(dates) if dates is not None else -1,
+    record = schema_record.read_record(spark, cfg.fact_path)
+    audit = {**counts, "status": "loaded", "files": len(files), "schema_version": record.version, "fact_dates_rewritten": len(dates) if dates is not None else -1,
              "dimension_loans": loans if loans is not None else -1,
              "run_at": now.isoformat(),
              "warnings": ";".join(f"{w['rule']}={w['violations']}" for w in warnings)}
@@ -205,11 +222,12 @@ def refresh_pending(spark: SparkSession, cfg: PipelineConfig) -> bool:
     return loaded is not None and (covered is None or stamp(covered["loaded_at"]) < stamp(loaded["loaded_at"]))
 
 
-def load_files(spark: SparkSession, cfg: PipelineConfig, files: list[str], now: dt.datetime,
+def load_files(spark: SparkSession, cfg: PipelineConfig, files: list[tuple], now: dt.datetime,
                batch_id: str) -> tuple[dict, list]:
     """Parse, quarantine, check and merge landing files; (counters, warnings)."""
     # One parse pass, persisted, feeds the gate, the rejects and the load.
-    tagged = landing.parse_tagged(landing.landing_documents(spark, files, cfg.layout), layout=cfg.layout).persist()
+    docs = landing.landing_documents(spark, [f[0] for f in files], cfg.layout)
+    tagged = landing.parse_tagged(docs, layout=cfg.layout, extra=cfg.extra_fields).persist()
     events, rejects = landing.split_tagged(tagged)
     try:
         rejects.write.mode("overwrite").json(f"{cfg.rejects_path}/batch={batch_id}")

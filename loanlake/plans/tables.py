@@ -32,11 +32,13 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """The raw table in either layout (flat, or partitioned by event_date),
-    as the raw schema's columns; empty on first run."""
+    as the raw schema's columns and the extra fields its record names; empty on first run."""
     from loanlake import schema as S
+    mark = read_marker(spark, path.rstrip("/") + "_schema.json")
+    schema = T.StructType.fromJson(mark["schema"]) if mark else S.RAW_SCHEMA
     if not exists(spark, path):
-        return spark.createDataFrame([], S.RAW_SCHEMA)
-    return spark.read.parquet(path).select(*[f.name for f in S.RAW_SCHEMA.fields])
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*[f.name for f in schema.fields])
 
 
 def _read_text(spark, path: str) -> str | None:
@@ -131,8 +133,9 @@ class VersionedTable:
 
 
 def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str, partition_col: str,
-                         sort_cols: list[str], staging_dir: str) -> None:
-    """Replace only the ``partition_col`` partitions present in ``df``.
+                         sort_cols: list[str], staging_dir: str, record: dict | None = None) -> None:
+    """Replace only the ``partition_col`` partitions present in ``df``; with
+    ``record`` (a schema record) the table has that schema from the swap on.
 
     ``df`` usually reads the same table, and a path cannot be overwritten
     while it is read, so the new partitions are first written whole to a
@@ -140,7 +143,7 @@ def overwrite_partitions(spark: SparkSession, df: DataFrame, path: str, partitio
     table names that folder until the swap is over: after a crash at any
     point ``finish_swap`` brings the table to the staged state."""
     clustered(df, partition_col, sort_cols).write.mode("overwrite").partitionBy(partition_col).parquet(staging_dir)
-    write_marker(spark, swap_marker(path), {"staging": staging_dir, "partition": partition_col})
+    write_marker(spark, swap_marker(path), {"staging": staging_dir, "partition": partition_col, "record": record})
     finish_swap(spark, path)
 
 
@@ -154,7 +157,12 @@ def finish_swap(spark: SparkSession, path: str) -> bool:
     mark = read_marker(spark, swap_marker(path))
     if mark is None:
         return False
-    schema = spark.read.parquet(path).schema
+    if mark.get("record"):
+        # Old files read under the new schema, new ones not under the old: the record goes first.
+        write_marker(spark, path.rstrip("/") + "_schema.json", mark["record"])
+        schema = T.StructType.fromJson(mark["record"]["schema"])
+    else:
+        schema = spark.read.parquet(path).schema
     staged = spark.read.schema(schema).parquet(mark["staging"])
     # Staged files are already clustered: each holds one partition value,
     # so the swap is a plain copy without another shuffle.

@@ -81,7 +81,13 @@ RAW_SCHEMA = T.StructType(
 # event_timestamp), for date-pruned key checks.
 RAW_SCHEMA_BY_DATE = T.StructType(RAW_SCHEMA.fields + [T.StructField("event_date", T.DateType(), True)])
 
-# Landing JSON is parsed with every field as STRING so one bad field cannot
-# poison its siblings; typing happens afterwards with try_cast.
-LANDING_STRING_SCHEMA = T.StructType([T.StructField(n, STRING, True) for n in EVENT_COLUMNS])
+
+def extra_fields(extra: tuple[tuple[str, str], ...]) -> list[tuple[str, T.DataType]]:
+    """Event fields beyond the record, given as (name, DDL type)."""
+    out = [(name, T.DataType.fromDDL(typ)) for name, typ in extra]
+    taken = {f.name for f in RAW_SCHEMA.fields} | {"event_date"}
+    clash = [n for n, _ in out if n in taken]
+    if clash:
+        raise ValueError(f"extra fields with names of the record: {clash}")
+    return out
 

@@ -14,6 +14,7 @@ so one bad field rejects only its own row, never its siblings.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,9 +71,9 @@ def extract_events(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
 
 
 def parse_tagged(docs: DataFrame, doc_col: str = "doc", source_col: str = "source",
-                 layout: str = "lines") -> DataFrame:
+                 layout: str = "lines", extra: tuple[tuple[str, str], ...] = ()) -> DataFrame:
     """Parse JSON documents into one frame of (source, record, reason, 21
-    typed event fields); ``reason`` is NULL for a loadable event.
+    typed event fields, the ``extra`` ones); ``reason`` is NULL for a loadable event.
 
     ``layout='lines'``: one event object per document; ``'array'``: one JSON
     array of events per document, taken apart into the text of its elements.
@@ -97,15 +98,16 @@ def parse_tagged(docs: DataFrame, doc_col: str = "doc", source_col: str = "sourc
         whole = whole.select("source", F.inline(F.coalesce(each, F.array(one)))).withColumnRenamed("_e", "_doc")
     rows = whole.select("source", F.col("_doc").alias("_record"), "_bad", F.explode(F.array(
         F.when(F.col("_bad").isNull(), F.try_parse_json("_doc")))).alias("_e"))
+    fields = S.EVENT_FIELDS + S.extra_fields(extra)
     # inline() of a one-row array is a second boundary: each field is read
     # from the VARIANT once, as text, and leaves as a plain attribute, so the
     # casts, checks and filters below stay small for constraint inference.
     v = F.col("_e")
     bad_doc = F.coalesce("_bad", F.when(v.isNull(), F.lit("malformed_json"))).alias("_bad_doc")
     text = rows.select("source", "_record", F.inline(F.array(F.struct(
-        bad_doc, *[_field(v, n).alias(f"_s_{n}") for n in S.EVENT_COLUMNS]))))
+        bad_doc, *[_field(v, n).alias(f"_s_{n}") for n, _ in fields]))))
     typed_cols, bad = [], []
-    for n, typ in S.EVENT_FIELDS:
+    for n, typ in fields:
         raw = F.col(f"_s_{n}")
         if isinstance(typ, T.StringType):
             typed_cols.append(raw.alias(n))
@@ -119,13 +121,13 @@ def parse_tagged(docs: DataFrame, doc_col: str = "doc", source_col: str = "sourc
               .when(F.size(null_arr) > 0, F.concat(F.lit("not_null:"), F.array_join(null_arr, ","))))
     # Third boundary: typed fields and the reason leave as plain attributes.
     typed = text.select("source", "_record", F.inline(F.array(F.struct(*typed_cols, reason.alias("reason")))))
-    return typed.select("source", F.col("_record").alias("record"), "reason", *S.EVENT_COLUMNS)
+    return typed.select("source", F.col("_record").alias("record"), "reason", *[n for n, _ in fields])
 
 
 def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(events, rejects) of a tagged parse; persist ``tagged`` first to split
     one parse pass into both outputs."""
-    events = tagged.filter(F.col("reason").isNull()).select(*S.EVENT_COLUMNS)
+    events = tagged.filter(F.col("reason").isNull()).drop("source", "record", "reason")
     rejects = tagged.filter(F.col("reason").isNotNull()).select("source", "record", "reason")
     return events, rejects
 
@@ -137,40 +139,49 @@ def parse_documents(docs: DataFrame, doc_col: str = "doc", source_col: str = "so
     return split_tagged(parse_tagged(docs, doc_col, source_col, layout))
 
 
-def new_files(spark: SparkSession, path: str, loaded_path: str) -> list[str]:
-    """Landing files (hidden ones apart) that ``loaded_path`` does not list.
-    Names only, as any scan of the folder lists them on the driver."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found, folders = [], [root] if fs.exists(root) else []
-    while folders:
-        for status in fs.listStatus(folders.pop()):
-            name = status.getPath().getName()
-            if name.startswith(("_", ".")):
-                continue
-            if status.isDirectory():
-                folders.append(status.getPath())
-            else:
-                found.append(status.getPath().toString())
-    if not found:
+HISTORY = "file string, length long, modified timestamp, batch_id string"
+_IDENTITY = ["file", "length", "modified"]
+
+
+def landing_files(spark: SparkSession, path: str) -> DataFrame | None:
+    """(file, length, modified) of every landing file (hidden ones apart), listed
+    by Spark's file index without reading contents; None without a folder."""
+    from loanlake.plans.tables import exists
+    if not exists(spark, path):
+        return None
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return found.select(F.col("path").alias("file"), "length", F.col("modificationTime").alias("modified")).coalesce(64)
+
+
+def new_files(spark: SparkSession, path: str, loaded_path: str, limit: int = 10_000) -> list[tuple]:
+    """The oldest ``limit`` landing files that the load history at ``loaded_path``
+    does not hold as they are now (path, length and modification time): a
+    file rewritten under its name is new. Only these reach the driver."""
+    from loanlake.plans.tables import exists
+    found = landing_files(spark, path)
+    if found is None:
         return []
-    listed = spark.createDataFrame([(f,) for f in found], "file string")
-    known = jvm.org.apache.hadoop.fs.Path(loaded_path)
-    if known.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(known):
-        listed = listed.join(spark.read.schema("file string, batch_id string").parquet(loaded_path), "file", "left_anti")
-    return sorted(r["file"] for r in listed.collect())
+    if exists(spark, loaded_path):
+        found = found.join(spark.read.schema(HISTORY).parquet(loaded_path), _IDENTITY, "left_anti")
+    return [tuple(r) for r in found.orderBy("modified", "file").limit(limit).collect()]
+
+
+def mark_loaded(spark: SparkSession, files: list[tuple], loaded_path: str, batch_id: str) -> None:
+    """Add files, as they were listed, to the load history. One that was rewritten
+    while it was read has another identity by now and is new to the next run."""
+    rows = [(*f, batch_id) for f in files]
+    spark.createDataFrame(rows, HISTORY).coalesce(1).write.mode("append").parquet(loaded_path)
 
 
-def mark_loaded(spark: SparkSession, files: list[str], loaded_path: str, batch_id: str) -> None:
-    """Add files to the table of loaded ones."""
-    rows = [(f, batch_id) for f in files]
-    spark.createDataFrame(rows, "file string, batch_id string").coalesce(1).write.mode("append").parquet(loaded_path)
+def _literal(path: str) -> str:
+    """A path whose characters no glob takes for its own."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
 def landing_documents(spark: SparkSession, path: str | list[str], layout: str = "lines") -> DataFrame:
     """(doc, source) rows of a landing folder or of given files (gzip and
     other codecs are detected by suffix)."""
+    path = path if isinstance(path, str) else [_literal(p) for p in path]
     if layout == "array":
         docs = spark.read.text(path, wholetext=True)
     else:
@@ -187,23 +198,28 @@ def apply_defaults(events: DataFrame, loaded_at: dt.datetime, batch_id: str) ->
     """Raw-table defaults and audit columns (A8, B3, K12). Like a column
     DEFAULT, days_past_due 0 / is_valid TRUE fill only columns the batch does
     not carry at all; an explicit NULL stays NULL (staging handles it)."""
-    out = events
+    out, names = events, {f.name for f in S.RAW_SCHEMA.fields}
+    more = [c for c in events.columns if c not in names]      # extra fields follow
     for c, v in S.COLUMN_DEFAULTS.items():
         if c not in out.columns:
             out = out.withColumn(c, F.lit(v))
     return (out.withColumn("loaded_at", ts_ntz_lit(loaded_at))
             .withColumn("batch_id", F.lit(batch_id))
-            .select(*[f.name for f in S.RAW_SCHEMA.fields]))
+            .select(*[f.name for f in S.RAW_SCHEMA.fields], *more))
 
 
 # ---------------------------------------------------------------------------
 # Sinks (A2, A3, A7)
 # ---------------------------------------------------------------------------
 
-def write_landing(df: DataFrame, path: str, ds_col: str = "ds") -> None:
-    """Append events as JSON Lines partitioned by landing date (A3)."""
-    (df.withColumn(ds_col, F.coalesce(F.col("event_timestamp").cast("date"), F.current_date()))
-     .select(to_event_json(df).alias("value"), ds_col)
+def write_landing(df: DataFrame, path: str, ds_col: str = "ds", as_of: dt.date | None = None,
+                  columns: list[str] | None = None) -> None:
+    """Append events as JSON Lines partitioned by landing date (A3). Events without
+    a timestamp are filed under ``as_of`` (today if not given; pass it where a write
+    may be repeated)."""
+    undated = F.lit(as_of) if as_of else F.current_date()
+    (df.withColumn(ds_col, F.coalesce(F.col("event_timestamp").cast("date"), undated))
+     .select(to_event_json(df, columns).alias("value"), ds_col)
      .write.mode("append").partitionBy(ds_col).text(path))
 
 

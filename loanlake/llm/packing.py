@@ -2,12 +2,17 @@
 
 A document's ids (and a closing id) are cut into full sequences of ``capacity``
 ids and a rest. Class k takes lengths up to capacity/k that are too long for the
-next class, and a sequence of class k holds exactly k pieces. A rest that would
-leave more than ``slack`` of its 1/k share empty (and more than a few ids) is
-cut: a piece of the exact share of the next class goes first, and the remainder
-is classed again. Only the last sequence of a class can be short. Classes never
-mix, so any worker can cut, class and lay out its pieces alone once it knows how
-many of each class come before.
+next class, and a sequence of class k holds exactly k pieces. A rest of which k
+would leave more than ``slack`` of a sequence empty is cut: a piece of the exact
+share of the next class goes first, and the remainder is classed again. Classes
+never mix, so any worker can cut, class and lay out its pieces alone once it knows
+how many of each class come before.
+
+Only the last sequence of a class can be short. The pieces of these, fewer than k a
+class and so bounded by ``capacity`` alone, are packed together, longest first.
+
+Pieces stand in the order of their ids, or with ``shuffled`` in that of a hash, where
+copies of a document are told apart and don't lie side by side.
 
 A null text is an empty one: its only id is the closing id. Rows sharing an id,
 repeated rows and null ids are packed each for itself. Texts of any length are
@@ -27,11 +32,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import numbered, slices, span_hashes, utf8
+from .common import numbered, slices, span_hashes, stable, utf8
 
-CAPACITY, SLACK, END_ID = 1024, 0.02, 0
-#: The reciprocal classes in use, and ids that a share may lack at any length.
-CLASSES, FEW = (1, 2, 3, 4, 6, 8, 12, 16, 32, 64), 6
+CAPACITY, SLACK, END_ID = 1024, 0.025, 0
 #: Distinct text pieces that a task remembers the ids of.
 REMEMBERED = 400_000
 
@@ -40,19 +43,30 @@ def _lengths(n: int, capacity: int, slack: float) -> list[tuple[int, int]]:
     """(length, class) of the pieces of a document of ``n`` ids."""
     out = [(capacity, 1)] * (n // capacity)
     rest = n % capacity
-    classes = [k for k in CLASSES if k <= capacity]
     while rest:
-        k = max(k for k in classes if capacity // k >= rest)
-        share = capacity // k
-        if share - rest <= max(slack * share, FEW) or k == classes[-1]:
+        k = capacity // rest
+        if capacity - k * rest <= slack * capacity or rest == 1:
             out.append((rest, k))
             break
-        k = min(k for k in classes if capacity // k < rest)
+        k = capacity // (capacity // (k + 1))  # the next smaller share, as often as it fits
         out.append((capacity // k, k))
         rest -= capacity // k
     return out
 
 
+def tail_bins(lengths: list[int], capacity: int) -> list[tuple[int, int]]:
+    """(bin, offset) of each piece, longest first into the first bin with room."""
+    room: list[int] = []
+    out: list[tuple[int, int]] = [(0, 0)] * len(lengths)
+    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+        at = next((b for b, free in enumerate(room) if free >= lengths[i]), len(room))
+        if at == len(room):
+            room.append(capacity)
+        out[i] = (at, capacity - room[at])
+        room[at] -= lengths[i]
+    return out
+
+
 def white(part: np.ndarray) -> np.ndarray:
     """Which bytes belong to a white-space character."""
     p = np.concatenate([part, np.zeros(2, np.uint8)])
@@ -71,15 +85,17 @@ def white(part: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """ids of whole texts. A text is cut before each lone space between two other
-    characters, where the tokenizer starts a new word in any case; the ids of
-    distinct cuttings are remembered."""
+    """ids of whole texts, added tokens in a text included. A text is cut before each lone
+    space between two other characters, where the tokenizer starts a new word in any
+    case; the ids of distinct cuttings are remembered. An added token that holds a space
+    or takes in spaces beside it would reach over a cut: then texts stay whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.cuts = not any(t.lstrip or t.rstrip or " " in t.content for t in added)
         self._forget()
 
     def _forget(self) -> None:
@@ -108,7 +124,8 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
         space = white(part)
         cut = np.zeros(len(part), bool)
-        cut[1:-1] = (part[1:-1] == 32) & ~space[:-2] & ~space[2:]
+        if self.cuts:
+            cut[1:-1] = (part[1:-1] == 32) & ~space[:-2] & ~space[2:]
         cut[offsets[:-1][offsets[:-1] < len(part)]] = True
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(part))
@@ -166,12 +183,30 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, slack: float = SLACK,
-                   id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, shuffled: bool = False) -> DataFrame:
     """Each piece with its sequence and its offset there."""
     pieces = cut_documents(docs, tokenizer_path, capacity, slack, id_col, text_col, with_ids)
-    placed = numbered(pieces, ["class"], ["doc_id", "start", "ids_crc32"])
-    seat = placed.withColumn("sequence_id", F.floor(F.col("idx") / F.col("class")) * (capacity + 1) + F.col("class"))
-    order = Window.partitionBy("sequence_id").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
-    out = seat.withColumn("offset", F.coalesce(F.sum("length").over(order), F.lit(0)))
-    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", F.col("sequence_id").cast("long"),
-                      F.col("offset").cast("long"), *(["ids"] if with_ids else []))
+    kept = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else [])]
+    order = ["doc_id", "start", "ids_crc32"]
+    if shuffled:
+        told = numbered(pieces, order, ["doc_tokens"], index="copy")
+        pieces = told.withColumn("mixed", F.xxhash64(F.lit(29), *order, "copy"))
+        order = ["mixed", *order]
+    placed = stable(numbered(pieces, ["class"], order))
+    counts = F.broadcast(placed.groupBy("class").agg(F.max("idx").alias("last")))  # one row per class
+    seat = placed.join(counts, "class").withColumn("seat", F.floor(F.col("idx") / F.col("class")))
+    short = (F.col("last") + 1) % F.col("class") != 0
+    seat = seat.withColumn("tail", short & (F.col("seat") == F.floor(F.col("last") / F.col("class"))))
+    before = Window.partitionBy("class", "seat").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
+    full = seat.where(~F.col("tail")).select(*kept, (F.col("seat") * (capacity + 1) + F.col("class")).cast("long").alias("sequence_id"),
+                                             F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"))
+
+    def lay(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("class", "ascending"), ("idx", "ascending")])
+        bins = tail_bins(table.column("length").to_pylist(), capacity)
+        return table.select(kept).append_column("sequence_id", pa.array([b * (capacity + 1) for b, _ in bins], pa.int64())).append_column(
+            "offset", pa.array([o for _, o in bins], pa.int64()))
+
+    # fewer than k pieces of class k
+    tails = seat.where("tail").select(*kept, "class", "idx").groupBy(F.lit(0).alias("all")).applyInArrow(lay, full.schema)
+    return full.unionByName(tails)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +68,17 @@ def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str], amount:
     return out.drop(tie, "_part", "_p", "_i", "_s", "_n0", "_s0", *[f"_g_{g}" for g in group])
 
 
+def shielded(docs: DataFrame, own: Sequence[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work(docs)``, while all columns but ``own`` travel under names that no operator
+    uses; what it returns gets them back, columns of its own with such a name give way."""
+    others = [c for c in docs.columns if c not in own]
+    neutral = {c: f"carried_{i}__" for i, c in enumerate(others)}
+    out = work(docs.select(*[F.col(f"`{c}`").alias(neutral.get(c, c)) for c in docs.columns]))
+    back = {n: c for c, n in neutral.items() if n in out.columns}
+    taken = {c.lower() for c in back.values()}
+    return out.select(*[F.col(f"`{c}`").alias(back.get(c, c)) for c in out.columns if c in back or c.lower() not in taken])
+
+
 def crc_mod(key: str, n: int) -> Column:
     """crc32 of the decimal text of ``key``, modulo ``n`` (a null key counts as '')."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % n

@@ -19,8 +19,8 @@ copy of a document stands in the shard of its first block in that round, in the
 order of a hash there, so a shard's words there follow the quotas only in the mean.
 
 Only per-source totals (one row per source label) reach the driver. Documents
-alike in id, source and text share one place and split its words evenly (by
-less than a word per copy too few). A null or wordless text has size 0 and is
+alike in id, source and text share one place; its drawn words are split over
+them by number, to the word. A null or wordless text has size 0 and is
 taken 0 words; a null source is a source, the last one. An empty table, or one
 without words, gives targets of 0.
 """
@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, numbered, stable
+from .common import WORD, numbered, shielded, stable
 
 WEIGHTS, MAX_REPEAT, BLOCK_WORDS, MAX_BLOCKS = (5.0, 2.0, 1.0), 3, 64, 500_000_000
 #: Blocks that one array holds while a document's blocks are listed.
@@ -161,9 +161,10 @@ def plan_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: in
              source_col: str = "source", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(rows, plan). ``rows``: doc_id, source, h1, h2, size of each document.
     ``plan``: for each distinct one of these, target, source_size, rounds, partial
-    (words of each copy in the last, partial round), taken, shard (of its first block;
-    null if nothing is taken), dealt (shard:words, all copies, of its drawn blocks), and
-    shard and shuffle_key of each round (turns)."""
+    (words of each copy in the last, partial round) and more (how many of the copies
+    take one word beyond them), shard (of its first block; null if nothing is taken), dealt
+    (shard:words, all copies, of its drawn blocks), and shard and shuffle_key of each
+    round (turns)."""
     rows, laid, block = _laid(docs, weights, max_repeat, block_words, shards, seed, id_col, source_col, text_col)
     one = [*_KEY, "size", "copies", "place", "words", "source_size", "target", "rounds", "n_blocks", "mult", "quota", "cuts", "first"]
     parts = _blocks(laid, block).groupBy(*one, "block_shard").agg(F.sum("block_words").alias("_drawn"))
@@ -171,29 +172,31 @@ def plan_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: in
     drawn = parts.groupBy(*one).agg(
         F.coalesce(F.sum("_drawn"), F.lit(0)).alias("drawn"),
         F.array_sort(F.collect_list(F.when(F.col("block_shard").isNotNull(), F.struct("block_shard", told.alias("t"))))).alias("_dealt"))
-    partial = (F.col("drawn") - F.col("rounds") * F.col("words")) / F.col("copies")
+    extra = F.expr("drawn - rounds * words")
     turns = F.transform(F.sequence(F.lit(0), F.col("rounds")), lambda r: F.struct(
         _shard(r * F.col("n_blocks") + F.col("first")).alias("shard"),
         F.xxhash64("place", r * F.col("n_blocks") + F.col("first")).alias("shuffle_key")))
-    plan = drawn.withColumn("partial", F.floor(partial).cast("long")).withColumn("turns", turns).select(
-        *_KEY, "size", "source_size", "target", "rounds", "partial", "turns",
-        (F.col("rounds") * F.col("size") + F.col("partial")).cast("long").alias("taken"),
+    plan = drawn.withColumn("extra", extra).withColumn("turns", turns).select(
+        *_KEY, "size", "source_size", "target", "rounds", F.expr("extra div copies").alias("partial"),
+        F.expr("extra % copies").alias("more"), "turns", F.when(F.col("drawn") > 0, F.col("turns")[0]["shard"]).alias("shard"),
         F.array_join(F.transform("_dealt", lambda d: d["t"]), " ").alias("dealt"))
-    return rows, plan.withColumn("shard", F.when(F.col("taken") > 0, F.col("turns")[0]["shard"]))
-
-
-def _same(a: DataFrame, b: DataFrame) -> Column:
-    cond = (a["h1"] == b["h1"]) & (a["h2"] == b["h2"])
-    return cond & a["doc_id"].eqNullSafe(b["doc_id"]) & a["source"].eqNullSafe(b["source"])
+    return rows, plan
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
     """One row per document: its size, its source's size and target, the words taken
     from it, and the shards that its drawn blocks are dealt to."""
     rows, plan = plan_mix(docs, **options)
-    plan = stable(plan)
-    return rows.join(plan, _same(rows, plan)).select(
-        rows["doc_id"], rows["size"], "source_size", "target", "taken", "rounds", "partial", "shard", "dealt")
+    plan = stable(plan.drop("size")).select(*[F.col(c).alias(f"_{c}") for c in _KEY], "source_size", "target", "rounds",
+                                            "partial", "more", "shard", "dealt")
+    rows = stable(numbered(rows, _KEY, [], index="copy"))
+    cond = (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))
+    cond = cond & F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source"))
+    partial = F.col("partial") + (F.col("copy") < F.col("more")).cast("long")
+    taken = (F.col("rounds") * F.col("size") + partial).cast("long")
+    return rows.join(plan, cond).select(
+        "doc_id", "size", "source_size", "target", taken.alias("taken"), "rounds", partial.alias("partial"),
+        F.when(taken > 0, F.col("shard")).alias("shard"), "dealt")
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
@@ -202,16 +205,31 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "so
     taken whole, and its leading words (white space between them kept) for a partial
     one, shard by shard and shuffled there. Documents without words are not in a mix of
     words and go."""
+    own = [id_col, source_col, text_col, *([chars_col] if chars_col else [])]
+    return shielded(docs, own, lambda d: _mixed(d, id_col, source_col, text_col, chars_col, options)).select(
+        *[f"`{c}`" for c in docs.columns])
+
+
+def _mixed(docs: DataFrame, id_col: str, source_col: str, text_col: str, chars_col: str | None, options: dict) -> DataFrame:
     _, plan = plan_mix(docs, id_col=id_col, source_col=source_col, text_col=text_col, **options)
-    plan = stable(plan.where("taken > 0").select(
-        *[F.col(c).alias(f"_{c}") for c in [*_KEY, "size", "rounds", "partial", "turns"]]))
+    plan = stable(plan.where("size > 0 and (rounds > 0 or partial > 0 or more > 0)").select(
+        *[F.col(c).alias(f"_{c}") for c in [*_KEY, "size", "rounds", "partial", "more", "turns"]]))
     text = F.col(text_col)
     keyed = docs.withColumn("_t1", F.xxhash64(F.coalesce(text, F.lit("")))).withColumn(
         "_t2", F.xxhash64(F.lit(11), F.coalesce(text, F.lit(""))))
     cond = (F.col("_t1") == F.col("_h1")) & (F.col("_t2") == F.col("_h2"))
     cond = cond & F.col(id_col).eqNullSafe(F.col("_doc_id")) & F.col(source_col).eqNullSafe(F.col("_source"))
+    uneven = plan.where("_more > 0")
+    if uneven.isEmpty():
+        keyed = keyed.withColumn("_copy", F.lit(0).cast("long"))
+    else:  # only copies that differ are numbered
+        plain = keyed.join(uneven, cond, "left_anti").withColumn("_copy", F.lit(0).cast("long"))
+        copies = numbered(keyed.join(uneven, cond, "left_semi"), [id_col, source_col, "_t1", "_t2"], [], index="_copy")
+        keyed = plain.unionByName(copies)
+    plan = plan.withColumnRenamed("_partial", "_least")
+    keyed_plan = keyed.join(plan, cond).withColumn("_partial", F.col("_least") + (F.col("_copy") < F.col("_more")).cast("long"))
     count = F.col("_rounds") + (F.col("_partial") > 0).cast("int")
-    each = keyed.join(plan, cond).select("*", F.posexplode(F.slice("_turns", 1, count)).alias("_round", "_turn"))
+    each = keyed_plan.where(count > 0).select("*", F.posexplode(F.slice("_turns", 1, count)).alias("_round", "_turn"))
     each = each.withColumn("_cut", (F.col("_round") == F.col("_rounds")) & (F.col("_partial") < F.col("_size")))
     lead = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), 1,
                                 F.col("_partial").cast("int")), "")

@@ -36,14 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_BYTES, WORD, ranges, slices, spaced, span_hashes, stable, utf8, word_spans
+from .common import SPACE_BYTES, WORD, bucketed, ranges, slices, spaced, span_hashes, stable, utf8, word_spans
 from .exchange import BLOCK_BYTES, block_ids, block_texts, shared_prints, text_blocks
 from .suffix_dedup import _leveled, _named, _runs_of, _strings
 
 #: Words of a window, and of the strings that name it in turn.
 NEED, GRAMS = 35, (8, 20, 35)
-#: Anchors of a counting bucket, passage words of a shard.
-BUCKET_ANCHORS, SHARD_WORDS = 200_000, 100_000
+#: Anchors of a counting bucket, passage words of a shard, text bytes of a bucket of blocks.
+BUCKET_ANCHORS, SHARD_WORDS, BUCKET_BYTES = 200_000, 100_000, 64 << 20
 #: Words of a reference table whose automata may be broadcast.
 MAX_REFERENCE_WORDS = 2_000_000
 
@@ -132,9 +132,12 @@ def _one_space(text: np.ndarray) -> np.ndarray:
 def sent_passages(docs: DataFrame, need: int, grams: tuple[int, ...], id_col: str, text_col: str, block_bytes: int, shard_words: int):
     """(blocks with what they heard of their anchors, the passages they send to the
     shards, and the rules by which a block finds its passages again)."""
-    blocks = text_blocks(docs, id_col, text_col, block_bytes)
-    words = int(blocks.agg(F.sum("size")).first()[0] or 0) // 5
-    grams = list(grams)
+    spark = docs.sparkSession
+    size = int(docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
+    # the texts are shuffled once, into a table that all later joins by block read in place
+    blocks = bucketed(text_blocks(docs, id_col, text_col, block_bytes, fixed=False), "block", buckets)
+    words, grams = size // 5, list(grams)
     hot = shard_words // (need + (need - grams[0]) // 2)
     anchors, told, sent_words = [max(64, 2 * words // (need - grams[0] + 1) // BUCKET_ANCHORS)], None, 0
     for level, length in enumerate(grams):
@@ -162,7 +165,7 @@ def sent_passages(docs: DataFrame, need: int, grams: tuple[int, ...], id_col: st
     shards = max(64, sent_words // shard_words)
     rules = (anchors, shards, need, grams)
     nothing = F.array_repeat(F.lit(None).cast(heard.schema["heard"].dataType), len(anchors))
-    asked = stable(blocks.join(told.drop("n_hot"), "block", "left").withColumn("heard", F.coalesce("heard", nothing)))
+    asked = blocks.join(stable(told.drop("n_hot")), "block", "left").withColumn("heard", F.coalesce("heard", nothing))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -26,8 +26,9 @@ HOT = 255
 BLOCK_BYTES = 2 << 20
 
 
-def text_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Blocks with the documents' ids, text lengths in bytes (-1: no text) and deflated texts."""
+def text_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES, fixed: bool = True) -> DataFrame:
+    """Blocks with the documents' ids, text lengths in bytes (-1: no text) and deflated texts;
+    not ``fixed`` is for callers that write them as a table at once."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offsets = utf8(batch.column(1))
@@ -43,7 +44,8 @@ def text_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int =
 
     schema = "ids binary, nulls binary, lens binary, texts binary, size long"
     cast = docs.select(F.col(id_col).cast("long"), F.col(text_col))
-    return stable(cast.mapInArrow(cut, schema).withColumn("block", F.monotonically_increasing_id()))
+    blocks = cast.mapInArrow(cut, schema).withColumn("block", F.monotonically_increasing_id())
+    return stable(blocks) if fixed else blocks
 
 
 def block_ids(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:

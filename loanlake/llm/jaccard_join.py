@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, mix64, ranges, span_hashes, spaced, stable, word_spans, written
+from .common import WORD, mix64, numbered, ranges, shielded, span_hashes, spaced, stable, word_spans, written
 from .components import components
 from .exchange import BLOCK_BYTES, block_ids, block_texts, frequency, shared_prints, text_blocks
 
@@ -353,15 +353,37 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def _with_nodes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with a ``node``: its id, but where an id is reused for other texts a number of its own."""
+    hashed = docs.withColumn("h1", F.xxhash64(text_col)).withColumn("h2", F.xxhash64(F.lit(11), text_col))
+    key = [id_col, "h1", "h2"]
+    keys = stable(hashed.select(*key).distinct())
+    reused = stable(keys.groupBy(id_col).count().where("count > 1").select(id_col))
+    if reused.isEmpty():
+        return docs.withColumn("node", F.col(id_col).cast("long"))
+    least, most = keys.agg(F.min(id_col), F.max(id_col)).first()
+    odd = numbered(keys.join(reused, id_col, "left_semi"), [], key)
+    number = F.lit(most + 1) + F.col("idx") if most < 1 << 62 else F.lit(least - 1) - F.col("idx")
+    odd = stable(odd.select(*key, number.cast("long").alias("node")))
+    one = hashed.join(reused, id_col, "left_anti").withColumn("node", F.col(id_col).cast("long"))
+    return one.unionByName(hashed.join(odd, key)).drop("h1", "h2")
+
+
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each component: the one of the least id, and of several
-    rows with that id the least row. Rows without words or without an id all stay."""
+    """``docs`` with one row of each component: the one of the least id, and of repeated
+    rows the least row. Texts that reuse an id are documents each for itself. Rows without
+    words or without an id all stay."""
+    return shielded(docs, [id_col, text_col], lambda d: _kept(d, id_col, text_col, options)).select(*[f"`{c}`" for c in docs.columns])
+
+
+def _kept(docs: DataFrame, id_col: str, text_col: str, options: dict) -> DataFrame:
     worded = F.coalesce(F.rlike(F.col(text_col), F.lit(WORD)), F.lit(False)) & F.col(id_col).isNotNull()
-    found = stable(jaccard_components(docs, id_col, text_col, **options).where("n_shingles > 0 and doc_id is not null"))
-    out = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    several = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_gone")).count().where("count > 1").select("_gone")
+    nodes = _with_nodes(docs.where(worded), id_col, text_col)
+    found = stable(jaccard_components(nodes, "node", text_col, **options).where("n_shingles > 0"))
+    out = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    several = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("gone")).count().where("count > 1").select("gone")
     leave = stable(out.unionByName(several))
-    kept = docs.where(worded).join(leave, F.col(id_col) == F.col("_gone"), "left_anti")
-    one = docs.where(worded).join(several, F.col(id_col) == F.col("_gone"), "left_semi").groupBy(
-        F.col(id_col).alias("_id")).agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    kept = nodes.join(leave, F.col("node") == F.col("gone"), "left_anti").drop("node")
+    one = nodes.join(several, F.col("node") == F.col("gone"), "left_semi").groupBy("node").agg(
+        F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return kept.unionByName(docs.where(~worded)).unionByName(one)

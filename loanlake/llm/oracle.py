@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .quality import COMMON_WORDS, MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE, MIN_WORDS
+from .quality import COMMON_WORDS, MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE, MIN_CHARS, MIN_REFERENCE, MIN_WORDS
 
 _WORDS = r"regexp_extract_all({t}, '[^\x20\x09-\x0D]+')"
 
@@ -65,12 +65,13 @@ ref as (
     [{", ".join(f"sum(common[{k + 1}])" for k in range(len(COMMON_WORDS) + 1))}] as ref_common
   from g group by lang),
 s as (
-  select g.*, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+  select g.*, ref_words, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
     case when n_words > 0 then {_distance("classes", "n_all", "ref_classes", "ref_all", len(_CLASSES) + 1)} end as class_distance,
     case when n_words > 0 then {_distance("common", "n_words", "ref_common", "ref_words", len(COMMON_WORDS) + 1)} end as word_distance
   from g join ref on g.lang is not distinct from ref.lang)
 select doc_id, n_words, n_all - n_space as word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not base_failed and (n_words < {MIN_WORDS} or (class_distance <= {MAX_CLASS_DISTANCE} and word_distance <= {MAX_WORD_DISTANCE})) as kept,
+  not base_failed and (n_words < {MIN_WORDS} or n_all - n_space < {MIN_CHARS} or ref_words - n_words < {MIN_REFERENCE}
+    or (class_distance <= {MAX_CLASS_DISTANCE} and word_distance <= {MAX_WORD_DISTANCE})) as kept,
   class_distance, word_distance
 from s
 """

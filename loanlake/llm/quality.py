@@ -5,8 +5,9 @@ a fixed list of common function words (others together). References are the
 summed histograms of all documents with the same ``lang`` (null is a group of
 its own). A text is kept if it passes the base rules and both Jensen-Shannon
 distances (square root of the base-2 divergence, 0 to 1) to its reference stay
-within their limits. Texts under ``min_words`` words have no steady histogram:
-the divergence test is not applied to them (the base rules still are).
+within their limits. Texts under ``min_words`` words or ``min_chars`` characters in
+words have no steady histogram, nor has a reference of under ``min_reference`` words
+beside the text's own: there the divergence test is not applied (the base rules still are).
 
 A null or wordless text has zero counts and fails the base rules, as any text
 under 50 words does. Repeated rows are judged alike; extra columns are left out.
@@ -29,7 +30,11 @@ SYMBOLS = r"[#*$%&|<>]"
 SPACES = " \t\n\x0b\f\r"
 #: Character classes in the order they are counted; what is left is the last class.
 CLASSES = (r"[\p{Ll}]", r"[\x20\x09-\x0D]", r"[\p{Lu}]", r"[0-9]", r"[.,;:!?'\"()\-]", SYMBOLS)
-MIN_WORDS, MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 50, 0.28, 0.45
+MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.45
+#: Length guards: words and characters in words of a text, words of its reference.
+MIN_WORDS, MIN_CHARS, MIN_REFERENCE = 64, 320, 1000
+#: References (one row per language, under 1 kB) that may be broadcast.
+BROADCAST_LANGUAGES = 10_000
 
 
 def _window_hashes(words: Column) -> Column:
@@ -87,15 +92,16 @@ def _distance(counts: Column, total: Column, ref: Column, ref_total: Column) ->
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                  min_words: int = MIN_WORDS, max_class: float = MAX_CLASS_DISTANCE,
-                  max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
+                  min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS, min_reference: int = MIN_REFERENCE,
+                  max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
     """Base counts, distances and verdict of each document."""
     each = stable(features(docs, id_col, text_col, lang_col))
     sizes = {"classes": len(CLASSES) + 1, "common": len(COMMON_WORDS) + 1}
     ref = stable(each.groupBy(F.col("lang").alias("_lang")).agg(
         *[F.array(*[F.sum(F.col(c)[k]) for k in range(n)]).alias(f"ref_{c}") for c, n in sizes.items()],
         F.sum("n_all").alias("ref_all"), F.sum("n_words").alias("ref_words")))
-    out = each.join(ref, F.col("lang").eqNullSafe(F.col("_lang")))
+    few = ref.count() <= BROADCAST_LANGUAGES
+    out = each.join(F.broadcast(ref) if few else ref, F.col("lang").eqNullSafe(F.col("_lang")))
     class_distance = _distance(F.col("classes"), F.col("n_all"), F.col("ref_classes"), F.col("ref_all"))
     word_distance = _distance(F.col("common"), F.col("n_words"), F.col("ref_common"), F.col("ref_words"))
     worded = F.col("n_words") > 0
@@ -103,6 +109,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
            .withColumn("word_distance", F.when(worded, F.round(word_distance, 4)))
            .withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))))
     near = (F.col("class_distance") <= max_class) & (F.col("word_distance") <= max_word)
+    short = (F.col("n_words") < min_words) | (F.col("word_chars") < min_chars) | (F.col("ref_words") - F.col("n_words") < min_reference)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                      (~F.col("base_failed") & ((F.col("n_words") < min_words) | near)).alias("kept"),
+                      (~F.col("base_failed") & (short | near)).alias("kept"),
                       "class_distance", "word_distance")

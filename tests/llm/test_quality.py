@@ -47,14 +47,29 @@ def test_matches_brute_force(odd_docs, odd_rows, clash):
     for doc_id, text, lang, *_ in odd_rows:
         b = base(text)
         failed = b[0] < 50 or 100 * b[4] > 50 * b[0]
+        short = b[0] < 64 or b[1] < 420 or sum(refs[lang][1]) - b[0] < 2500
         near = b[0] > 0 and all(round(distance(h, ref), 4) <= most for h, ref, most in
                                 zip(histograms(text), refs[lang], (MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE)))
-        want.append((doc_id, *b, failed, not failed and near))
-    got = [tuple(r[:8]) for r in quality_rules(clash(odd_docs)).collect()]
+        want.append((doc_id, *b, failed, not failed and (short or near)))
+    got = [tuple(r[:8]) for r in quality_rules(clash(odd_docs), min_chars=420, min_reference=2500).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
     assert sum(r[-1] for r in got) > 20
 
 
+def test_guards_act(spark, odd_docs):
+    """A text far from its language is judged only if it and its reference are long enough."""
+    far = " ".join(f"W{i}%XYZ" for i in range(63))
+    alone = " ".join(f"w{i}" for i in range(400))
+    tiny = " ".join("a%" for _ in range(60)) + " " + " ".join(f"{chr(97 + i % 26)}{i % 10}%" for i in range(40))
+    rows = [(901, far, "en", "a", 1), (902, far + " W99%XYZ W98%XYZ", "en", "a", 1), (903, alone, "xx", "a", 1),
+            (904, tiny, "en", "a", 1)]
+    got = {r["doc_id"]: r for r in quality_rules(odd_docs.unionByName(spark.createDataFrame(rows, odd_docs.schema))).where(
+        "doc_id between 901 and 904").collect()}
+    assert got[901]["kept"] and not got[902]["kept"]            # words of the text
+    assert got[903]["kept"] and got[903]["class_distance"] == 0  # nothing but itself to compare with
+    assert got[904]["base_failed"] or got[904]["kept"]           # characters of the text
+
+
 def test_junk_is_dropped_and_no_python_runs(spark, odd_docs, no_docs):
     junk = spark.createDataFrame([(900, " ".join(["word%%%", "other$$$", "thing&&&"] * 3 + [f"w{i}***" for i in range(60)]),
                                    "en", "a", 1)], odd_docs.schema)

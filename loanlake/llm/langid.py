@@ -26,39 +26,41 @@ from pyspark.sql import functions as F
 from .common import crc_mod, slices, utf8
 
 TOP, PER_LANG, UNKNOWN = 300, 2000, "und"
-#: Texts of a slice; a gram's key holds the text's number in 8 bits, its count in 24 and its code in 32.
+#: Texts of a slice; a gram's key holds the text's number in 8 bits and its code in 56.
 _ROWS, _BYTES = 256, 1 << 20
+_CODE = np.uint64(56)
 
 
 def _letters() -> np.ndarray:
-    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    """The number of each code point among all letters, from 1; 0 for what is none. Unicode
+    has fewer letters than 18 bits hold."""
+    letter = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    return np.where(letter, np.cumsum(letter), 0).astype(np.uint64)
 
 
 def _grams(texts: list[str], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, gram code, count), ordered by the first two. A code is the
-    gram length and three 10-bit characters (code points folded to 10 bits, 0 is a word end)."""
+    """(text number, gram code, count), ordered by the first two. A code is the gram
+    length and three letters of 18 bits by their numbers (0 is a word end), one for each gram."""
     low = [t.lower() for t in texts]
     cp = np.frombuffer("".join(x + "\n" for x in low).encode("utf-32-le", "surrogatepass"), np.uint32)
     lens = np.fromiter((len(x) + 1 for x in low), np.int64, len(low))
     owner = np.repeat(np.arange(len(low), dtype=np.uint64), lens)
-    is_letter = letters[cp]
-    folded = np.where(is_letter, 1 + (cp ^ (cp >> np.uint32(10)) * np.uint32(389)) % np.uint32(1023), 0).astype(np.uint64)
-    keep = is_letter.copy()
-    keep[1:] |= is_letter[:-1]  # the first of several word ends stays
-    c, d = folded[keep], owner[keep]
+    number = letters[cp]
+    keep = number > 0
+    keep[1:] |= number[:-1] > 0  # the first of several word ends stays
+    c, d = number[keep], owner[keep]
     if not len(c):
         return (np.zeros(0, np.int64),) * 3
     before = np.concatenate([[np.uint64(0)], c[:-1]])
     after = np.concatenate([c[1:], [np.uint64(0)]])
-    text = d << np.uint64(32)
-    solid = c > 0
-    one = (text | (np.uint64(1) << np.uint64(30)) | c)[solid]
-    two = (text | (np.uint64(2) << np.uint64(30)) | (before << np.uint64(10)) | c)[solid | (before > 0)]
-    three = (text | (np.uint64(3) << np.uint64(30)) | (before << np.uint64(20)) | (c << np.uint64(10)) | after)[solid]
+    text, solid = d << _CODE, c > 0
+    one = (text | (np.uint64(1) << np.uint64(54)) | c)[solid]
+    two = (text | (np.uint64(2) << np.uint64(54)) | (before << np.uint64(18)) | c)[solid | (before > 0)]
+    three = (text | (np.uint64(3) << np.uint64(54)) | (before << np.uint64(36)) | (c << np.uint64(18)) | after)[solid]
     keys = np.sort(np.concatenate([one, two, three]))
     edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     runs = keys[edge]
-    return ((runs >> np.uint64(32)).astype(np.int64), (runs & np.uint64(0xFFFFFFFF)).astype(np.int64),
+    return ((runs >> _CODE).astype(np.int64), (runs & ((np.uint64(1) << _CODE) - np.uint64(1))).astype(np.int64),
             np.diff(np.append(edge, len(keys))))
 
 
@@ -104,10 +106,9 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], top: int = TOP, te
 
     def verdicts(texts: list[str], letters: np.ndarray) -> tuple[list[str], np.ndarray]:
         owner, code, n = _grams(texts, letters)
-        most = np.uint64((1 << 24) - 1)
-        keys = np.sort((owner.astype(np.uint64) << np.uint64(56))
-                       | ((most - np.minimum(n.astype(np.uint64), most)) << np.uint64(32)) | code.astype(np.uint64))
-        owner, code = (keys >> np.uint64(56)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        # by text, then falling count; grams of one count stay in the order of their codes
+        order = np.argsort((owner.astype(np.uint64) << _CODE) | ((np.uint64(1) << _CODE) - np.uint64(1) - n.astype(np.uint64)), kind="stable")
+        owner, code = owner[order], code[order]
         first = np.searchsorted(owner, np.arange(len(texts)))
         place = np.arange(len(owner)) - first[owner]
         leading = place < top

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -48,21 +49,42 @@ def test_odd_rows(odd_docs, odd_rows, no_docs, clash):
     assert {r["lang_pred"] for r in identify(odd_docs, {}).collect()} == {UNKNOWN}
 
 
-def test_distance_matches_brute_force(spark, odd_docs, odd_rows):
-    profiles = learn_profiles(odd_docs, top=40, per_lang=10 ** 9)
-    letters = _letters()
+def ranked(grams, top):
+    """By falling count; of one count the shorter first, then by code points, a word end before all letters."""
+    order = lambda g: (-grams[g], len(g), [0 if c == " " else ord(c) for c in g])
+    return sorted(grams, key=order)[:top]
+
+
+def test_matches_plain_strings_from_profiles_to_scores(spark, odd_docs, odd_rows):
+    r = random.Random(2)
+    han = [chr(0x4E00 + i) for i in range(1500)]  # more letters than ten bits hold
+    script = lambda lo: "".join(r.choice(han[lo:lo + 900]) + r.choice(["", "", " "]) for _ in range(400))
+    rows = odd_rows + [(900 + i, script(600 * (i % 2)), ["zh", "ja"][i % 2], "a", 1) for i in range(12)]
+    docs = spark.createDataFrame(rows, odd_docs.schema).repartition(3)
+    top, totals = 60, defaultdict(Counter)
+    for _, t, lang, *_ in rows:
+        if t is not None and lang is not None:
+            totals[lang].update(plain_grams(t))
+    profiles = {lang: ranked(grams, top) for lang, grams in totals.items()}
     want = {}
-    for d, t, *_ in odd_rows:
-        _, code, n = _grams([t or ""], letters)
-        ranked = [c for _, c in sorted((-k, c) for c, k in zip(code.tolist(), n.tolist()))][:40]
-        if ranked:
-            dist = {lang: sum(min(abs(i - p.index(c)), 40) if c in p else 40 for i, c in enumerate(ranked)) / len(ranked)
+    for d, t, *_ in rows:
+        mine = ranked(plain_grams(t or ""), top)
+        if mine:
+            dist = {lang: sum(min(abs(i - p.index(c)), top) if c in p else top for i, c in enumerate(mine)) / len(mine)
                     for lang, p in profiles.items()}
             best = min(sorted(dist), key=dist.get)
-            want[d, t] = (best, round(1 - dist[best] / 40, 9))
-    for r in identify(odd_docs, profiles, top=40).collect():
-        if (r["doc_id"], r["text"]) in want:
-            assert (r["lang_pred"], round(r["score"], 9)) == want[r["doc_id"], r["text"]]
+            want[d, t] = (best, round(1 - dist[best] / top, 9))
+    got = identify(docs, learn_profiles(docs, top=top, per_lang=10 ** 9), top=top).collect()
+    assert len(got) == len(rows) and {b for b, _ in want.values()} >= {"zh", "ja", "en", "fr"}
+    for x in got:
+        assert (x["lang_pred"], round(x["score"], 9)) == want.get((x["doc_id"], x["text"]), (UNKNOWN, 0.0))
+
+
+def test_a_code_stands_for_one_gram():
+    texts = ["".join(chr(0x4E00 + i) + chr(0xAC00 + i) for i in range(0, 3000, 7)), "".join(chr(c) for c in range(0x10400, 0x10440))]
+    owner, code, n = _grams(texts, _letters())
+    for i, t in enumerate(texts):
+        assert len(set(code[owner == i].tolist())) == len(plain_grams(t)) == int((owner == i).sum())
 
 
 def test_emoji_are_not_letters(spark, odd_docs):

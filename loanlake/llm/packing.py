@@ -36,7 +36,10 @@ from .common import numbered, slices, span_hashes, stable, utf8
 
 CAPACITY, SLACK, END_ID = 1024, 0.025, 0
 #: Distinct text pieces that a task remembers the ids of.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
+#: 1 for the bytes of ASCII letters, 2 for those of ASCII marks.
+_KINDS = np.array([1 if chr(b).isalpha() else 2 if chr(b).isprintable() and not chr(b).isalnum() and b != 32 else 0
+                   for b in range(128)] + [0] * 128, np.uint8)
 
 
 def _lengths(n: int, capacity: int, slack: float) -> list[tuple[int, int]]:
@@ -86,9 +89,10 @@ def white(part: np.ndarray) -> np.ndarray:
 
 class Encoder:
     """ids of whole texts, added tokens in a text included. A text is cut before each lone
-    space between two other characters, where the tokenizer starts a new word in any
-    case; the ids of distinct cuttings are remembered. An added token that holds a space
-    or takes in spaces beside it would reach over a cut: then texts stay whole."""
+    space between two other characters and between an ASCII letter and a mark behind it,
+    where the tokenizer starts anew in any case, but never inside an added token; the ids
+    of distinct cuttings are remembered. An added token that holds a space or takes in
+    spaces beside it would reach over a cut: then texts stay whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -96,6 +100,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.cuts = not any(t.lstrip or t.rstrip or " " in t.content for t in added)
+        self.added = [t.content.encode() for t in added]
         self._forget()
 
     def _forget(self) -> None:
@@ -125,7 +130,15 @@ class Encoder:
         space = white(part)
         cut = np.zeros(len(part), bool)
         if self.cuts:
-            cut[1:-1] = (part[1:-1] == 32) & ~space[:-2] & ~space[2:]
+            kind = _KINDS[part]
+            cut[1:] = (kind[:-1] == 1) & (kind[1:] == 2)
+            cut[1:-1] |= (part[1:-1] == 32) & ~space[:-2] & ~space[2:]
+            blob = part.tobytes()
+            for token in self.added:
+                at = blob.find(token)
+                while at >= 0:
+                    cut[at + 1:at + len(token)] = False
+                    at = blob.find(token, at + len(token))
         cut[offsets[:-1][offsets[:-1] < len(part)]] = True
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(part))

@@ -50,7 +50,8 @@ def test_encoder_equals_whole_texts(spark, whole):
     texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     texts += ["", "  two  spaces ", "it's  we'll  nb em 　 x", "a \x1c b \x85 c", " lead", "trail ", "1 2  3\n\n 4 ",
               "<|endoftext|> x", "end <|endoftext|> x", "a<|endoftext|>b <|endoftext|><|endoftext|> <|endof text|>", " <|endoftext|>",
-              "日本 語 ab", "\n \n", "a​ b é è"]
+              "日本 語 ab", "\n \n", "a​ b é è",
+              "don't 'tis we're x's. \"quoted,\" (brackets) e.g. U.S.A... a-b_c/d=1;2 é. ñ! ''ll '", "a.b.c 'S 'LL x'Ll"]
     raw = [t.encode() for t in texts]
     offsets = np.cumsum([0] + [len(b) for b in raw])
     ids, counts = Encoder(tokenizer_path()).encode(np.frombuffer(b"".join(raw), np.uint8), offsets)

@@ -94,7 +94,7 @@ def _record_raw(spark, path: str, batch: DataFrame) -> None:
 
 
 def load_batch(spark, batch: DataFrame, target_path: str, batch_id: str,
-               by_event_date: bool = False) -> dict:
+               by_event_date: bool = False, index=None) -> dict:
     """Append the new rows of ``batch`` to the raw table at ``target_path``
     and return the load counters. Empty batch -> zeros without a write (C7).
     Replaying a batch inserts nothing (H4). Counters come from observed
@@ -105,13 +105,20 @@ def load_batch(spark, batch: DataFrame, target_path: str, batch_id: str,
     (pruned at file listing). Exact when a re-delivered event keeps its
     event_timestamp - the date is part of the event, not of the delivery.
     Without it every target event_id is checked.
+
+    ``index`` (a ``KeyIndex``): the key check reads the buckets of the batch's own
+    keys, in either layout and whatever timestamp a key comes back with.
     """
     if batch.isEmpty():
         return {"batch_id": batch_id, "batch_rows": 0, "rows_inserted": 0, "rows_skipped": 0}
-    from loanlake.plans.tables import read_or_empty
+    from loanlake.plans.tables import exists, read_or_empty, read_raw
     seen, wrote = Observation("batch"), Observation("inserted")
     src = dedup_latest(batch.observe(seen, F.count(F.lit(1)).alias("n"))).persist()
     try:
+        known = None
+        if index is not None:
+            index.recover(read_raw(spark, target_path) if exists(spark, target_path) else None)
+            known = index.known(src.select("event_id"))
         key_bytes = src.agg(F.sum(F.octet_length("event_id") + 16)).first()[0] or 0
         cols = [f.name for f in S.RAW_SCHEMA.fields]
         cols += [c for c in batch.columns if c not in cols]
@@ -119,22 +126,31 @@ def load_batch(spark, batch: DataFrame, target_path: str, batch_id: str,
         if by_event_date:
             src_d = src.withColumn("event_date", F.col("event_timestamp").cast("date"))
             # Distinct dates of one batch: bounded by the calendar.
-            dates = [r[0] for r in src_d.select("event_date").distinct().collect()]
-            target = read_or_empty(spark, target_path, S.RAW_SCHEMA_BY_DATE)
-            in_dates = F.col("event_date").isin([d for d in dates if d is not None])
-            if None in dates:
-                in_dates = in_dates | F.col("event_date").isNull()
-            keyed = target.filter(in_dates)
-            inserts = (new_rows(src_d, keyed, batch_key_bytes=key_bytes)
+            if known is None:
+                dates = [r[0] for r in src_d.select("event_date").distinct().collect()]
+                target = read_or_empty(spark, target_path, S.RAW_SCHEMA_BY_DATE)
+                in_dates = F.col("event_date").isin([d for d in dates if d is not None])
+                if None in dates:
+                    in_dates = in_dates | F.col("event_date").isNull()
+                known, known_bytes = target.filter(in_dates), key_bytes
+            else:
+                known_bytes = None
+            inserts = (new_rows(src_d, known, batch_key_bytes=known_bytes)
                        .withColumn("batch_id", F.lit(batch_id)).select(*cols, "event_date"))
             writer = inserts.observe(wrote, F.count(F.lit(1)).alias("n")).write.mode("append") \
                 .partitionBy("event_date")
         else:
-            target = read_or_empty(spark, target_path, S.RAW_SCHEMA)
-            inserts = (new_rows(src, target, batch_key_bytes=key_bytes)
+            known_bytes = key_bytes if known is None else None
+            known = read_or_empty(spark, target_path, S.RAW_SCHEMA) if known is None else known
+            inserts = (new_rows(src, known, batch_key_bytes=known_bytes)
                        .withColumn("batch_id", F.lit(batch_id)).select(*cols))
             writer = inserts.observe(wrote, F.count(F.lit(1)).alias("n")).write.mode("append")
+        if index is not None:
+            index.begin(batch_id)
         writer.parquet(target_path)
+        if index is not None:
+            index.add(src.select("event_id").join(known, "event_id", "left_anti"), wrote.get["n"])
+            index.finish()
     finally:
         src.unpersist()
     n_batch, n_ins = seen.get["n"], wrote.get["n"]

@@ -318,6 +318,15 @@ ORACLE["quarantine_rejects"] = f"{LE} select event_id, 'not_null:borrower_id' as
 ORACLE["merge_insert_new_events"] = f"""{LE}
 select * from le a where not exists (select 1 from le b where b.loaded_at < {CUT} and b.event_id = a.event_id)"""
 
+ORACLE["merge_insert_by_key_index"] = ORACLE["merge_insert_new_events"]
+
+FILES = """select concat('ds=', cast(cast(event_timestamp as date) as varchar), '/', tenant_id) as file,
+  cast(sum(octet_length(encode(event_id)) + octet_length(encode(loan_id))) as bigint) as length, max(loaded_at) as modified
+from le {} group by 1"""
+ORACLE["unloaded_files"] = f"""{LE}, found as ({FILES.format("")}), history as ({FILES.format(f"where loaded_at < {CUT}")})
+select * from found f where not exists (
+  select 1 from history h where h.file is not distinct from f.file and h.length = f.length and h.modified = f.modified)"""
+
 REPLAYED = f"""replayed as (
   select * from le
   union all

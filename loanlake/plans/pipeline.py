@@ -25,6 +25,7 @@ from loanlake import schema as S
 from loanlake.functions.columns import ts_ntz_lit
 from loanlake.operators import incremental, loan_state, marts, merge, quality, staging
 from loanlake.plans import schema_record
+from loanlake.plans.key_index import KeyIndex
 from loanlake.plans.tables import (VersionedTable, clustered, finish_swap, overwrite_partitions, read_marker,
                                    read_raw, write_marker)
 from loanlake.session import ensure_checkpoint_dir
@@ -44,6 +45,7 @@ class PipelineConfig:
     dim_root: str | None = None          # J6 loan dimension, kept by merge on loan_id
     raw_by_event_date: bool = False      # raw partitioned by event_date; key checks read the batch's dates
     state_root: str | None = None        # per-loan window state: refresh reads state + new rows only
+    key_index_root: str | None = None    # raw keys in hash buckets: a load reads those of its own keys
     max_reject_share: float = 0.05
     max_files: int = 10_000              # landing files of one run; later ones wait for the next
     # Event fields beyond the record, (name, DDL type); the fact follows when they come and go (H3).
@@ -235,7 +237,8 @@ def load_files(spark: SparkSession, cfg: PipelineConfig, files: list[tuple], now
         if failures:
             raise QualityGateError(f"{len(failures)} validation failures: {failures[:5]}")
         raw_batch = landing.apply_defaults(events, loaded_at=now, batch_id=batch_id)
-        counts = merge.load_batch(spark, raw_batch, cfg.raw_path, batch_id, by_event_date=cfg.raw_by_event_date)
+        index = KeyIndex(spark, cfg.key_index_root) if cfg.key_index_root else None
+        counts = merge.load_batch(spark, raw_batch, cfg.raw_path, batch_id, by_event_date=cfg.raw_by_event_date, index=index)
         if counts["rows_inserted"]:
             write_marker(spark, cfg.raw_path.rstrip("/") + "_loaded.json", {"loaded_at": now.isoformat()})
         landing.mark_loaded(spark, files, loaded_files_path(cfg.raw_path), batch_id)

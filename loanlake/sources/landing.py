@@ -153,6 +153,11 @@ def landing_files(spark: SparkSession, path: str) -> DataFrame | None:
     return found.select(F.col("path").alias("file"), "length", F.col("modificationTime").alias("modified")).coalesce(64)
 
 
+def unloaded(found: DataFrame, history: DataFrame) -> DataFrame:
+    """Files that the history doesn't hold as they are now."""
+    return found.join(history.select(*_IDENTITY).distinct(), _IDENTITY, "left_anti")
+
+
 def new_files(spark: SparkSession, path: str, loaded_path: str, limit: int = 10_000) -> list[tuple]:
     """The oldest ``limit`` landing files that the load history at ``loaded_path``
     does not hold as they are now (path, length and modification time): a
@@ -162,7 +167,7 @@ def new_files(spark: SparkSession, path: str, loaded_path: str, limit: int = 10_
     if found is None:
         return []
     if exists(spark, loaded_path):
-        found = found.join(spark.read.schema(HISTORY).parquet(loaded_path), _IDENTITY, "left_anti")
+        found = unloaded(found, spark.read.schema(HISTORY).parquet(loaded_path))
     return [tuple(r) for r in found.orderBy("modified", "file").limit(limit).collect()]
 
 

@@ -464,6 +464,7 @@ select loan_id, delinquency_bucket, credit_tier, valid_from,
   lead(valid_from) over (partition by loan_id order by valid_from, event_id) is null as is_current
 from st"""
 
+ORACLE["history_merge"] = ORACLE["scd2_history"]
 ORACLE["masked_borrowers"] = f"""{LE}
 select event_id, loan_id, sha256(borrower_id) as borrower_id_hash,
   substr(borrower_id, 1, 4) || repeat('*', greatest(length(borrower_id) - 4, 0)) as borrower_id_masked

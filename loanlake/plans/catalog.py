@@ -461,6 +461,13 @@ def q_scd2_history(spark, sf_dir):
     return history.scd2(stg(spark, sf_dir))
 
 
+@register("history_merge")          # Q9 kept by merge: stored runs + later events == scd2 over all rows
+def q_history_merge(spark, sf_dir):
+    s = stg(spark, sf_dir)
+    runs = history.build_runs(_before_cut(s)).checkpoint()
+    return history.versions(history.merge_runs(runs, s.filter(F.col("loaded_at") >= C.ts_ntz_lit(CUT)), s))
+
+
 @register("masked_borrowers")       # Q10
 def q_masked_borrowers(spark, sf_dir):
     return history.mask_borrowers(_raw(spark, sf_dir).select("event_id", "loan_id", "borrower_id"))

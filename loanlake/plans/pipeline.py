@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from loanlake import schema as S
 from loanlake.functions.columns import ts_ntz_lit
-from loanlake.operators import incremental, loan_state, marts, merge, quality, staging
+from loanlake.operators import history, incremental, loan_state, marts, merge, quality, staging
 from loanlake.plans import schema_record
+from loanlake.plans.buckets import BucketedTable
 from loanlake.plans.key_index import KeyIndex
 from loanlake.plans.tables import (VersionedTable, clustered, finish_swap, overwrite_partitions, read_marker,
                                    read_raw, write_marker)
@@ -45,6 +46,7 @@ class PipelineConfig:
     dim_root: str | None = None          # J6 loan dimension, kept by merge on loan_id
     raw_by_event_date: bool = False      # raw partitioned by event_date; key checks read the batch's dates
     state_root: str | None = None        # per-loan window state: refresh reads state + new rows only
+    history_root: str | None = None      # Q9 versions of each loan, kept by merge
     key_index_root: str | None = None    # raw keys in hash buckets: a load reads those of its own keys
     max_reject_share: float = 0.05
     max_files: int = 10_000              # landing files of one run; later ones wait for the next
@@ -118,8 +120,8 @@ def refresh_step(spark: SparkSession, raw_path: str, fact_path: str, as_of: dt.d
     watermark_path = fact_path.rstrip("/") + "_watermark.json"
     built_path = fact_path.rstrip("/") + "_built.json"
     high = raw.agg(F.max("loaded_at")).first()[0]            # everything up to here is in the fact after this run
-    state_tbl = VersionedTable(spark, state_root) if state_root else None
-    new_state = None
+    state_tbl = BucketedTable(spark, state_root, "loan_id") if state_root else None
+    new_state, touched = None, None
     finish_swap(spark, fact_path)                            # a run that died in its swap is completed first
     staging_dir = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fact-stage-{batch_id}-{uuid.uuid4().hex}"
     if read_marker(spark, built_path) is None:
@@ -133,10 +135,11 @@ def refresh_step(spark: SparkSession, raw_path: str, fact_path: str, as_of: dt.d
             new_state = loan_state.initial_state(stg)
     elif state_tbl is not None and state_tbl.pointer():
         # Bounded refresh: state + new rows for in-order loans, full history
-        # only for loans with late events.
+        # only for loans with late events. Only the new rows' state buckets are read and written.
         since = dt.datetime.fromisoformat(state_tbl.pointer()["loaded_at"])
+        touched = state_tbl.touched(stg.filter(F.col("loaded_at") > ts_ntz_lit(since)).select("loan_id"))
         target = schema_record.read_table(spark, fact_path)
-        rows, dates, new_state = loan_state.refresh_with_state(stg, target, state_tbl.read(), since)
+        rows, dates, new_state = loan_state.refresh_with_state(stg, target, state_tbl.read(touched), since)
         if rows is not None:
             swap_in(spark, rows, dates, target, fact_path, sort_cols, staging_dir)
     else:
@@ -148,6 +151,8 @@ def refresh_step(spark: SparkSession, raw_path: str, fact_path: str, as_of: dt.d
         rows, dates = incremental.changed_partitions(stg, target, since, **fact_kwargs)
         if rows is not None:
             swap_in(spark, rows, dates, target, fact_path, sort_cols, staging_dir)
+        if state_tbl is not None:                            # state was asked for after the first build
+            new_state = loan_state.initial_state(stg)
     fact_now = schema_record.read_table(spark, fact_path)
     if dates:
         fact_now = fact_now.filter(incremental.in_dates(dates))                 # test what was rewritten
@@ -157,7 +162,11 @@ def refresh_step(spark: SparkSession, raw_path: str, fact_path: str, as_of: dt.d
     if high is not None:
         if new_state is not None:
             # Published last: until this pointer moves, a rerun starts from the old state.
-            state_tbl.write(new_state, meta={"loaded_at": high.isoformat(), "batch_id": batch_id})
+            meta = {"loaded_at": high.isoformat(), "batch_id": batch_id}
+            if touched is None:
+                state_tbl.write(new_state, meta)
+            else:
+                state_tbl.replace(new_state, touched, meta)
         write_marker(spark, watermark_path, {"loaded_at": high.isoformat(), "batch_id": batch_id})
     return dates
 
@@ -189,6 +198,25 @@ def update_dimension(spark: SparkSession, raw_path: str, dim_root: str, as_of: d
     return written.get["rows"]
 
 
+def update_history(spark: SparkSession, raw_path: str, history_root: str, as_of: dt.datetime) -> int:
+    """Bring the loans' versions up to date (Q9): events loaded since the history's own
+    watermark are merged, only their loans' buckets are read and written. Returns the loans touched."""
+    table = BucketedTable(spark, history_root, "loan_id")
+    p = table.pointer()
+    stg = staging.stage_loans(read_raw(spark, raw_path), as_of=as_of)
+    fresh = stg.filter(F.col("loaded_at") > ts_ntz_lit(dt.datetime.fromisoformat(p["loaded_at"]))) if p else stg
+    high, loans = fresh.agg(F.max("loaded_at"), F.countDistinct("loan_id")).first()
+    if high is None:
+        return 0
+    meta = {"loaded_at": high.isoformat()}
+    if p is None:
+        table.write(history.build_runs(stg), meta)
+    else:
+        touched = table.touched(fresh.select("loan_id"))
+        table.replace(history.merge_runs(table.read(touched), fresh, stg), touched, meta)
+    return loans
+
+
 def loaded_files_path(raw_path: str) -> str:
     """The table of landing files whose rows the raw table holds."""
     return raw_path.rstrip("/") + "_files"
@@ -207,9 +235,11 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
     dates = refresh_step(spark, cfg.raw_path, cfg.fact_path, now, batch_id, state_root=cfg.state_root,
                          extra=tuple(n for n, _ in cfg.extra_fields), **cfg.fact_kwargs)
     loans = update_dimension(spark, cfg.raw_path, cfg.dim_root, now) if cfg.dim_root else None
+    versions = update_history(spark, cfg.raw_path, cfg.history_root, now) if cfg.history_root else None
     record = schema_record.read_record(spark, cfg.fact_path)
     audit = {**counts, "status": "loaded", "files": len(files), "schema_version": record.version, "fact_dates_rewritten": len(dates) if dates is not None else -1,
              "dimension_loans": loans if loans is not None else -1,
+             "history_loans": versions if versions is not None else -1,
              "run_at": now.isoformat(),
              "warnings": ";".join(f"{w['rule']}={w['violations']}" for w in warnings)}
     spark.createDataFrame([audit]).write.mode("append").json(cfg.audit_path)

@@ -5,8 +5,9 @@ are read in overlapping windows. A word's input joins a word embedding with the
 largest components among the embeddings of its character 4- and 7-grams (in
 bytes, the word's start included), all hashed. A gated recurrent unit runs over
 the window in each direction; each direction's states are pooled by a learned
-attention into the window's logit. A text's logit is the logarithm of the mean
-odds of its windows, scaled by a logistic fit on the training documents.
+attention into the window's logit. A text's logit is the highest of its windows,
+scaled by a logistic fit on the training documents: a toxic passage counts alike in
+a short text and in a very long one.
 
 The network is trained in numpy on the driver from at most ``sample`` labelled
 documents of each class (a documented bound, drawn by a hash of the id; at most
@@ -151,7 +152,7 @@ class Network:
         return g, d_gates @ w["x"].T
 
     def scores(self, buf: np.ndarray, offsets: np.ndarray, batch: int = 1024) -> np.ndarray:
-        """The highest window score of each text."""
+        """Score of each text: the logistic of its highest window."""
         text, starts, ends, first = words(buf, offsets)
         owner, at, lens = windows(first)
         x = self.inputs(text, starts, ends)
@@ -162,15 +163,14 @@ class Network:
             span = ranges(at[part], at[part] + lens[part])
             local = np.cumsum(lens[part]) - lens[part]
             logit[part] = self.run(x[span], local, lens[part])
-        return _sigmoid(self.scale[0] * pooled_logit(logit, owner, len(offsets) - 1) + self.scale[1])
+        return _sigmoid(self.scale[0] * highest_logit(logit, owner, len(offsets) - 1) + self.scale[1])
 
 
-def pooled_logit(logit: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """Logarithm of the mean odds of each text's windows."""
+def highest_logit(logit: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """The highest of each text's windows."""
     top = np.full(n, -np.inf)
-    np.maximum.at(top, owner, logit)
-    total = np.bincount(owner, np.exp(logit - top[owner]), n)
-    return top + np.log(total / np.maximum(1, np.bincount(owner, minlength=n)))
+    np.maximum.at(top, owner, logit.astype(np.float64))
+    return top
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -280,7 +280,7 @@ def train(texts: list[bytes], labels: np.ndarray, share: float | None = None, ep
                 table[at] -= 0.02 * g / np.sqrt(past[at])
     share = labels.mean() if share is None else share
     weight = np.where(labels == 1, share / labels.mean(), (1 - share) / (1 - labels.mean()))
-    net.scale = fit_logistic(pooled_logit(logits(), doc, len(texts)), labels, weight)
+    net.scale = fit_logistic(highest_logit(logits(), doc, len(texts)), labels, weight)
     return net
 
 

@@ -45,8 +45,28 @@ def test_words_and_log_odds():
 def test_held_out_scores(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
-    rows = {r["doc_id"]: r for r in score_toxicity(docs, labels).collect()}
-    assert len(rows) == docs.count()
+    # toxic texts as they are and inside 2,000 and 20,000 clean words, and clean texts of such lengths
+    mark = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect() if r["doc_id"] in mark and r["text"]}
+    clean = " ".join(t for d, t in sorted(texts.items()) if not mark[d] and len(t.split()) > 2000).split()[:60_000]
+    toxic = [t for d, t in sorted(texts.items()) if mark[d] and 60 <= len(t.split()) <= 400][:20]
+    assert len(clean) == 60_000
+    planted = [(2_000_000 + n + i, " ".join(clean[i * n:i * n + n]), "en", "a", 1) for n in (2_000, 20_000) for i in range(3)]
+    for k, t in enumerate(toxic):
+        planted.append((1_000_000 + k, t, "en", "a", 1))
+        for j, n in ((1, 2_000), (2, 20_000)):
+            body = clean[(k % 3) * n:(k % 3) * n + n]
+            planted.append((1_000_000 * (1 + 10 * j) + k, " ".join([*body[:n // 2], t, *body[n // 2:]]), "en", "a", 1))
+    n_docs, docs = docs.count(), docs.unionByName(spark.createDataFrame(planted, docs.schema))
+    every = score_toxicity(docs, labels).collect()
+    rows = {r["doc_id"]: r for r in every}
+    assert len(every) == n_docs + len(planted)
+    alone = [k for k in range(len(toxic)) if rows[1_000_000 + k]["score"] >= 0.5]
+    assert len(alone) > 10
+    for n in (11, 21):
+        assert sum(rows[1_000_000 * n + k]["score"] > 0.5 for k in alone) >= 0.9 * len(alone)
+    assert all(rows[2_000_000 + n + i]["score"] < 0.5 for n in (2_000, 20_000) for i in range(3))
+    rows = {d: r for d, r in rows.items() if d < 1_000_000}
     held = [(r["toxic"], rows[r["doc_id"]]) for r in labels.collect() if rows[r["doc_id"]]["held_out"]]
     score = np.array([r["score"] for _, r in held])
     y = np.array([y for y, _ in held])

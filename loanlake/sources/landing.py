@@ -7,8 +7,8 @@ element by element, up to the 2 GB a string can hold.
 
 Parsing never trusts a document: ``try_parse_json`` yields NULL for malformed
 text and for duplicate object keys, and such documents are quarantined whole.
-Fields are read from the parsed VARIANT as text and typed with ``try_cast``,
-so one bad field rejects only its own row, never its siblings.
+Fields are read as text, all in one pass, and typed once with ``try_cast``, so
+one bad field rejects only its own row, never its siblings.
 """
 
 from __future__ import annotations
@@ -48,26 +48,24 @@ def publish_records(df: DataFrame) -> DataFrame:
 # Decoding (A4, B1, A8)
 # ---------------------------------------------------------------------------
 
-def _field(v: Column, name: str) -> Column:
-    """A field of a parsed JSON object as text (numbers keep their digits)."""
-    return F.try_variant_get(v, f"$.{name}", "string")
+def _texts(doc: Column, fields: list[tuple[str, T.DataType]]) -> Column:
+    """The fields of a JSON object's text as a struct of texts; NULL for other JSON."""
+    is_object = F.startswith(F.ltrim(doc, F.lit(" \t\r\n")), F.lit("{"))
+    return F.when(is_object, F.from_json(doc, T.StructType([T.StructField(n, T.StringType()) for n, _ in fields])))
 
 
-def _typed(v: Column) -> list[Column]:
-    """Event fields out of one parsed object, typed with try_cast (NULL on
-    bad input)."""
-    out = []
-    for name, typ in S.EVENT_FIELDS:
-        raw = _field(v, name)
-        out.append((raw if isinstance(typ, T.StringType) else raw.try_cast(typ)).alias(name))
-    return out
+def _typed(name: str, typ: T.DataType) -> Column:
+    """A field's text typed with try_cast (NULL on bad input)."""
+    raw = F.col(f"_s_{name}")
+    return (raw if isinstance(typ, T.StringType) else raw.try_cast(typ)).alias(name)
 
 
 def extract_events(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     """B1 on its own: JSON object text -> the 21 typed event fields (NULL
     where a field is missing, malformed or fails its cast); no quarantine."""
-    v = F.explode(F.array(F.try_parse_json(F.col(doc_col)))).alias("_v")
-    return docs.select(v).select(F.inline(F.array(F.struct(*_typed(F.col("_v"))))))
+    good = F.when(F.try_parse_json(F.col(doc_col)).isNotNull(), F.col(doc_col))
+    text = docs.select(F.inline(F.array(F.struct(_texts(good, S.EVENT_FIELDS).alias("_e")))))
+    return text.select(*[F.col("_e")[n].alias(f"_s_{n}") for n, _ in S.EVENT_FIELDS]).select(*[_typed(n, t) for n, t in S.EVENT_FIELDS])
 
 
 def parse_tagged(docs: DataFrame, doc_col: str = "doc", source_col: str = "source",
@@ -96,31 +94,25 @@ def parse_tagged(docs: DataFrame, doc_col: str = "doc", source_col: str = "sourc
         each = F.transform(parts, lambda e: F.struct(F.coalesce(e, F.lit("null")).alias("_e"), F.lit(None).cast("string").alias("_bad")))
         # the document itself must not ride along with each of its elements
         whole = whole.select("source", F.inline(F.coalesce(each, F.array(one)))).withColumnRenamed("_e", "_doc")
-    rows = whole.select("source", F.col("_doc").alias("_record"), "_bad", F.explode(F.array(
-        F.when(F.col("_bad").isNull(), F.try_parse_json("_doc")))).alias("_e"))
     fields = S.EVENT_FIELDS + S.extra_fields(extra)
-    # inline() of a one-row array is a second boundary: each field is read
-    # from the VARIANT once, as text, and leaves as a plain attribute, so the
-    # casts, checks and filters below stay small for constraint inference.
-    v = F.col("_e")
-    bad_doc = F.coalesce("_bad", F.when(v.isNull(), F.lit("malformed_json"))).alias("_bad_doc")
-    text = rows.select("source", "_record", F.inline(F.array(F.struct(
-        bad_doc, *[_field(v, n).alias(f"_s_{n}") for n, _ in fields]))))
-    typed_cols, bad = [], []
-    for n, typ in fields:
-        raw = F.col(f"_s_{n}")
-        if isinstance(typ, T.StringType):
-            typed_cols.append(raw.alias(n))
-        else:
-            typed_cols.append(raw.try_cast(typ).alias(n))
-            bad.append(F.when(raw.isNotNull() & raw.try_cast(typ).isNull(), F.lit(n)))
-    bad_arr = F.array_compact(F.array(*bad))
-    null_arr = F.array_compact(F.array(*[F.when(F.col(f"_s_{c}").isNull(), F.lit(c)) for c in S.NOT_NULL_COLUMNS]))
+    # inline() of a one-row array is a plan boundary: the document is parsed once, and
+    # what leaves are plain attributes, so the casts and checks below stay small.
+    bad_doc = F.coalesce("_bad", F.when(F.try_parse_json("_doc").isNull(), F.lit("malformed_json"))).alias("_bad_doc")
+    rows = whole.select("source", F.col("_doc").alias("_record"), F.inline(F.array(F.struct(
+        bad_doc, F.when(F.col("_bad").isNull(), _texts(F.col("_doc"), fields)).alias("_e")))))
+    text = rows.select("source", "_record", "_bad_doc", *[
+        F.when(F.col("_bad_doc").isNull(), F.col("_e")[n]).alias(f"_s_{n}") for n, _ in fields])
+    # A second boundary: each field is cast once; whether it had a text goes along.
+    cast = [n for n, typ in fields if not isinstance(typ, T.StringType)]
+    once = text.select("source", "_record", "_bad_doc", F.inline(F.array(F.struct(
+        *[F.col(f"_s_{n}").isNotNull().alias(f"_h_{n}") for n in cast], *[_typed(n, t) for n, t in fields]))))
+    bad_arr = F.array_compact(F.array(*[F.when(F.col(f"_h_{n}") & F.col(n).isNull(), F.lit(n)) for n in cast]))
+    null_arr = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in S.NOT_NULL_COLUMNS]))
     reason = (F.when(F.col("_bad_doc").isNotNull(), F.col("_bad_doc"))
               .when(F.size(bad_arr) > 0, F.concat(F.lit("bad_field:"), F.array_join(bad_arr, ",")))
               .when(F.size(null_arr) > 0, F.concat(F.lit("not_null:"), F.array_join(null_arr, ","))))
-    # Third boundary: typed fields and the reason leave as plain attributes.
-    typed = text.select("source", "_record", F.inline(F.array(F.struct(*typed_cols, reason.alias("reason")))))
+    # A third one for the reason, which filters read.
+    typed = once.select("source", "_record", *[n for n, _ in fields], F.inline(F.array(F.struct(reason.alias("reason")))))
     return typed.select("source", F.col("_record").alias("record"), "reason", *[n for n, _ in fields])
 
 

@@ -166,3 +166,26 @@ def test_large_array_file_loads_in_full(spark, scratch):
     assert events.count() == n
     assert sorted(r["reason"] for r in rejects.select("reason").collect()) == [
         "malformed_json", "not_null:event_id,loan_id,borrower_id,tenant_id,event_type"]
+
+
+def test_text_of_fields_and_documents_that_are_no_objects(spark):
+    """Other JSON than objects, nested values, numbers in text fields, keys that repeat or differ in case."""
+    lines = ['[1, 2]', '"text"', "12", "null", "", "  ", '{"a": 1} trailing', json.dumps(event(1)) + " ", "\t" + json.dumps(event(2, event_id=7)),
+             json.dumps(event(3, loan_type={"x": [1, "é"]}, credit_score="700", interest_rate=1e-3)), json.dumps(event(4, days_past_due=2 ** 40)),
+             json.dumps(event(5))[:-1] + ', "loan_id": "again"}', json.dumps(event(6)).replace("loan_id", "Loan_Id"),
+             json.dumps(event(8, is_valid="yes", event_timestamp=None)), json.dumps(event(9, original_balance=None, ltv_ratio="0.5"))]
+    docs = spark.createDataFrame([(x, f"f{i}") for i, x in enumerate(lines)], "doc string, source string")
+    got = {r["source"]: r for r in landing.parse_tagged(docs).collect()}
+    reason = {k: r["reason"] for k, r in got.items()}
+    assert len(got) == len(lines)
+    none = "not_null:" + ",".join(S.NOT_NULL_COLUMNS)
+    assert [reason[f"f{i}"] for i in range(4)] == [none] * 4
+    assert {i: reason[f"f{i}"] for i in (4, 5, 11)} == dict.fromkeys((4, 5, 11), "malformed_json")
+    assert reason["f6"] == none  # what follows an object is not read
+    assert [reason[f"f{i}"] for i in (7, 8, 9)] == [None] * 3 and got["f8"]["event_id"] == "7"
+    assert (got["f9"]["loan_type"], got["f9"]["credit_score"], got["f9"]["interest_rate"]) == ('{"x":[1,"é"]}', 700, 0.001)
+    assert (reason["f10"], reason["f12"]) == ("bad_field:days_past_due", "not_null:loan_id")
+    assert reason["f13"] is None and got["f13"]["is_valid"] is True and got["f13"]["event_timestamp"] is None
+    assert got["f14"]["original_balance"] is None and got["f14"]["ltv_ratio"] == 0.5
+    typed = landing.extract_events(docs).collect()
+    assert len(typed) == len(lines) and typed[11]["event_id"] is None and typed[7]["event_id"] == "e-1"

@@ -93,6 +93,15 @@ def _record_raw(spark, path: str, batch: DataFrame) -> None:
         write_record(spark, path, sync.record)
 
 
+def _note_load(spark, path: str, high) -> None:
+    """Note the latest ``loaded_at`` beside the raw table, so that nobody has to read it for that."""
+    from loanlake.plans.tables import read_marker, write_marker
+    marker = path.rstrip("/") + "_loaded.json"
+    known = read_marker(spark, marker)
+    if high is not None and (known is None or known["loaded_at"] < high.isoformat()):
+        write_marker(spark, marker, {"loaded_at": high.isoformat()})
+
+
 def load_batch(spark, batch: DataFrame, target_path: str, batch_id: str,
                by_event_date: bool = False, index=None) -> dict:
     """Append the new rows of ``batch`` to the raw table at ``target_path``
@@ -137,14 +146,14 @@ def load_batch(spark, batch: DataFrame, target_path: str, batch_id: str,
                 known_bytes = None
             inserts = (new_rows(src_d, known, batch_key_bytes=known_bytes)
                        .withColumn("batch_id", F.lit(batch_id)).select(*cols, "event_date"))
-            writer = inserts.observe(wrote, F.count(F.lit(1)).alias("n")).write.mode("append") \
+            writer = inserts.observe(wrote, F.count(F.lit(1)).alias("n"), F.max("loaded_at").alias("high")).write.mode("append") \
                 .partitionBy("event_date")
         else:
             known_bytes = key_bytes if known is None else None
             known = read_or_empty(spark, target_path, S.RAW_SCHEMA) if known is None else known
             inserts = (new_rows(src, known, batch_key_bytes=known_bytes)
                        .withColumn("batch_id", F.lit(batch_id)).select(*cols))
-            writer = inserts.observe(wrote, F.count(F.lit(1)).alias("n")).write.mode("append")
+            writer = inserts.observe(wrote, F.count(F.lit(1)).alias("n"), F.max("loaded_at").alias("high")).write.mode("append")
         if index is not None:
             index.begin(batch_id)
         writer.parquet(target_path)
@@ -154,5 +163,7 @@ def load_batch(spark, batch: DataFrame, target_path: str, batch_id: str,
     finally:
         src.unpersist()
     n_batch, n_ins = seen.get["n"], wrote.get["n"]
+    if n_ins:
+        _note_load(spark, target_path, wrote.get["high"])
     return {"batch_id": batch_id, "batch_rows": n_batch, "rows_inserted": n_ins,
             "rows_skipped": n_batch - n_ins}

@@ -119,7 +119,7 @@ def refresh_step(spark: SparkSession, raw_path: str, fact_path: str, as_of: dt.d
     sort_cols = ["tenant_id", "loan_id"]
     watermark_path = fact_path.rstrip("/") + "_watermark.json"
     built_path = fact_path.rstrip("/") + "_built.json"
-    high = raw.agg(F.max("loaded_at")).first()[0]            # everything up to here is in the fact after this run
+    high = loaded_up_to(spark, raw_path, raw)                # everything up to here is in the fact after this run
     state_tbl = BucketedTable(spark, state_root, "loan_id") if state_root else None
     new_state, touched = None, None
     finish_swap(spark, fact_path)                            # a run that died in its swap is completed first
@@ -171,6 +171,16 @@ def refresh_step(spark: SparkSession, raw_path: str, fact_path: str, as_of: dt.d
     return dates
 
 
+def loaded_up_to(spark: SparkSession, raw_path: str, raw) -> dt.datetime | None:
+    """The latest ``loaded_at`` of the raw table, as its last load noted it; the table is
+    read only if none did. A load that died before its note is covered again by a later
+    run: refreshing rows twice changes nothing."""
+    mark = read_marker(spark, raw_path.rstrip("/") + "_loaded.json")
+    if mark:
+        return dt.datetime.fromisoformat(mark["loaded_at"])
+    return raw.agg(F.max("loaded_at")).first()[0]
+
+
 def swap_in(spark: SparkSession, rows, dates: list, target, fact_path: str, sort_cols: list[str], staging_dir: str) -> None:
     """Replace the touched partitions and publish the schema that they bring (H3)."""
     sync = schema_record.plan_sync(schema_record.read_record(spark, fact_path), rows.schema)
@@ -269,8 +279,6 @@ def load_files(spark: SparkSession, cfg: PipelineConfig, files: list[tuple], now
         raw_batch = landing.apply_defaults(events, loaded_at=now, batch_id=batch_id)
         index = KeyIndex(spark, cfg.key_index_root) if cfg.key_index_root else None
         counts = merge.load_batch(spark, raw_batch, cfg.raw_path, batch_id, by_event_date=cfg.raw_by_event_date, index=index)
-        if counts["rows_inserted"]:
-            write_marker(spark, cfg.raw_path.rstrip("/") + "_loaded.json", {"loaded_at": now.isoformat()})
         landing.mark_loaded(spark, files, loaded_files_path(cfg.raw_path), batch_id)
     finally:
         tagged.unpersist()

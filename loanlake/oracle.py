@@ -464,6 +464,8 @@ select loan_id, delinquency_bucket, credit_tier, valid_from,
   lead(valid_from) over (partition by loan_id order by valid_from, event_id) is null as is_current
 from st"""
 
+for _mart in ("payment_agg_monthly", "delinquency_dashboard", "executive_portfolio"):
+    ORACLE[f"{_mart}_refresh"] = ORACLE[_mart]
 ORACLE["history_merge"] = ORACLE["scd2_history"]
 ORACLE["masked_borrowers"] = f"""{LE}
 select event_id, loan_id, sha256(borrower_id) as borrower_id_hash,

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from loanlake import schema as S
 from loanlake.functions.columns import ts_ntz_lit
-from loanlake.operators import history, incremental, loan_state, marts, merge, quality, staging
+from loanlake.operators import history, incremental, loan_state, mart_state, marts, merge, quality, staging
 from loanlake.plans import schema_record
 from loanlake.plans.buckets import BucketedTable
 from loanlake.plans.key_index import KeyIndex
@@ -47,6 +47,7 @@ class PipelineConfig:
     raw_by_event_date: bool = False      # raw partitioned by event_date; key checks read the batch's dates
     state_root: str | None = None        # per-loan window state: refresh reads state + new rows only
     history_root: str | None = None      # Q9 versions of each loan, kept by merge
+    marts_root: str | None = None        # J4, J5 and J7 from states that new events are added to
     key_index_root: str | None = None    # raw keys in hash buckets: a load reads those of its own keys
     max_reject_share: float = 0.05
     max_files: int = 10_000              # landing files of one run; later ones wait for the next
@@ -227,6 +228,31 @@ def update_history(spark: SparkSession, raw_path: str, history_root: str, as_of:
     return loans
 
 
+def update_marts(spark: SparkSession, raw_path: str, marts_root: str, as_of: dt.datetime) -> None:
+    """Add the events loaded since each mart's own watermark to its state (J4, J5, J7). State
+    and watermark become visible together, so an event is added once."""
+    stg = staging.stage_loans(read_raw(spark, raw_path), as_of=as_of)
+    for name, mart in mart_state.MARTS.items():
+        table = BucketedTable(spark, f"{marts_root.rstrip('/')}/{name}", "loan_id")
+        p = table.pointer()
+        fresh = stg.filter(F.col("loaded_at") > ts_ntz_lit(dt.datetime.fromisoformat(p["loaded_at"]))) if p else stg
+        high = fresh.agg(F.max("loaded_at")).first()[0]
+        if high is None:
+            continue
+        part, meta = mart_state.partial(fresh, mart), {"loaded_at": high.isoformat()}
+        if p is None:
+            table.write(part, meta)
+        else:
+            touched = table.touched(fresh.select("loan_id"))
+            table.replace(mart_state.add(table.read(touched), part), touched, meta)
+
+
+def read_mart(spark: SparkSession, marts_root: str, name: str):
+    """A mart from its state, or None before the first run."""
+    state = BucketedTable(spark, f"{marts_root.rstrip('/')}/{name}", "loan_id").read()
+    return None if state is None else mart_state.mart_rows(state, mart_state.MARTS[name])
+
+
 def loaded_files_path(raw_path: str) -> str:
     """The table of landing files whose rows the raw table holds."""
     return raw_path.rstrip("/") + "_files"
@@ -246,6 +272,8 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
                          extra=tuple(n for n, _ in cfg.extra_fields), **cfg.fact_kwargs)
     loans = update_dimension(spark, cfg.raw_path, cfg.dim_root, now) if cfg.dim_root else None
     versions = update_history(spark, cfg.raw_path, cfg.history_root, now) if cfg.history_root else None
+    if cfg.marts_root:
+        update_marts(spark, cfg.raw_path, cfg.marts_root, now)
     record = schema_record.read_record(spark, cfg.fact_path)
     audit = {**counts, "status": "loaded", "files": len(files), "schema_version": record.version, "fact_dates_rewritten": len(dates) if dates is not None else -1,
              "dimension_loans": loans if loans is not None else -1,

@@ -12,7 +12,9 @@ therefore routes rows in two ways:
   (partition offset + position), cut into chunks of ``chunk_rows`` and each
   chunk receives the ``K`` rows before/after it as halo copies. A window over
   (key, chunk) then yields exactly the values of the unsplit window for every
-  bounded ROWS frame and LAG/LEAD, with at most chunk_rows + 2K rows per task.
+  bounded ROWS frame and LAG/LEAD, with at most chunk_rows + 2K rows per group.
+  The range sort takes a task per chunk, or per ``SORT_TASK_ROWS`` rows if chunks
+  are smaller: what the driver samples, broadcasts and tracks grows with its tasks.
   Running totals over a RANGE frame on a coarse peer column (dates) are
   computed from per-(key, peer) subtotals, which partial aggregation shrinks
   before any shuffle.
@@ -34,6 +36,8 @@ from loanlake.session import ensure_checkpoint_dir
 
 DEFAULT_MAX_ROWS_PER_KEY = 2_000_000
 DEFAULT_CHUNK_ROWS = 1_000_000
+#: The fewest rows that a task of the range sort is meant for.
+SORT_TASK_ROWS = 250_000
 
 _AGGS = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.count}
 
@@ -149,20 +153,24 @@ def find_hot_keys(df: DataFrame, key: list[str], max_rows_per_key: int) -> DataF
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows_per_key)
 
 
-def _hot_spec(hot: DataFrame, spec: Spec, n_rows: int, chunk_rows: int) -> DataFrame:
-    spark = hot.sparkSession
-    ensure_checkpoint_dir(spark)
+def sort_tasks(n_rows: int, chunk_rows: int) -> int:
+    """Tasks of the range sort over ``n_rows`` hot rows."""
+    return max(1, math.ceil(n_rows / max(chunk_rows, SORT_TASK_ROWS)))
+
+
+def _chunked(hot: DataFrame, spec: Spec, n_rows: int, chunk_rows: int) -> DataFrame:
+    """The ROWS frames of ``spec`` on hot keys."""
+    ensure_checkpoint_dir(hot.sparkSession)
     before, after = spec.halo()
     if max(before, after) >= chunk_rows:
         raise ValueError("window frame wider than a chunk; raise chunk_rows")
-    n_parts = max(1, math.ceil(n_rows / chunk_rows))
     cols = hot.columns
-    tagged = (hot.repartitionByRange(n_parts, *spec.key, *spec.order)
+    tagged = (hot.repartitionByRange(sort_tasks(n_rows, chunk_rows), *spec.key, *spec.order)
               .sortWithinPartitions(*spec.key, *spec.order)
               .withColumn("_mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
     pid = F.shiftright(F.col("_mid"), 33)
-    # One row per partition: dense numbering offsets (bounded by n_parts).
+    # One row per partition: dense numbering offsets (bounded by the tasks of the sort).
     offsets = (tagged.groupBy(pid.alias("_pid"))
                .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
                .withColumn("_off", F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt")))
@@ -183,7 +191,11 @@ def _hot_spec(hot: DataFrame, spec: Spec, n_rows: int, chunk_rows: int) -> DataF
         u = u.unionByName(p)
     w = Window.partitionBy(*spec.key, "_chunk").orderBy("_ord")
     out = u.select("*", *[r.over(w).alias(r.name) for r in spec.rows]).filter(~F.col("_halo"))
-    out = out.drop("_ord", "_chunk", "_halo")
+    return out.drop("_ord", "_chunk", "_halo")
+
+
+def _hot_spec(hot: DataFrame, spec: Spec, n_rows: int, chunk_rows: int) -> DataFrame:
+    out = _chunked(hot, spec, n_rows, chunk_rows) if spec.rows else hot  # subtotals need no order
     for rs in spec.running:
         # Subtotals per (key, peer): partial aggregation shrinks the hot key
         # map-side; the peer column (a date) bounds the rows per key.

@@ -91,6 +91,24 @@ def test_peer_aggregates_split_equals_plain(spark):
     assert rows(split_out.select(*plain_out.columns)) == rows(plain_out)
 
 
+def test_small_chunks_dont_multiply_the_tasks_of_the_range_sort(spark, monkeypatch):
+    """Chunks of 50 rows in 3000: one sort task a spec, none for a spec of subtotals alone."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    tasks, deal = [], DataFrame.repartitionByRange
+    monkeypatch.setattr(DataFrame, "repartitionByRange", lambda self, n, *cols: tasks.append(n) or deal(self, n, *cols))
+    df, d = skewed(spark), F.col("dpd")
+    first = [W.Spec(["k"], ["d", "t"], rows=[W.Rows("mx30", "max", d, 30)])]
+    then = [W.Spec(["k"], ["d", "t"], peers=[W.PeerAgg("last_mx", "last", F.col("mx30"), "d")])]
+    got = W.windowed(df, first, max_rows_per_key=500, chunk_rows=50, then=then)
+    want = W.windowed(df, first, max_rows_per_key=10_000, then=then)
+    assert rows(got.select(*want.columns)) == rows(want)
+    assert tasks == [1]
+
+
+def test_sort_tasks_follow_rows_not_chunks(spark):
+    assert W.sort_tasks(216_000_000, 1000) == 864 and W.sort_tasks(3_000_000, 1_000_000) == 3
+
+
 def test_scd2_split_equals_plain(spark):
     from loanlake.operators import history
     df = skewed(spark).select(F.col("k").alias("loan_id"), F.col("t").cast("string").alias("event_id"),

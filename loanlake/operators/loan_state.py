@@ -33,6 +33,11 @@ from loanlake.session import ensure_checkpoint_dir
 TAIL_ROWS = 365
 PAY_TAIL_ROWS = 12
 ORDER = ["_seq", "event_date", "event_timestamp", "event_id"]
+#: Marks rows of a loan's full history that a refresh can change.
+CHANGED = "is_changed__"
+#: The staging columns that the state is made of.
+STATE_INPUTS = ["loan_id", "event_id", "event_type", "event_date", "event_timestamp", "days_past_due",
+                "payment_amount", "monthly_payment"]
 
 STATE_SCHEMA = T.StructType([
     T.StructField("loan_id", T.StringType()),
@@ -111,8 +116,10 @@ def build_state(rows: DataFrame, base_paid: DataFrame | None = None,
 
 
 def initial_state(stg: DataFrame, **kw) -> DataFrame:
-    """State of every loan from its full staging history."""
-    return build_state(_inputs(stg), **kw)
+    """State of every loan from its full staging history. Its few input columns are
+    written once: counts, both tails and the last events read them."""
+    ensure_checkpoint_dir(stg.sparkSession)
+    return build_state(_inputs(stg.select(*STATE_INPUTS)).checkpoint(), **kw)
 
 
 def _context(state: DataFrame, like: DataFrame) -> DataFrame:
@@ -179,9 +186,9 @@ def refresh_with_state(stg: DataFrame, target: DataFrame, state: DataFrame, sinc
     # Loans with late or undated events: full-history recompute, rows that can have changed.
     rebuilt, new_state = ok_fact, ok_state.select(*state.columns)
     if not late.isEmpty():
-        history = stg.join(late.select("loan_id"), "loan_id", "left_semi").checkpoint()
-        late_fact = marts.loan_portfolio(history, max_rows_per_key=max_rows_per_key).join(late, "loan_id").filter(
-            incremental.is_rebuilt())
+        # The mark travels with the rows, so the wide fact is not sorted for another join.
+        history = stg.join(late, "loan_id").withColumn(CHANGED, incremental.is_rebuilt()).select(*stg.columns, CHANGED).checkpoint()
+        late_fact = marts.loan_portfolio(history, max_rows_per_key=max_rows_per_key).filter(CHANGED)
         rebuilt = rebuilt.unionByName(late_fact.select(*ok_fact.columns))
         late_state = initial_state(history, max_rows_per_key=max_rows_per_key)
         new_state = new_state.unionByName(late_state.select(*state.columns))

@@ -58,3 +58,10 @@ def test_state_refresh_with_hot_loans(spark):
     refreshed = target.filter(~F.col("event_date").isin(dates)).unionByName(out)
     assert rows(refreshed.drop("dbt_updated_at")) == rows(full.drop("dbt_updated_at"))
     assert rows(new_state) == rows(loan_state.initial_state(s))
+
+
+def test_initial_state_scans_its_source_once(spark):
+    """Counts, both tails and the last events read the few input columns, written once."""
+    s = staging.stage_loans(fixtures.loan_events(spark, SF_SMALL))
+    plan = loan_state.initial_state(s)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation [" not in plan and "parquet" not in plan

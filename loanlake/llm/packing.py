@@ -37,6 +37,8 @@ from .common import numbered, slices, span_hashes, stable, utf8
 CAPACITY, SLACK, END_ID = 1024, 0.025, 0
 #: Distinct text pieces that a task remembers the ids of.
 REMEMBERED = 1_000_000
+#: Text pieces whose tokens are held as objects, and bytes of text that are cut, at once.
+ENCODED_AT_ONCE, CUT_AT_ONCE = 1 << 12, 1 << 20
 #: 1 for the bytes of ASCII letters, 2 for those of ASCII marks.
 _KINDS = np.array([1 if chr(b).isalpha() else 2 if chr(b).isprintable() and not chr(b).isalnum() and b != 32 else 0
                    for b in range(128)] + [0] * 128, np.uint8)
@@ -108,15 +110,16 @@ class Encoder:
         self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        lens = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter(chain.from_iterable(got), np.uint32, int(lens.sum()))
-        slots = len(self.starts) - 1 + np.arange(len(got))
-        self.ids = np.concatenate([self.ids, flat])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lens)])
-        every = np.concatenate([self.hashes, hashes])
-        order = np.argsort(every)
-        self.hashes, self.slots = every[order], np.concatenate([self.slots, slots])[order]
+        lens, flat = [], []
+        for at in range(0, len(texts), ENCODED_AT_ONCE):
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(texts[at:at + ENCODED_AT_ONCE], add_special_tokens=False)]
+            lens.append(np.fromiter(map(len, got), np.int64, len(got)))
+            flat.append(np.fromiter(chain.from_iterable(got), np.uint32, int(lens[-1].sum())))
+        slots = len(self.starts) - 1 + np.arange(len(texts))
+        self.ids = np.concatenate([self.ids, *flat])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(lens))])
+        at = np.searchsorted(self.hashes, hashes)  # both are in order
+        self.hashes, self.slots = np.insert(self.hashes, at, hashes), np.insert(self.slots, at, slots)
 
     def _known(self, hashes: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
@@ -173,7 +176,7 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY
         encoder = Encoder(tokenizer_path)
         for batch in batches:
             buf, offsets = utf8(batch.column(1))
-            for lo, hi in slices(offsets, 3 << 20):
+            for lo, hi in slices(offsets, CUT_AT_ONCE):
                 flat, counts = encoder.encode(buf, offsets[lo:hi + 1])
                 at, rows, spans, ids = 0, [], [], []
                 for row, n in enumerate(counts.tolist(), lo):

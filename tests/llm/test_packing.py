@@ -107,3 +107,24 @@ def test_shuffled_sequences_part_the_copies(spark):
         together = sum(len(set(s)) < len(s) for d, s in at.items() if d is not None)
         assert together < 150 if shuffled else together > 250
         assert sum(map(len, at.values())) >= len(rows)
+
+
+def test_encoder_holds_few_tokenizer_objects_at_once():
+    """20,000 new cuttings in one call: the tokenizer gets them in small batches, ids are those of whole texts."""
+    texts = [" ".join(f"w{i * 40 + j}x" for j in range(40)) for i in range(500)] + ["", "w1x été w1x"]
+    encoder, sizes = Encoder(tokenizer_path()), []
+    tokenizer = encoder.tokenizer
+
+    class Watched:
+        def encode_batch_fast(self, batch, **kw):
+            sizes.append(len(batch))
+            return tokenizer.encode_batch_fast(batch, **kw)
+
+    encoder.tokenizer = Watched()
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    flat, counts = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [len(w) for w in want]
+    assert flat.tolist() == [i for w in want for i in w]
+    assert max(sizes) <= 4096 < sum(sizes)
